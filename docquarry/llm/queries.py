@@ -1,0 +1,41 @@
+"""Queries of this subpackage and the SQL they are checked against."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from docquarry.common import table
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.splitting import oversized
+
+    return oversized(table(spark, d, "financial_pages"), table(spark, d, "chunking_config"))
+
+
+def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.splitting import split_pages
+
+    return split_pages(table(spark, d, "financial_pages"), table(spark, d, "chunking_config"))
+
+
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.tokenizer import encode_documents
+
+    return encode_documents(table(spark, d, "documents"))
+
+
+def queries() -> dict:
+    return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit()}
+
+
+_WHITE = r"[\t\n\x0b\x0c\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def oracle_sql() -> dict[str, str]:
+    word = _WHITE.replace("[", "[^", 1)
+    return {
+        "p3_found": f"""
+            SELECT DISTINCT p.page_key FROM financial_pages p JOIN chunking_config c ON p.statement_type IS NOT DISTINCT FROM c.statement_type
+            WHERE len(regexp_extract_all(p.text, '{word}+')) > c.chunk_size""",
+    }
