@@ -19,6 +19,12 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_pages(table(spark, d, "financial_pages"), table(spark, d, "chunking_config"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.near_duplicates import near_duplicate_pairs
+
+    return near_duplicate_pairs(table(spark, d, "financial_pages"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from docquarry.llm.tokenizer import encode_documents
 

@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from docquarry.common import spread
 
 #: The Unicode White_Space property.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = re.compile(f"[^{WHITE}]+")
 JAVA_WHITE = r"\p{IsWhite_Space}"
-_SENTENCE_END = re.compile("[.!?…。．！？][\"'”’)\\]»]*$")
-_PARAGRAPH = re.compile("\n[^\\S\n]*\n| ")
+_SENTENCE_END = re.compile("[.!?\u2026\u3002\uff0e\uff01\uff1f][\"'\u201d\u2019)\\]\u00bb]*$")
+_PARAGRAPH = re.compile("\n[^\\S\n]*\n|\u2029")
 
 
 def cut_points(text: str, limit: int, overlap: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
