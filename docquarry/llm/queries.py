@@ -7,6 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from docquarry.common import table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.boilerplate import repeated_lines
+
+    return repeated_lines(table(spark, d, "financial_pages"))
+
+
+def p2_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.boilerplate import remove_repeated_lines
+
+    return remove_repeated_lines(table(spark, d, "financial_pages").select("page_key", "source_file", "text"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     from docquarry.llm.splitting import oversized
 
