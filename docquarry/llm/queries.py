@@ -37,6 +37,18 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicate_pairs(table(spark, d, "financial_pages"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.visual import keyword_mentions
+
+    return keyword_mentions(table(spark, d, "financial_pages"), table(spark, d, "indicator_ontology"))
+
+
+def p5_normalised(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.visual import normalise_text
+
+    return normalise_text(table(spark, d, "financial_pages").select("page_key", "text"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from docquarry.llm.tokenizer import encode_documents
 
