@@ -3,10 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docquarry.common import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.similar_vectors import similar_pairs
+
+    return similar_pairs(table(spark, d, "chunk_vectors"), table(spark, d, "embedding_config"))
+
+
+def p1_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """The ten most similar classes of every class of equal vectors, named by the smallest id of each."""
+    from docquarry.llm.similar_vectors import similar_classes
+
+    lists, members = similar_classes(table(spark, d, "chunk_vectors"), table(spark, d, "embedding_config"))
+    names = members.groupBy("cls").agg(F.min("id").alias("id"))
+    out = lists.join(names.select(F.col("cls").alias("h"), F.col("id").alias("vec_id")), "h")
+    out = out.join(names.select(F.col("cls").alias("near"), F.col("id").alias("near_id")), "near")
+    return out.select("vec_id", "near_id", F.round("cosine", 6).alias("cosine"), "rank")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     from docquarry.llm.boilerplate import repeated_lines
 
@@ -55,6 +73,18 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_documents(table(spark, d, "documents"))
 
 
+def p9_packing(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.packing import pack_documents
+
+    return pack_documents(table(spark, d, "documents"), table(spark, d, "containers"))
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.packing import packing_report
+
+    return packing_report(p9_packing(spark, d), table(spark, d, "containers"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit()}
 
