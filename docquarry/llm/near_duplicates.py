@@ -1,8 +1,9 @@
 """Pages largely taken over from one another, found without comparing all pairs.
 
-Every page of enough words becomes a signature of min-hash positions of two bytes each. The inverted index maps runs
-of consecutive positional bytes to pages; for every pair the shared postings are tallied, and pairs reaching the
-minimum that a true pair shares with probability above 0.999 go on to the comparison of their shingle sets.
+Every page of enough words becomes a signature of min-hash positions of two bytes each. The inverted index maps
+groups of positional bytes to pages; for every pair that shares a posting the equal positional bytes are tallied, and
+pairs reaching the minimum that a pair at the threshold is sure to have (four standard deviations below its expected
+matches) go on to the comparison of their shingle sets.
 
 Pages with equal shingle sets form one class and take part once, so copies never meet in the index. Shingles are
 compared as 32-bit hashes; two pages of 1,000 shingles meet a chance collision in fewer than 1 of 1,000 comparisons,
@@ -26,8 +27,11 @@ from docquarry.common import materialise, spread
 from docquarry.llm.pairs import expand_pairs
 from docquarry.llm.splitting import WORD
 
-RUN, BANDS = 3, 40
-LEAST_SHARED = 2
+#: Signature positions; positions in one posting; postings. A pair of similarity 0.65 shares a posting with probability 0.999,
+#: one of similarity 0.1 with probability 0.0006, so unrelated pages of one template hardly meet.
+POSITIONS, RUN, BANDS = 128, 5, 64
+#: Ids of pages to compare exactly are broadcast up to this count (16 bytes each), joined by shuffle beyond.
+BROADCAST_IDS = 1_000_000
 _U64 = np.uint64
 
 
@@ -73,39 +77,85 @@ def shingle_sets(texts: list[str | None], size: int, least_words: int) -> tuple[
 
 
 def signatures(pages: DataFrame, id_col: str, text_col: str, size: int, least_words: int) -> DataFrame:
-    """(id, set_a, set_b, shingles binary, postings array<bigint>) of every page long enough."""
+    """(id, set_a, set_b, sig, marks) of every page long enough; sig holds two bytes per position, marks the lower one."""
     kind = dict(pages.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mul, add = _multipliers(RUN * BANDS)
-        band = _mix64(np.arange(1, BANDS + 1, dtype=_U64) * _U64(0xD6E8FEB86659FD93))
+        mul, add = _multipliers(POSITIONS)
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
                 index, bounds, s = shingle_sets(batch.column("text").to_pylist(), size, least_words)
                 if not len(index):
                     continue
                 low = (s >> _U64(32)).astype(np.uint32)
                 starts = bounds[:-1]
-                sig = np.empty((RUN * BANDS, len(index)), np.uint32)
-                for k in range(RUN * BANDS):
+                sig = np.empty((POSITIONS, len(index)), np.uint32)
+                for k in range(POSITIONS):
                     sig[k] = np.minimum.reduceat(low * mul[k] + add[k], starts)
-                two = (_mix64(sig.astype(_U64)) & _U64(0xFFFF)).reshape(BANDS, RUN, len(index))
-                key = two[:, 0] | (two[:, 1] << _U64(16)) | (two[:, 2] << _U64(32))
-                posts = np.ascontiguousarray(_mix64(key + band[:, None]).T).view(np.int64)
+                two = np.ascontiguousarray((_mix64(sig.astype(_U64)) & _U64(0xFFFF)).astype(np.uint16).T)
+                marks = two.astype(np.uint8)
                 set_a = np.add.reduceat(_mix64(s ^ _U64(0x5851F42D4C957F2D)), starts).view(np.int64)
                 set_b = np.add.reduceat(_mix64(s ^ _U64(0x14057B7EF767814F)), starts).view(np.int64)
-                sets = [np.sort(low[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("id").take(pa.array(index)), pa.array(set_a), pa.array(set_b), pa.array(sets, pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(index) + 1, dtype=np.int32) * BANDS), pa.array(posts.ravel())),
-                    ],
-                    ["id", "set_a", "set_b", "shingles", "postings"],
-                )
+                    [batch.column("id").take(pa.array(index)), pa.array(set_a), pa.array(set_b), pa.array([x.tobytes() for x in two], pa.binary()), pa.array([x.tobytes() for x in marks], pa.binary())],
+                    ["id", "set_a", "set_b", "sig", "marks"],
+                )
 
     src = spread(pages.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
-    return src.mapInArrow(run, f"id {kind}, set_a bigint, set_b bigint, shingles binary, postings array<bigint>")
+    return src.mapInArrow(run, f"id {kind}, set_a bigint, set_b bigint, sig binary, marks binary")
+
+
+def _bands() -> np.ndarray:
+    """(BANDS, RUN) positions of each posting, every position in use equally often."""
+    rng = np.random.default_rng(7)
+    rounds = -(-BANDS * RUN // POSITIONS)
+    return np.concatenate([rng.permutation(POSITIONS) for _ in range(rounds)])[: BANDS * RUN].reshape(BANDS, RUN)
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Posting keys (band and its positional bytes) of each signature."""
+    places = _bands()
+    seed = _mix64(np.arange(1, BANDS + 1, dtype=_U64) * _U64(0xD6E8FEB86659FD93))
+    for whole in batches:
+        for at in range(0, whole.num_rows, 2048):
+            batch = whole.slice(at, 2048)
+            sig = np.array([np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column("sig")], dtype=_U64).reshape(-1, POSITIONS)
+            key = np.broadcast_to(seed, (len(sig), BANDS)).copy()
+            for k in range(RUN):
+                key = _mix64(key * _U64(0x9E3779B97F4A7C15) + sig[:, places[:, k]])
+            owner = pa.array(np.repeat(np.arange(len(sig)), BANDS))
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), batch.column("id").take(owner)], ["post", "id"])
+
+
+def _shingles(size: int, least_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                index, bounds, s = shingle_sets(batch.column("text").to_pylist(), size, least_words)
+                low = (s >> _U64(32)).astype(np.uint32)
+                sets = [np.sort(low[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(index, pa.int64())), pa.array(sets, pa.binary())], ["id", "shingles"])
+
+    return run
+
+
+def _least_matches(threshold: float) -> int:
+    """Matching positional bytes that a pair at the threshold reaches but for four standard deviations."""
+    return int(POSITIONS * threshold - 4 * (POSITIONS * threshold * (1 - threshold)) ** 0.5)
+
+
+def _tally(least: int):
+    """Pairs with at least so many equal positional bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, POSITIONS) for c in ("ma", "mb"))
+            keep = pa.array(np.flatnonzero((a == b).sum(axis=1) >= least))
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)], ["a", "b"])
+
+    return run
 
 
 def _similar(threshold: float):
@@ -136,14 +186,22 @@ def near_duplicate_links(pages: DataFrame, id_col: str = "page_key", text_col: s
     The class id is the smallest id of the class.
     """
     kind = dict(pages.dtypes)[id_col]
-    sigs = materialise(signatures(pages.where(F.col(id_col).isNotNull()), id_col, text_col, size, least_words))
+    pages = pages.where(F.col(id_col).isNotNull())
+    sigs = materialise(signatures(pages, id_col, text_col, size, least_words))
     heads = sigs.groupBy("set_a", "set_b").agg(F.min("id").alias("cls"))
     members = materialise(sigs.select("id", "set_a", "set_b").join(heads, ["set_a", "set_b"]).select("cls", "id"))
     firsts = members.where("cls = id").select("cls").distinct()
-    posts = sigs.select("id", "postings").join(firsts, F.col("id") == F.col("cls"), "left_semi").select("id", F.explode("postings").alias("post"))
+    posts = sigs.select("id", "sig").join(firsts, F.col("id") == F.col("cls"), "left_semi").mapInArrow(_postings, f"post bigint, id {kind}")
     pairs = posts.select("post", F.col("id").alias("a")).join(posts.select("post", F.col("id").alias("b")), "post").where("a < b")
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= LEAST_SHARED).select("a", "b")
-    sets = sigs.select("id", "shingles")
+    pairs = pairs.select("a", "b").distinct()
+    marks = sigs.select("id", "marks")
+    pairs = pairs.join(marks.select(F.col("id").alias("a"), F.col("marks").alias("ma")), "a")
+    pairs = pairs.join(marks.select(F.col("id").alias("b"), F.col("marks").alias("mb")), "b")
+    pairs = materialise(pairs.select("a", "b", "ma", "mb").mapInArrow(_tally(_least_matches(threshold)), f"a {kind}, b {kind}"))
+    ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    src = pages.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
+    sets = src.mapInArrow(_shingles(size, least_words), f"id {kind}, shingles binary")
     pairs = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
     pairs = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     links = pairs.select("a", "b", "sa", "sb").mapInArrow(_similar(threshold), f"a {kind}, b {kind}, similarity double").distinct()
