@@ -67,6 +67,18 @@ def p5_normalised(spark: SparkSession, d: str) -> DataFrame:
     return normalise_text(table(spark, d, "financial_pages").select("page_key", "text"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.scanned import scan_noise
+
+    return scan_noise(table(spark, d, "financial_pages"), table(spark, d, "ocr_results"))
+
+
+def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.scanned import repair_pages
+
+    return repair_pages(table(spark, d, "financial_pages"), table(spark, d, "ocr_results"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from docquarry.llm.tokenizer import encode_documents
 
