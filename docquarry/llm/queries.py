@@ -97,6 +97,24 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return packing_report(p9_packing(spark, d), table(spark, d, "containers"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.toxicity import score_documents
+
+    return score_documents(table(spark, d, "documents"), table(spark, d, "moderation_labels")).where("unfit").select("doc_id").distinct()
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.toxicity import score_documents
+
+    return score_documents(table(spark, d, "documents"), table(spark, d, "moderation_labels"))
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.llm.toxicity import source_rates
+
+    return source_rates(table(spark, d, "documents"), table(spark, d, "moderation_labels"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit()}
 

@@ -36,11 +36,11 @@ _U64 = np.uint64
 #: What a letter or digit group is misread as by character recognition, read -> true.
 CONFUSIONS = {
     "ri": "n", "li": "h", "ii": "u", "cl": "d", "rn": "m", "vv": "w", "u'": "ư", "o'": "ơ", "c": "e", "f": "t", "l": "it1", "@": "a", "9": "g", "0": "o", "5": "s", "1": "li",
-    "6": "b", "8": "b", "å": "ảạáàãấầẩẫậắằẳẵặ", "ẹ^": "ệ", "e^": "ê", "a^": "â", "o^": "ô", "|": "li", "�": "?",
+    "6": "b", "8": "b", "å": "ảạáàãấầẩẫậắằẳẵặ", "ẹ^": "ệ", "e^": "ê", "a^": "â", "o^": "ô", "|": "li", "\ufffd": "?",
 }
 #: Letters that stand where a digit was read.
 DIGITS = {"O": "0", "o": "0", "l": "1", "I": "1", "|": "1", "S": "5", "s": "5", "b": "6", "B": "8", "g": "9", "q": "9", "Z": "2", "z": "2"}
-HYPHENS = "-­‐‑¬"
+HYPHENS = "-\u00ad\u2010\u2011¬"
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _CUT = re.compile(rf"[^\W\d_]['’]?[{HYPHENS}][ \t]*$")
 _TRANSLATE = str.maketrans(*_translation())
@@ -55,8 +55,8 @@ def plain(text: str) -> str:
     """Look-alikes, compatibility forms and invisible characters undone (a soft hyphen at a line end stays)."""
     if text.isascii():
         return text
-    text = re.sub("­(?=[ \t]*(\n|$))", "‐", text)
-    return unicodedata.normalize("NFC", _HIDDEN.sub("", text.replace("﻿", "")).translate(_TRANSLATE))
+    text = re.sub("\u00ad(?=[ \t]*(\n|$))", "\u2010", text)
+    return unicodedata.normalize("NFC", _HIDDEN.sub("", text.replace("\ufeff", "")).translate(_TRANSLATE))
 
 
 class Trie:
@@ -100,7 +100,7 @@ def confusion_cost(read: str, true: str) -> float:
             if here >= 1e9:
                 continue
             if i < n and j < m:
-                step = 0.0 if read[i] == true[j] else 0.25 if true[j] in CONFUSIONS.get(read[i], "") or read[i] == "�" else 1.0
+                step = 0.0 if read[i] == true[j] else 0.25 if true[j] in CONFUSIONS.get(read[i], "") or read[i] == "\ufffd" else 1.0
                 best[i + 1][j + 1] = min(best[i + 1][j + 1], here + step)
             if i + 1 < n and j < m and true[j] in CONFUSIONS.get(read[i : i + 2], ""):
                 best[i + 2][j + 1] = min(best[i + 2][j + 1], here + 0.25)
@@ -260,7 +260,7 @@ class Repairer:
 
     def read_word(self, token: str) -> str | None:
         """None if a token is sound, else its core as read: a figure or word with misrecognised characters."""
-        core = _CORE.sub("", token) if not token.startswith("�") else token
+        core = _CORE.sub("", token) if not token.startswith("\ufffd") else token
         if not core or _NUMBER.fullmatch(core):
             return None
         low = core.lower()
@@ -273,12 +273,12 @@ class Repairer:
             if _CODE.fullmatch(core):
                 return core
             return core if self.candidates(low) else None
-        if "�" in core:
+        if "\ufffd" in core:
             return core
         if self.candidates(low):
             return core
         edge = token.strip(".,;:()[]\"“”")
-        return edge if edge != core and edge.lower() not in self.words and any(c in "@|�" for c in edge) and self.candidates(edge.lower()) else None
+        return edge if edge != core and edge.lower() not in self.words and any(c in "@|\ufffd" for c in edge) and self.candidates(edge.lower()) else None
 
     def running(self, lines: list[str], recurring: list[str]) -> set[int]:
         """Line indices of headers, footers and page numbers: runs of such lines from the top and from the bottom.
