@@ -1,8 +1,26 @@
 """All queries of the core library, by name, and the SQL they are checked against."""
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docquarry.common import table
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.operators.quantities import agreeing_facts
+
+    return agreeing_facts(table(spark, d, "financial_facts"), table(spark, d, "financial_indicators"), table(spark, d, "fx_rates"))
+
+
+def p7_normalised(spark: SparkSession, d: str) -> DataFrame:
+    from docquarry.operators.quantities import normalise_facts
+
+    out = normalise_facts(table(spark, d, "financial_facts"), table(spark, d, "financial_indicators"), table(spark, d, "fx_rates"))
+    return out.select("fact_id", "firm", "year", "indicator_id", F.round("amount", 4).alias("amount"), "common_unit", "unit_from", F.round("unit_confidence", 4).alias("unit_confidence"), "status")
+
 
 def queries() -> dict:
-    return {}
+    return {"p7_found": p7_found, "p7_normalised": p7_normalised}
 
 
 def oracle_sql() -> dict[str, str]:
