@@ -19,9 +19,21 @@ def p7_normalised(spark: SparkSession, d: str) -> DataFrame:
     return out.select("fact_id", "firm", "year", "indicator_id", F.round("amount", 4).alias("amount"), "common_unit", "unit_from", F.round("unit_confidence", 4).alias("unit_confidence"), "status")
 
 
+_MODULES = ("queries_scores",)
+
+
+def _all(name: str) -> dict:
+    from importlib import import_module
+
+    out: dict = {}
+    for module in _MODULES:
+        out |= getattr(import_module(f"docquarry.plans.{module}"), name)
+    return out
+
+
 def queries() -> dict:
-    return {"p7_found": p7_found, "p7_normalised": p7_normalised}
+    return _all("QUERIES") | {"p7_found": p7_found, "p7_normalised": p7_normalised}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return _all("ORACLES")
