@@ -26,6 +26,10 @@ INFORMATIVE = (
 ).split()
 
 
+#: A word token: letters, digits, underscores and hyphens of any script.
+TOKEN = r"[\p{L}\p{N}_\-]+"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -69,11 +73,15 @@ def strip_accents(c: Column | str, fold_d: bool = False) -> Column:
     return F.regexp_replace(F.translate(_col(c), *_decomposition(fold_d)), r"\p{Mn}+", "")
 
 
-@F.pandas_udf("string")
-def strip_accents_exact(s: pd.Series) -> pd.Series:
-    """NFKD without combining marks, for every character."""
-    plain = lambda t: t if t is None or t.isascii() else "".join(x for x in unicodedata.normalize("NFKD", t) if not unicodedata.combining(x))
-    return s.map(plain, na_action="ignore")
+def strip_accents_exact(c: Column | str) -> Column:
+    """NFKD without combining marks, for every character; an Arrow UDF."""
+
+    @F.pandas_udf("string")
+    def fold(s: pd.Series) -> pd.Series:
+        plain = lambda t: t if t.isascii() else "".join(x for x in unicodedata.normalize("NFKD", t) if not unicodedata.combining(x))
+        return s.map(plain, na_action="ignore")
+
+    return fold(_col(c))
 
 
 def fin_normalize(c: Column | str) -> Column:
@@ -84,7 +92,7 @@ def fin_normalize(c: Column | str) -> Column:
 
 def tokenize(c: Column | str) -> Column:
     """Lower-case word tokens; a token whose accent-free form differs is followed by that form."""
-    found = F.regexp_extract_all(F.lower(_col(c)), F.lit(r"(?U)[\w\-]+"), F.lit(0))
+    found = F.regexp_extract_all(F.lower(_col(c)), F.lit(TOKEN), F.lit(0))
     return F.flatten(F.transform(found, lambda x: F.when(strip_accents(x) == x, F.array(x)).otherwise(F.array(x, strip_accents(x)))))
 
 
@@ -95,7 +103,7 @@ def is_informative(t: Column) -> Column:
 
 def content_terms(c: Column | str) -> Column:
     """Tokens of the accent-free text without stopwords and without short terms that say nothing."""
-    found = F.regexp_extract_all(F.lower(strip_accents(_col(c))), F.lit(r"(?U)[\w\-]+"), F.lit(0))
+    found = F.regexp_extract_all(F.lower(strip_accents(_col(c))), F.lit(TOKEN), F.lit(0))
     return F.filter(found, lambda t: ~t.isin(STOPWORDS) & ((F.length(t) >= 3) | t.rlike(r"^\p{Nd}+$") | is_informative(t)))
 
 
@@ -103,49 +111,57 @@ def looks_corrupt(c: Column | str) -> Column:
     return _col(c).rlike("[?\ufffdÄÂ]")
 
 
-def embedding_buckets(text: str, dimensions: int) -> np.ndarray:
-    """Signed counts of hashed tokens, of unit length; zero for a text without tokens."""
-    out = np.zeros(dimensions, np.float64)
-    for token in re.findall(r"[\w\-]+", text.lower()):
-        digest = hashlib.blake2b(token.encode("utf-8"), digest_size=8).digest()
-        out[int.from_bytes(digest[:4], "little") % dimensions] += 1.0 if digest[4] % 2 == 0 else -1.0
-    length = np.sqrt((out * out).sum())
-    return out / length if length > 0 else out
+def token_bucket(token: str, dimensions: int, digest: str = "blake2b") -> tuple[int, float]:
+    """Bucket and sign of a token. BLAKE2b: bytes 0-3 little endian, sign by byte 4; MD5: hexadecimal digits 1-6, sign by the 7th."""
+    raw = token.encode("utf-8")
+    if digest == "md5":
+        h = hashlib.md5(raw).hexdigest()
+        return int(h[:6], 16) % dimensions, 1.0 if h[6] < "8" else -1.0
+    h = hashlib.blake2b(raw, digest_size=8).digest()
+    return int.from_bytes(h[:4], "little") % dimensions, 1.0 if h[4] % 2 == 0 else -1.0
 
 
-def hash_embed(c: Column | str, dimensions: int = 1024) -> Column:
-    """Hashing embedding with BLAKE2b buckets, array<float>; null text counts as empty."""
+_PYTHON_TOKEN = re.compile(r"[\w\-]+")
 
-    @F.pandas_udf("array<float>")
-    def embed(s: pd.Series) -> pd.Series:
-        return s.fillna("").map(lambda t: embedding_buckets(t, dimensions).astype(np.float32))
 
-    return embed(_col(c))
+def embed_batch(texts: list[str], dimensions: int, digest: str = "blake2b") -> np.ndarray:
+    """Signed counts of hashed tokens, a row of unit length per text; zero for a text without tokens."""
+    flat: list[str] = []
+    counts = np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        found = _PYTHON_TOKEN.findall(text.lower()) if text else []
+        counts[i] = len(found)
+        flat += found
+    out = np.zeros((len(texts), dimensions))
+    if flat:
+        code, names = pd.factorize(np.array(flat, dtype=object))
+        place = [token_bucket(t, dimensions, digest) for t in names]
+        bucket, sign = np.array([b for b, _ in place]), np.array([s for _, s in place])
+        row = np.repeat(np.arange(len(texts)), counts)
+        out = np.bincount(row * dimensions + bucket[code], weights=sign[code], minlength=len(texts) * dimensions).reshape(len(texts), dimensions)
+        length = np.sqrt((out * out).sum(axis=1, keepdims=True))
+        out = np.divide(out, length, out=np.zeros_like(out), where=length > 0)
+    return out
+
 
+def hash_embed(c: Column | str, dimensions: int = 1024, digest: str = "blake2b") -> Column:
+    """Hashing embedding as array<double>; null text counts as empty."""
 
-def hash_embed_sql(c: Column | str, dimensions: int = 64) -> Column:
-    """Hashing embedding with MD5 buckets, wholly JVM-side: bucket and sign come from hexadecimal digits of the digest."""
-    found = F.regexp_extract_all(F.lower(_col(c)), F.lit(r"(?U)[\w\-]+"), F.lit(0))
-    digest = F.transform(found, lambda t: F.md5(t.cast("binary")))
-    signed = F.transform(
-        digest,
-        lambda h: F.struct(
-            F.pmod(F.conv(F.substring(h, 1, 6), 16, 10).cast("int"), F.lit(dimensions)).alias("b"), F.when(F.substring(h, 7, 1) < "8", F.lit(1)).otherwise(F.lit(-1)).alias("s")
-        ),
-    )
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.aggregate(F.filter(signed, lambda x: x["b"] == i), F.lit(0), lambda a, x: a + x["s"]))
-    norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda a, x: a + (x * x).cast("double")))
-    return F.transform(counts, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)))
+    @F.pandas_udf("array<double>")
+    def embed(s: pd.Series) -> pd.Series:
+        return pd.Series(list(embed_batch(s.tolist(), dimensions, digest)))
+
+    return embed(_col(c))
 
 
 def unique_ordered(c: Column) -> Column:
     """Trimmed, non-empty entries in first-seen order."""
-    return F.array_distinct(F.filter(F.transform(c, F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def split_terms(c: Column | str) -> Column:
     """Entries between vertical bars and semicolons, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), r"[|;]"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), r"[|;]"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def join_parts(*parts: Column, sep: str = " ") -> Column:
