@@ -68,9 +68,14 @@ def _decomposition(fold_d: bool) -> tuple[str, str]:
 def strip_accents(c: Column | str, fold_d: bool = False) -> Column:
     """Compatibility letters to plain ones and accents dropped, JVM-side; "đ" stays unless ``fold_d``.
 
-    Equals ``strip_accents_exact`` for all characters but those that decompose into several (ligatures, fractions).
+    Equals ``strip_accents_exact`` for all characters but those that decompose into several, of which only the Latin
+    ligatures are spelled out here.
     """
-    return F.regexp_replace(F.translate(_col(c), *_decomposition(fold_d)), r"\p{Mn}+", "")
+    plain = F.regexp_replace(F.translate(_col(c), *_decomposition(fold_d)), r"\p{Mn}+", "")
+    spelled = plain
+    for code in range(0xFB00, 0xFB07):
+        spelled = F.replace(spelled, F.lit(chr(code)), F.lit(unicodedata.normalize("NFKD", chr(code))))
+    return F.when(plain.rlike(f"[{chr(0xFB00)}-{chr(0xFB06)}]"), spelled).otherwise(plain)
 
 
 def strip_accents_exact(c: Column | str) -> Column:

@@ -8,9 +8,11 @@ Defined results: null, empty and blank texts give no window; a text of up to ``s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docquarry.operators.ordering import positions, prefix_sums, within
+
 
 def window_starts(n: Column, size: int, overlap: int) -> Column:
     """First tokens (from 0) of the windows over n tokens: the last window is the first that reaches the end."""
@@ -31,29 +33,22 @@ def split_text(pages: DataFrame, size: int, overlap: int, text_col: str = "text"
     return out.drop("__pieces", "__n", "__k", "__first")
 
 
-def chunk_reports(pages: DataFrame, size: int = 650, overlap: int = 100, marker: str = "") -> DataFrame:
+def chunk_reports(pages: DataFrame, size: int = 650, overlap: int = 100, marker: str = "", report: list[str] = ("source_file",)) -> DataFrame:
     """Chunks of every report with ids ``company_year_[marker]NNNNNN`` that count within the report.
 
-    Windows are numbered per page, pages per report by an exclusive running sum over one short row per page: the texts
-    themselves are never sorted. A null year reads ``unknown`` in the id.
+    Counting runs over one short row per page (see ``ordering``); the texts themselves are never sorted. A null year
+    reads ``unknown`` in the id. ``page_key`` must be unique.
     """
+    report = list(report)
     windows = split_text(pages, size, overlap)
     n = F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"(?U)\S+"), F.lit(0)))
-    count = pages.select("source_file", "page_number", "page_key", F.size(window_starts(n, size, overlap)).alias("__count"))
-    order = Window.partitionBy("source_file").orderBy("page_number", "page_key").rowsBetween(Window.unboundedPreceding, -1)
-    offset = count.withColumn("__before", F.coalesce(F.sum("__count").over(order), F.lit(0))).where("__count > 0").select("page_key", "__before")
+    count = pages.select(*report, "page_number", "page_key", F.size(window_starts(n, size, overlap)).alias("__count"))
+    counted = within(prefix_sums(count, [*report, "page_number", "page_key"], "__count", "__sum"), report, "__sum", "__before").select("page_key", "__before")
     number = F.col("__before") + F.col("window_no")
     name = F.concat(F.coalesce("company", F.lit("")), F.lit("_"), F.coalesce(F.col("year").cast("string"), F.lit("unknown")), F.lit("_" + marker), F.lpad(number.cast("string"), 6, "0"))
-    return windows.join(offset, "page_key").withColumn("chunk_id", name).drop("__before")
+    return windows.join(counted, "page_key").withColumn("chunk_id", name).drop("__before")
 
 
 def number_all(chunks: DataFrame, order: list[str]) -> DataFrame:
-    """A running number over all rows in the given order, without a single-task window: ranges, counts, offsets."""
-    ranged = chunks.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
-    ranged = ranged.withColumn("__i", F.monotonically_increasing_id() - F.shiftleft(F.col("__p").cast("bigint"), 33) + 1)
-    from docquarry.common import materialise
-
-    ranged = materialise(ranged)
-    sizes = ranged.groupBy("__p").agg(F.count("*").alias("__n"))
-    before = sizes.select("__p", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__o"))
-    return ranged.join(F.broadcast(before), "__p").withColumn("chunk_no", F.col("__i") + F.col("__o")).drop("__p", "__i", "__o")
+    """A running number (from 1) over all rows in the given total order."""
+    return positions(chunks, order, "__at").withColumn("chunk_no", F.col("__at") + 1).drop("__at")
