@@ -19,7 +19,7 @@ def p7_normalised(spark: SparkSession, d: str) -> DataFrame:
     return out.select("fact_id", "firm", "year", "indicator_id", F.round("amount", 4).alias("amount"), "common_unit", "unit_from", F.round("unit_confidence", 4).alias("unit_confidence"), "status")
 
 
-_MODULES = ("queries_scores", "queries_text", "queries_financial")
+_MODULES = ("queries_scores", "queries_text", "queries_financial", "queries_incremental")
 
 
 def _all(name: str) -> dict:
