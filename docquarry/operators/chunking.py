@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docquarry.common import spread
 from docquarry.operators.ordering import positions, prefix_sums, within
 
 
@@ -26,7 +27,7 @@ def split_text(pages: DataFrame, size: int, overlap: int, text_col: str = "text"
     if size <= overlap:
         raise ValueError("the window size must exceed the overlap")
     pieces = F.regexp_extract_all(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"(?U)^\s+", ""), F.lit(r"(?U)\S+\s*"), F.lit(0))
-    cut = pages.withColumn("__pieces", pieces).withColumn("__n", F.size("__pieces"))
+    cut = spread(pages).withColumn("__pieces", pieces).withColumn("__n", F.size("__pieces"))
     out = cut.select("*", F.posexplode(window_starts(F.col("__n"), size, overlap)).alias("__k", "__first"))
     chunk = F.regexp_replace(F.array_join(F.slice("__pieces", F.col("__first") + 1, F.lit(size)), ""), r"(?U)\s+$", "")
     out = out.withColumns({"window_no": F.col("__k") + 1, "first_token": F.col("__first"), "n_tokens": F.least(F.lit(size), F.col("__n") - F.col("__first")), "chunk": chunk})

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docquarry.common import spread
 from docquarry.functions.text import fin_normalize, page_suspect
 from docquarry.operators.ordering import positions, within
 
@@ -45,7 +46,7 @@ PAGE_KEY = ["source_file", "page_number", "statement_type"]
 def classify_pages(pages: DataFrame, patterns: dict[str, list[str]] = PAGE_PATTERNS, text_col: str = "text") -> DataFrame:
     """The pages with found_type, found_score (patterns present) and found_patterns; a type of '' where nothing fits."""
     plain = fin_normalize(F.coalesce(F.col(text_col), F.lit("")))
-    out = pages.withColumn("__plain", plain)
+    out = spread(pages).withColumn("__plain", plain)
     hits = F.array(*(F.filter(F.array(*map(F.lit, ps)), lambda p: F.contains(F.col("__plain"), p)) for ps in patterns.values()))
     out = out.withColumn("__hits", hits)
     sizes = F.transform("__hits", lambda h: F.size(h))
@@ -218,7 +219,7 @@ def extract_facts(pages: DataFrame, indicators: list[dict], sign_mode: str = "fi
     spark = pages.sparkSession
     dictionary = _indicator_table(spark, indicators)
     names = [(r["indicator_id"], [a for a in (r.get("aliases") or [r.get("label_vi")]) if a]) for r in indicators]
-    lines = pages.where("text IS NOT NULL").select(
+    lines = spread(pages).where("text IS NOT NULL").select(
         "page_key", F.col("company").alias("firm"), F.col("year").alias("report_year"), "source_file", "page_number", statement_unit(F.col("text")).alias("stated"),
         F.posexplode(F.array_distinct(F.filter(F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: x != ""))).alias("line_no", "line"),
     )
@@ -367,7 +368,7 @@ def null_diagnosis(facts: DataFrame, pages: DataFrame, indicators: list[dict]) -
     """
     spark = facts.sparkSession
     names = spark.createDataFrame([(r["indicator_id"], a) for r in indicators for a in (r.get("aliases") or [r.get("label_vi")]) if a], "i string, a string").select("i", fin_normalize("a").alias("f")).where("f <> ''").collect()
-    plain = pages.select(F.col("company").alias("__f"), F.col("year").alias("__y"), fin_normalize(F.coalesce("text", F.lit(""))).alias("p"))
+    plain = spread(pages).select(F.col("company").alias("__f"), F.col("year").alias("__y"), fin_normalize(F.coalesce("text", F.lit(""))).alias("p"))
     seen = F.array_distinct(F.array_compact(F.array(*(F.when(F.col("p").contains(r["f"]), r["i"]) for r in names))))
     firm = plain.where("p <> ''").select("__f", "__y", F.explode_outer(seen).alias("i")).groupBy("__f", "__y").agg(F.collect_set("i").alias("__seen"))
     known = [r["indicator_id"] for r in indicators]

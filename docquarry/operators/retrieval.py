@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docquarry.common import spread
 from docquarry.functions import text as T
 
 K1, B, RRF = 1.5, 0.75, 60
@@ -41,7 +42,7 @@ def plain_tokens(c: Column | str) -> Column:
 def build_index(docs: DataFrame, text_col: str = "text", groups: tuple[str, ...] = (), tokens: Column | None = None) -> Postings:
     """Explode, count per (document, term) with map-side combine, count documents per term."""
     terms = tokens if tokens is not None else T.tokenize(text_col)
-    base = docs.select("chunk_id", *groups, F.coalesce(terms, F.array().cast("array<string>")).alias("terms"))
+    base = spread(docs).select("chunk_id", *groups, F.coalesce(terms, F.array().cast("array<string>")).alias("terms"))
     lengths = base.select("chunk_id", *groups, F.size("terms").alias("dl"))
     # A document is one row, so its term counts are final within its task: the group-by shuffles counts, not tokens.
     posts = base.select("chunk_id", *groups, F.size("terms").alias("dl"), F.explode("terms").alias("term"))
