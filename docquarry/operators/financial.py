@@ -348,12 +348,12 @@ def coerce_facts(facts: DataFrame) -> DataFrame:
     return facts.withColumns(cols).withColumn("year", F.col("year").try_cast("int"))
 
 
-def fact_quality(facts: DataFrame, validation: DataFrame) -> DataFrame:
+def fact_quality(facts: DataFrame, validation: DataFrame, digits: int = 4) -> DataFrame:
     """Per indicator: rows, extracted values, mean confidence, table rows, coverage, hit rates; a row per failed rule below."""
     rate = lambda c: F.bround(F.avg(F.col(c).cast("double")), 6).alias(f"{c}_rate")
     out = facts.groupBy("indicator_id").agg(
-        F.count("*").alias("observations"), F.count("value").alias("extracted"), F.bround(F.avg("confidence"), 4).alias("avg_confidence"), F.count_if(F.col("extraction_method") == "table").alias("table_extractions"),
-        F.bround(F.count("value") / F.count("*"), 4).alias("coverage"), rate("cache_hit"), rate("warehouse_hit"),
+        F.count("*").alias("observations"), F.count("value").alias("extracted"), F.bround(F.avg("confidence"), digits).alias("avg_confidence"), F.count_if(F.col("extraction_method") == "table").alias("table_extractions"),
+        F.bround(F.count("value") / F.count("*"), digits).alias("coverage"), rate("cache_hit"), rate("warehouse_hit"),
     )
     failed = validation.where("status = 'FAIL'").groupBy("rule").agg(F.count("*").alias("failed_count"))
     total = facts.agg(F.count("*").alias("observations"))

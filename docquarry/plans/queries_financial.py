@@ -115,7 +115,7 @@ def coerced_facts(spark, d):
 
 
 def fact_quality(spark, d):
-    return financial.fact_quality(facts(spark, d), validation_rules(spark, d))
+    return financial.fact_quality(facts(spark, d), validation_rules(spark, d), digits=10)
 
 
 def null_diagnosis(spark, d):
@@ -199,8 +199,8 @@ ORACLES = {
         SELECT fact_id, array_to_string(list_concat(coalesce(r, []), list_filter([CASE WHEN currency = 'VND' AND abs(value) > 1e18 THEN 'EXTREME_VND_VALUE' END, CASE WHEN indicator_id IN ('CIRCULATING_SHARES', 'HELD_SHARES') AND abs(value) > 1e11 THEN 'EXTREME_SHARE_COUNT' END,
         CASE WHEN indicator_id = 'HEADCOUNT' AND abs(value) > 1e7 THEN 'EXTREME_EMPLOYEE_COUNT' END], lambda x: x IS NOT NULL)), '; ') AS validation_flag FROM financial_facts f LEFT JOIN bad b ON f.firm = b.firm AND f.year = b.year""",
     "coerced_facts": "SELECT fact_id, coalesce(firm, '') AS firm, year, coalesce(unit, '') AS unit, coalesce(currency, '') AS currency, coalesce(CAST(page AS VARCHAR), '') AS page, value, coalesce(cache_hit, false) AS cache_hit FROM financial_facts",
-    "fact_quality": f"""WITH {_VALID} SELECT indicator_id, count(*) AS observations, count(value) AS extracted, round_even(avg(confidence), 4) AS avg_confidence, count(*) FILTER (extraction_method = 'table') AS table_extractions,
-        round_even(count(value) / count(*), 4) AS coverage, round_even(avg(CAST(cache_hit AS INTEGER)), 6) AS cache_hit_rate, round_even(avg(CAST(warehouse_hit AS INTEGER)), 6) AS warehouse_hit_rate, CAST(NULL AS VARCHAR) AS rule, CAST(NULL AS BIGINT) AS failed_count FROM financial_facts GROUP BY indicator_id
+    "fact_quality": f"""WITH {_VALID} SELECT indicator_id, count(*) AS observations, count(value) AS extracted, round_even(avg(confidence), 10) AS avg_confidence, count(*) FILTER (extraction_method = 'table') AS table_extractions,
+        round_even(count(value) / count(*), 10) AS coverage, round_even(avg(CAST(cache_hit AS INTEGER)), 6) AS cache_hit_rate, round_even(avg(CAST(warehouse_hit AS INTEGER)), 6) AS warehouse_hit_rate, CAST(NULL AS VARCHAR) AS rule, CAST(NULL AS BIGINT) AS failed_count FROM financial_facts GROUP BY indicator_id
         UNION ALL SELECT 'VALIDATION', (SELECT count(*) FROM financial_facts), NULL, NULL, NULL, NULL, NULL, NULL, rule, count(*) FROM valid WHERE status = 'FAIL' GROUP BY rule""",
     "null_diagnosis": f"""WITH al AS (SELECT indicator_id, {_fold('alias')} AS f FROM (SELECT indicator_id, unnest(aliases) AS alias FROM financial_indicators)), pg AS (SELECT company, year, {_fold('text')} AS p FROM financial_pages WHERE company IS NOT NULL AND year IS NOT NULL),
         has AS (SELECT DISTINCT company, year FROM pg WHERE p <> ''), seen AS (SELECT DISTINCT company, year, indicator_id FROM pg JOIN al ON contains(p, f))
