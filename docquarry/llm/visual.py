@@ -98,10 +98,7 @@ def canonical(texts: list[str | None]) -> list[str | None]:
 
 def normalise_text(rows: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows with ``text_col`` in canonical form; all other columns, their order and names stay."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     schema = rows.schema
-    arrow = to_arrow_schema(schema, timezone="UTC")
     at = rows.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +110,6 @@ def normalise_text(rows: DataFrame, text_col: str = "text") -> DataFrame:
                 columns[at] = pa.array(duck(part.column(at)), pa.string())
                 yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
-    del arrow
     return spread(rows).mapInArrow(run, schema)
 
 
