@@ -171,17 +171,18 @@ def page_number(line: str) -> bool:
 _YEAR_OR_CODE = re.compile(r"(?<!\S)\S?\d\S{0,2}\d\S?$|(?<!\S)(?=\S*[^\W\d])(?=\S*\d)[\w~'.@]{4,}(?!\S)")
 
 
-def edge_parts(line: str) -> list[str]:
+def edge_parts(line: str, strict: bool = True) -> list[str]:
     """The parts of a possible running line (title, name, section) without its page number, digits masked.
 
-    Empty for a line that reads like running text: ending in a full stop, long, or with figures other than a year.
+    Empty for a line that reads like running text: ending in a full stop, long, with figures other than a year, or,
+    where ``strict``, beginning with a small letter (which may itself be misread).
     """
     s = line.strip()
     if len(s) > 90 or s.endswith((".", ",", ";", ":")) and len(s) > 4 and s[-2].isalnum():
         return []
     parts = [x.strip(" -–") for x in re.split(r"\s*[|·]\s*|\s{2,}|\s[-–]\s", s)]
     parts = [x for x in parts if x and not page_number(x)]
-    if any(len(x) > 60 or (x[:1].islower() and x[:1].isascii()) or re.search(r"\d", _YEAR_OR_CODE.sub("", x)) for x in parts):
+    if any(len(x) > 60 or (strict and x[:1].islower() and x[:1].isascii()) or re.search(r"\d", _YEAR_OR_CODE.sub("", x)) for x in parts):
         return []
     return [re.sub(r"\d", "0", x).lower() for x in parts]
 
@@ -289,7 +290,7 @@ class Repairer:
         out: set[int] = set()
         for order in (full[:3], full[::-1][:3]):
             for k, i in enumerate(order):
-                parts = edge_parts(lines[i])
+                parts = edge_parts(lines[i], strict=False)
                 hits = sum(any(self._alike(p, r) for r in recurring) for p in parts)
                 rest = len(parts) - hits
                 if page_number(lines[i]) or (hits and rest <= 1):
