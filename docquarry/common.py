@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +26,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    target = named or os.path.join(tempfile.gettempdir(), f"docquarry-ckpt-{os.getpid()}")
+    target = named
+    if not target:
+        target = os.path.join(tempfile.gettempdir(), f"docquarry-ckpt-{os.getpid()}")
+        atexit.register(shutil.rmtree, target, ignore_errors=True)
     sc.setCheckpointDir(target)
     return target
 
@@ -41,3 +47,8 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """The side of a join, marked for broadcast only after its rows were counted; else left to a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df

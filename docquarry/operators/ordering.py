@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquarry.common import materialise
+from docquarry.common import materialise, small
 
 
 def prefix_sums(df: DataFrame, order: list[str], value: str, out: str) -> DataFrame:
@@ -49,4 +49,4 @@ def within(df: DataFrame, group: list[str], prefix: str, out: str) -> DataFrame:
     """A running sum of the whole order made one within each group, which must lie together in that order."""
     first = df.groupBy(*(F.col(g).alias(f"__g{i}") for i, g in enumerate(group))).agg(F.min(prefix).alias("__first"))
     on = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]
-    return df.join(first, on).withColumn(out, F.col(prefix) - F.col("__first")).drop("__first", *(f"__g{i}" for i in range(len(group))))
+    return df.join(small(first), on).withColumn(out, F.col(prefix) - F.col("__first")).drop("__first", *(f"__g{i}" for i in range(len(group))))

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docquarry.common import materialise
+from docquarry.operators.ordering import prefix_sums, within
+
 KEYS = ["pillar", "indicator_id", "indicator_name"]
 FUNNEL = ["dense_candidate_count", "keyword_candidate_count", "merged_candidate_count", "after_relaxed_filter_count", "after_strict_filter_count", "final_candidate_count"]
 MATCHES = ["matched_hard_required", "matched_soft_positive", "matched_qualitative_patterns", "matched_quantitative_patterns", "matched_units", "matched_negative_keywords"]
@@ -73,24 +76,18 @@ def review_sample(evidence: DataFrame, ties: list[str], per_bucket: int = 25) ->
 def percentile_rank(df: DataFrame, value: str, group: str, out: str = "percentile") -> DataFrame:
     """Average-rank percentile of a value within its group; in groups of one distinct value that among all rows.
 
-    Both ranks come from counts per distinct value, so ties of any number are one row; the global rank runs over the
-    distinct values split into ranges, never over all rows in one task.
+    Ranks come from counts per distinct value, so ties of any number are one row, and from running sums over ranges of
+    the order, so neither a group nor the whole is ever sorted in one task.
     """
-    from docquarry.common import materialise
-
-    v = F.coalesce(F.col(value).try_cast("double"), F.lit(0.0))
-    base = df.withColumn("__v", v)
-    counts = base.groupBy(group, "__v").agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(group)
-    below = F.coalesce(F.sum("__n").over(w.orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    own = counts.select(group, "__v", ((below + (F.col("__n") + 1) / 2) / F.sum("__n").over(w)).alias("__own"), F.count("*").over(w).alias("__distinct"))
-    every = materialise(base.groupBy("__v").agg(F.count("*").alias("__n")).repartitionByRange("__v").withColumn("__p", F.spark_partition_id()))
-    parts = every.groupBy("__p").agg(F.sum("__n").alias("__m"))
-    parts = parts.select("__p", F.coalesce(F.sum("__m").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__o"), F.sum("__m").over(Window.partitionBy()).alias("__all"))
-    local = F.coalesce(F.sum("__n").over(Window.partitionBy("__p").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    world = every.withColumn("__l", local).join(F.broadcast(parts), "__p").select(F.col("__v").alias("__w"), ((F.col("__o") + F.col("__l") + (F.col("__n") + 1) / 2) / F.col("__all")).alias("__world"))
-    out_ = base.join(own.withColumnRenamed(group, "__g").withColumnRenamed("__v", "__gv"), F.col(group).eqNullSafe(F.col("__g")) & (F.col("__v") == F.col("__gv")))
-    out_ = out_.join(world, F.col("__v") == F.col("__w"))
+    base = df.withColumn("__v", F.coalesce(F.col(value).try_cast("double"), F.lit(0.0)))
+    counts = materialise(base.groupBy(F.col(group).alias("__g"), F.col("__v").alias("__gv")).agg(F.count("*").alias("__n")))
+    own = within(prefix_sums(counts, ["__g", "__gv"], "__n", "__sum"), ["__g"], "__sum", "__below")
+    sizes = counts.groupBy(F.col("__g").alias("__h")).agg(F.sum("__n").alias("__all"), F.count("*").alias("__distinct"))
+    own = own.join(sizes, F.col("__g").eqNullSafe(F.col("__h"))).select("__g", "__gv", ((F.col("__below") + (F.col("__n") + 1) / 2) / F.col("__all")).alias("__own"), "__distinct")
+    every = prefix_sums(counts.groupBy(F.col("__gv").alias("__w")).agg(F.sum("__n").alias("__m")), ["__w"], "__m", "__before")
+    total = every.agg(F.sum("__m").alias("__total"))
+    world = every.crossJoin(F.broadcast(total)).select("__w", ((F.col("__before") + (F.col("__m") + 1) / 2) / F.col("__total")).alias("__world"))
+    out_ = base.join(own, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__v") == F.col("__gv"))).join(world, F.col("__v") == F.col("__w"))
     return out_.withColumn(out, F.when(F.col("__distinct") > 1, F.col("__own")).otherwise(F.col("__world"))).drop("__g", "__gv", "__w", "__own", "__world", "__distinct", "__v")
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquarry.common import spread
+from docquarry.common import small, spread
 from docquarry.functions import text as T
 
 K1, B, RRF = 1.5, 0.75, 60
@@ -61,12 +61,12 @@ def query_terms(queries: DataFrame, text_col: str = "query", tokens: Column | No
 def bm25_scores(index: Postings, terms: DataFrame, groups: tuple[str, ...] = ()) -> DataFrame:
     """(query_id, groups, chunk_id, bm25_score) of documents sharing a term with the query.
 
-    Only postings of query terms are touched: the query terms, bounded by the number of queries, filter them before
-    any other join.
+    Only postings of query terms are touched: the terms, few for a stated set of queries, are counted and then
+    broadcast, so that postings are filtered where they are read.
     """
     idf = index.df.crossJoin(F.broadcast(index.totals)).select("term", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), F.col("avgdl"))
-    weighted = terms.join(idf, "term")
-    hits = index.postings.join(weighted, "term")
+    weighted = idf.join(small(terms), "term")
+    hits = index.postings.join(small(weighted), "term")
     dl = F.greatest("dl", F.lit(1))
     part = F.col("qtf") * F.col("idf") * (F.col("tf") * (K1 + 1)) / (F.col("tf") + K1 * (1 - B + B * dl / F.col("avgdl")))
     return hits.groupBy("query_id", *groups, "chunk_id").agg(F.sum(part).alias("bm25_score"))
