@@ -36,15 +36,19 @@ def _descending(df: DataFrame, name: str) -> Column:
     return F.coalesce(-F.col(name).cast("double"), F.lit(float("-inf")))
 
 
-def prepare_scores(evidence: DataFrame, ties: list[str] = ()) -> DataFrame:
-    """Validated panel with one row per (company, year, indicator); a score outside 0..3 raises when it is read."""
+def prepare_scores(evidence: DataFrame, ties: list[str] = (), columns: list[str] = INDICATOR_COLUMNS) -> DataFrame:
+    """Validated panel with one row per (company, year, indicator); a score outside 0..3 raises when it is read.
+
+    Only ``columns`` of the panel are read and carried through the shuffle, the order of the choice beside them.
+    """
     require_columns(evidence, ["company", "year", "indicator_id", "pillar", "score"])
     score = F.col("score").cast("int")
     checked = F.when(score.isin(0, 1, 2, 3), score).otherwise(F.raise_error(F.concat(F.lit("invalid score value: "), F.coalesce(F.col("score").cast("string"), F.lit("null")))).cast("int"))
     number = lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) if c in evidence.columns else F.lit(0.0)
+    evidence = evidence.select(*[c for c in evidence.columns if c in {*columns, *ties, "company", "year", "indicator_id", "pillar", "score", "evidence_quality_score"}])
     panel = evidence.withColumns({"score": checked, "confidence": number("confidence"), "evidence_quality_score": number("evidence_quality_score")})
     panel = best_per_key(panel, ["company", "year", "indicator_id"], "evidence_quality_score", list(ties))
-    return panel.select(*(F.col(c) if c in panel.columns else F.lit("").alias(c) for c in INDICATOR_COLUMNS))
+    return panel.select(*(F.col(c) if c in panel.columns else F.lit("").alias(c) for c in columns))
 
 
 def _measures(panel: DataFrame) -> list[Column]:
@@ -67,18 +71,36 @@ def pillar_breakdown(panel: DataFrame) -> DataFrame:
     )
 
 
+#: The columns an index is computed from.
+INDEX_COLUMNS = ["company", "year", "indicator_id", "pillar", "score", "confidence", "confidence_label"]
+
+
 def firm_year_index(panel: DataFrame) -> DataFrame:
-    """The index table per (company, year): equal-indicator and equal-pillar indices, counts, rates."""
-    out = panel.groupBy("company", "year").agg(*_measures(panel)).withColumnRenamed("raw", "total_raw_score")
-    wide = pillar_breakdown(panel).groupBy("company", "year").pivot("pillar", ["E", "S", "G"]).agg(F.avg("pillar_index_0_100"))
-    wide = wide.select(F.col("company").alias("__c"), F.col("year").alias("__y"), *(F.coalesce(p, F.lit(0.0)).alias(n) for p, n in (("E", "environment_index"), ("S", "social_index"), ("G", "governance_index"))))
-    out = out.join(wide, F.col("company").eqNullSafe(F.col("__c")) & F.col("year").eqNullSafe(F.col("__y")), "left")
+    """The index table per (company, year): equal-indicator and equal-pillar indices, counts, rates.
+
+    One pass: rows are combined per indicator first (no further shuffle after ``prepare_scores``), then per firm-year,
+    the pillars as conditional sums.
+    """
+    label = F.col("confidence_label") if "confidence_label" in panel.columns else F.lit(None).cast("string")
+    sure = F.coalesce("confidence", F.lit(0.0)) if "confidence" in panel.columns else F.lit(0.0)
+    names = [x.split("_")[0].lower() + "_confidence_count" for x in LABELS]
+    cells = panel.groupBy("company", "year", "indicator_id", "pillar").agg(
+        F.sum("score").alias("raw"), F.sum((F.col("score") > 0).cast("int")).alias("shown"), F.sum(sure).alias("sure"), F.count("*").alias("rows"),
+        *(F.sum(F.coalesce((label == x).cast("int"), F.lit(0))).alias(n) for x, n in zip(LABELS, names)),
+    )
+    of = lambda p: F.col("pillar") == p
+    out = cells.groupBy("company", "year").agg(
+        F.sum("raw").alias("total_raw_score"), F.countDistinct("indicator_id").alias("indicator_count"), F.sum("shown").alias("disclosed_count"), (F.sum("sure") / F.sum("rows")).alias("avg"), *(F.sum(n).alias(n) for n in names),
+        *(F.sum(F.when(of(p), F.col("raw"))).alias(f"raw_{p}") for p in "ESG"), *(F.count(F.when(of(p), F.col("indicator_id"))).alias(f"n_{p}") for p in "ESG"),
+    )
+    pillar = lambda p: F.coalesce(F.bround(F.col(f"raw_{p}") / F.nullif(F.col(f"n_{p}") * 3, F.lit(0)) * 100, 4), F.lit(0.0))
+    out = out.withColumns({"environment_index": pillar("E"), "social_index": pillar("S"), "governance_index": pillar("G")})
     most = F.col("indicator_count") * 3
     pillars = (F.col("environment_index") + F.col("social_index") + F.col("governance_index")) / 3
     return out.select(
         "company", "year", F.bround(F.col("total_raw_score") / most * 100, 4).alias("index_equal_indicator"), F.bround(pillars, 4).alias("index_equal_pillar"), "environment_index", "social_index",
         "governance_index", "total_raw_score", most.alias("total_max_score"), "indicator_count", "disclosed_count", F.bround(F.col("disclosed_count") / F.col("indicator_count"), 4).alias("disclosure_rate"),
-        F.bround("avg", 4).alias("avg_confidence"), "high_confidence_count", "medium_confidence_count", "low_confidence_count",
+        F.bround("avg", 4).alias("avg_confidence"), *names,
     )
 
 

@@ -57,16 +57,16 @@ idx AS (SELECT t.company, t.year, round_even(raw / (indicator_count * 3) * 100,
 
 
 def _panel(spark: SparkSession, d: str) -> DataFrame:
-    rows = score_rows(spark, d)
+    rows = score_rows(spark, d).select("company", "year", "indicator_id", "pillar", "score", "confidence", "confidence_label", "evidence_quality_score", *TIES)
     return index.best_per_key(rows, ["company", "year", "indicator_id"], "evidence_quality_score", TIES)
 
 
 def flagship_firm_year_index(spark, d):
-    return index.firm_year_index(index.prepare_scores(score_rows(spark, d), TIES))
+    return index.firm_year_index(index.prepare_scores(score_rows(spark, d), TIES, index.INDEX_COLUMNS))
 
 
 def pillar_breakdown(spark, d):
-    return index.pillar_breakdown(index.prepare_scores(score_rows(spark, d), TIES))
+    return index.pillar_breakdown(index.prepare_scores(score_rows(spark, d), TIES, index.INDEX_COLUMNS))
 
 
 def legacy_scores(spark, d):
