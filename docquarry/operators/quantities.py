@@ -21,7 +21,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.common import materialise
+from docquarry.common import materialise, small
 from docquarry.operators.pairs import expand_pairs
 
 SAMPLE, CONFIDENT = 40_000, 0.9
@@ -131,14 +131,13 @@ def _features(stated: DataFrame) -> DataFrame:
 
     def others(keys: list[str], name: str) -> DataFrame:
         # Sums per key are combined map-side; a key holding a third of all rows costs one row per task.
-        sums = out.groupBy(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys))).agg(F.sum("__log").alias(f"{name}_s"), F.count("__log").alias(f"{name}_n"))
-        return sums
+        return out.groupBy(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys))).agg(F.sum("__log").alias(f"{name}_s"), F.count("__log").alias(f"{name}_n"))
 
     full = out
     for keys, name in ((["firm", "year", "indicator_id"], "__near_year"), (["firm", "indicator_id"], "__near_firm"), (["indicator_id"], "__near_all")):
         sums = others(keys, name)
         cond = [full[k].eqNullSafe(sums[f"__k{i}"]) for i, k in enumerate(keys)]
-        full = full.join(F.broadcast(sums) if len(keys) == 1 else sums, cond, "left").drop(*(f"__k{i}" for i in range(len(keys))))
+        full = full.join(small(sums) if len(keys) == 1 else sums, cond, "left").drop(*(f"__k{i}" for i in range(len(keys))))
         own = F.when(F.col("__log").isNotNull(), 1).otherwise(0)
         mean = (F.col(f"{name}_s") - F.coalesce("__log", F.lit(0.0))) / F.nullif(F.col(f"{name}_n") - own, F.lit(0))
         full = full.withColumn(name, mean - F.col("__mag")).drop(f"{name}_s", f"{name}_n")

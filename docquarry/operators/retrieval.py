@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquarry.common import small, spread
+from docquarry.common import materialise, small, spread
 from docquarry.functions import text as T
 
 K1, B, RRF = 1.5, 0.75, 60
@@ -40,16 +40,18 @@ def plain_tokens(c: Column | str) -> Column:
 
 
 def build_index(docs: DataFrame, text_col: str = "text", groups: tuple[str, ...] = (), tokens: Column | None = None) -> Postings:
-    """Explode, count per (document, term) with map-side combine, count documents per term."""
+    """Tokenise once, count per (document, term), write the postings (checkpoint); all statistics come from them."""
     terms = tokens if tokens is not None else T.tokenize(text_col)
     base = spread(docs).select("chunk_id", *groups, F.coalesce(terms, F.array().cast("array<string>")).alias("terms"))
-    lengths = base.select("chunk_id", *groups, F.size("terms").alias("dl"))
     # A document is one row, so its term counts are final within its task: the group-by shuffles counts, not tokens.
     posts = base.select("chunk_id", *groups, F.size("terms").alias("dl"), F.explode("terms").alias("term"))
-    posts = posts.groupBy("chunk_id", *groups, "dl", "term").agg(F.count("*").alias("tf"))
+    posts = materialise(posts.groupBy("chunk_id", *groups, "dl", "term").agg(F.count("*").alias("tf")))
     df = posts.groupBy("term").agg(F.count("*").alias("df"))
-    totals = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    return Postings(posts, df, totals, lengths)
+    documents = docs.select("chunk_id", *groups)
+    counted = documents.agg(F.count("*").alias("n"))
+    totals = counted.crossJoin(F.broadcast(posts.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("all"))))
+    totals = totals.select("n", F.greatest(F.col("all") / F.nullif("n", F.lit(0)), F.lit(1e-9)).alias("avgdl"))
+    return Postings(posts, df, totals, documents)
 
 
 def query_terms(queries: DataFrame, text_col: str = "query", tokens: Column | None = None) -> DataFrame:
