@@ -232,7 +232,7 @@ class Repairer:
         if at not in self.near:
             if len(self.near) > 500_000:
                 self.near.clear()
-            self.near[at] = key == other or _near(key, other, max(1, len(other) // 6))
+            self.near[at] = _near(key, other, min(3, max(1, len(other) // 6)))
         return self.near[at]
 
     def candidates(self, word: str) -> list[tuple[str, float]]:
@@ -287,11 +287,12 @@ class Repairer:
         A short line before a page number counts with it; a line of several parts counts if all parts but one recur.
         """
         full = [i for i, x in enumerate(lines) if x.strip()]
+        known = set(recurring)
         out: set[int] = set()
         for order in (full[:3], full[::-1][:3]):
             for k, i in enumerate(order):
                 parts = edge_parts(lines[i], strict=False)
-                hits = sum(any(self._alike(p, r) for r in recurring) for p in parts)
+                hits = sum(p in known or any(self._alike(p, r) for r in recurring if abs(len(r) - len(p)) <= 3) for p in parts)
                 rest = len(parts) - hits
                 if page_number(lines[i]) or (hits and rest <= 1):
                     out.add(i)
