@@ -160,11 +160,12 @@ def _predict(rows: DataFrame, sample: int, trees: int = 40, depth: int = 10) ->
 
     empty = rows.select("fact_id", F.lit(None).cast("string").alias("__label"), F.lit(None).cast("double").alias("__confidence")).limit(0)
     label = F.concat_ws(":", "__measure", F.col("__factor").cast("string"))
+    if not rows.where("__unit IS NULL AND __kind IS NOT NULL AND __figure <> 0").limit(1).count():
+        return empty
+    rows = materialise(_features(rows))
     lean = rows.where(F.col("__mag").isNotNull() & F.col("__kind").isNotNull()).select(
         "fact_id", "__kind", "indicator_id", *(F.coalesce(F.col(c), F.lit(-99.0)).alias(c) for c in _NUMBERS), F.when(F.col("__unit").isNotNull(), label).alias("__label")
     )
-    if not lean.where("__label IS NULL").limit(1).count():
-        return empty
     known = lean.where("__label IS NOT NULL").orderBy(F.xxhash64("fact_id"), "fact_id").limit(sample)
     known = materialise(known)
     if known.select("__label").distinct().limit(2).count() < 2:
@@ -202,7 +203,7 @@ def _predict(rows: DataFrame, sample: int, trees: int = 40, depth: int = 10) ->
 def normalise_facts(facts: DataFrame, indicators: DataFrame, rates: DataFrame, confident: float = CONFIDENT, sample: int = SAMPLE) -> DataFrame:
     """The facts with amount, common_unit, unit_from (evidence, column, predicted), unit_confidence and status."""
     names = facts.columns
-    rows = materialise(_features(_stated(facts, indicators, rates)))
+    rows = materialise(_stated(facts, indicators, rates))
     guess = _predict(rows, sample)
     split = F.split("__label", ":")
     fx = rates.groupBy(F.col("currency").alias("__m"), F.col("year").alias("__y")).agg(F.avg("vnd_per_unit").alias("__r"))
