@@ -105,6 +105,20 @@ def test_held_out_accuracy_and_noise():
     assert precision >= 0.9 and recall >= 0.9
 
 
+def test_one_toxic_word_is_enough_in_a_sentence_of_any_length():
+    t = toxicity.read_tokens(["Idiot!", "a b c d e f idiot.", "fine words. all of them", None])
+    prob = np.where(t.hash == t.hash[0], 0.99, 0.01)
+    assert toxicity.document_scores(t, prob, 4).tolist() == [0.99, 0.99, 0.01, 0.0]
+
+
+def test_threshold_comes_from_held_out_labels():
+    unfit = np.arange(200) < 40
+    score = np.where(unfit, 0.9, 0.7)
+    assert 0.7 < toxicity.held_out_threshold(score, unfit) <= 0.9
+    assert toxicity.held_out_threshold(np.where(unfit, 0.3, 0.1), unfit) <= 0.3
+    assert toxicity.held_out_threshold(score[:45], unfit[:45]) == 0.5
+
+
 def test_marginals_match_enumeration():
     rng = np.random.default_rng(1)
     field = toxicity.Field(np.zeros(toxicity.BUCKETS), -0.7, rng.normal(size=(2, 2)))
