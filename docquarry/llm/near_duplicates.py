@@ -1,9 +1,10 @@
 """Pages largely taken over from one another, found without comparing all pairs.
 
-Every page of enough words becomes a signature of min-hash positions of two bytes each. The inverted index maps
-groups of positional bytes to pages; for every pair that shares a posting the equal positional bytes are tallied, and
-pairs reaching the minimum that a pair at the threshold is sure to have (four standard deviations below its expected
-matches) go on to the comparison of their shingle sets.
+The shingles of every page of enough words are put in one order, rare ones first; the inverted index holds the first of
+them (prefix filter): two sets reaching the similarity must share ``SHARED`` of these, so no pair is lost. Shared postings
+count where the sizes of the sets and the places of the shingle still allow the similarity, which they always do for the
+first ``SHARED`` of a true pair; pairs reaching that count go on to the comparison of their shingle sets. The order comes from a sample of
+pages; it decides how many pairs meet, never which are found.
 
 Pages with equal shingle sets form one class and take part once, so copies never meet in the index. Shingles are
 compared as 32-bit hashes; two pages of 1,000 shingles meet a chance collision in fewer than 1 of 1,000 comparisons,
@@ -27,9 +28,10 @@ from docquarry.common import materialise, spread
 from docquarry.llm.splitting import WORD
 from docquarry.operators.pairs import expand_pairs
 
-#: Signature positions; positions in one posting; postings. A pair of similarity 0.65 shares a posting with probability 0.999,
-#: one of similarity 0.1 with probability 0.0006, so unrelated pages of one template hardly meet.
-POSITIONS, RUN, BANDS = 128, 5, 64
+#: About so many pages are read for the order of the shingles; shingles seen less often there than ``SEEN`` count as rare.
+SAMPLE, SEEN = 20_000, 3
+#: Shingles of their prefixes that two sets must share; any number is exact, more means longer prefixes and fewer comparisons.
+SHARED = 4
 #: Ids of pages to compare exactly are broadcast up to this count (16 bytes each), joined by shuffle beyond.
 BROADCAST_IDS = 1_000_000
 _U64 = np.uint64
@@ -41,11 +43,6 @@ def _mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
-def _multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20240607)
-    return rng.integers(0, 1 << 32, count, dtype=np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, count, dtype=np.uint32)
-
-
 def shingle_sets(texts: list[str | None], size: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index of the text, bounds, hashes): sorted distinct 64-bit shingle hashes of every text long enough."""
     words: list[str] = []
@@ -76,56 +73,72 @@ def shingle_sets(texts: list[str | None], size: int, least_words: int) -> tuple[
     return np.array(index), np.searchsorted(owner, np.arange(len(count) + 1)), s
 
 
-def signatures(pages: DataFrame, id_col: str, text_col: str, size: int, least_words: int) -> DataFrame:
-    """(id, set_a, set_b, sig, marks) of every page long enough; sig holds two bytes per position, marks the lower one."""
+def shingle_order(pages: DataFrame, id_col: str, text_col: str, size: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted shingle hashes, counts) of the shingles that recur in a sample of pages; bounded by the sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = (shingle_sets(batch.column("text").to_pylist(), size, least_words)[2] >> _U64(32)).astype(np.int64)
+            key, n = np.unique(low, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    step = max(1, pages.count() // SAMPLE)
+    src = pages.where(F.pmod(F.xxhash64(id_col), F.lit(step)) == 0).select(F.col(text_col).alias("text"))
+    out = src.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN).toArrow().sort_by("key")
+    return out["key"].to_numpy().astype(np.uint32), out["n"].to_numpy()
+
+
+def prefixes(bounds: np.ndarray, low: np.ndarray, order: tuple[np.ndarray, np.ndarray], threshold: float) -> list[np.ndarray]:
+    """The rarest shingles of every set, as many as make sure that sets reaching the similarity share ``SHARED`` of them."""
+    keys, counts = order
+    seen = np.zeros(len(low), np.int64)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, low), len(keys) - 1)
+        seen = np.where(keys[at] == low, counts[at], 0)
+    n = np.diff(bounds)
+    ranked = low[np.lexsort((low, seen, np.repeat(np.arange(len(n)), n)))]
+    take = np.minimum(n, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + SHARED)
+    return [ranked[a : a + k] for a, k in zip(bounds[:-1], take)]
+
+
+def signatures(pages: DataFrame, id_col: str, text_col: str, size: int, least_words: int, threshold: float = 0.6) -> DataFrame:
+    """(id, set_a, set_b, n, prefix) of every page long enough: two sums of its set, its size, its rarest shingles in order."""
     kind = dict(pages.dtypes)[id_col]
+    order = pages.sparkSession.sparkContext.broadcast(shingle_order(pages, id_col, text_col, size, least_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mul, add = _multipliers(POSITIONS)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 index, bounds, s = shingle_sets(batch.column("text").to_pylist(), size, least_words)
                 if not len(index):
                     continue
-                low = (s >> _U64(32)).astype(np.uint32)
                 starts = bounds[:-1]
-                sig = np.empty((POSITIONS, len(index)), np.uint32)
-                for k in range(POSITIONS):
-                    sig[k] = np.minimum.reduceat(low * mul[k] + add[k], starts)
-                two = np.ascontiguousarray((_mix64(sig.astype(_U64)) & _U64(0xFFFF)).astype(np.uint16).T)
-                marks = two.astype(np.uint8)
+                first = prefixes(bounds, (s >> _U64(32)).astype(np.uint32), order.value, threshold)
                 set_a = np.add.reduceat(_mix64(s ^ _U64(0x5851F42D4C957F2D)), starts).view(np.int64)
                 set_b = np.add.reduceat(_mix64(s ^ _U64(0x14057B7EF767814F)), starts).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(index)), pa.array(set_a), pa.array(set_b), pa.array([x.tobytes() for x in two], pa.binary()), pa.array([x.tobytes() for x in marks], pa.binary())],
-                    ["id", "set_a", "set_b", "sig", "marks"],
+                    [batch.column("id").take(pa.array(index)), pa.array(set_a), pa.array(set_b), pa.array(np.diff(bounds).astype(np.int32)), pa.array([x.tobytes() for x in first], pa.binary())],
+                    ["id", "set_a", "set_b", "n", "prefix"],
                 )
 
     src = spread(pages.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
-    return src.mapInArrow(run, f"id {kind}, set_a bigint, set_b bigint, sig binary, marks binary")
-
-
-def _bands() -> np.ndarray:
-    """(BANDS, RUN) positions of each posting, every position in use equally often."""
-    rng = np.random.default_rng(7)
-    rounds = -(-BANDS * RUN // POSITIONS)
-    return np.concatenate([rng.permutation(POSITIONS) for _ in range(rounds)])[: BANDS * RUN].reshape(BANDS, RUN)
+    return src.mapInArrow(run, f"id {kind}, set_a bigint, set_b bigint, n int, prefix binary")
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Posting keys (band and its positional bytes) of each signature."""
-    places = _bands()
-    seed = _mix64(np.arange(1, BANDS + 1, dtype=_U64) * _U64(0xD6E8FEB86659FD93))
+    """A row for every shingle of a prefix: the size of its set and how many shingles come after it in the order."""
     for whole in batches:
         for at in range(0, whole.num_rows, 2048):
             batch = whole.slice(at, 2048)
-            sig = np.array([np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column("sig")], dtype=_U64).reshape(-1, POSITIONS)
-            key = np.broadcast_to(seed, (len(sig), BANDS)).copy()
-            for k in range(RUN):
-                key = _mix64(key * _U64(0x9E3779B97F4A7C15) + sig[:, places[:, k]])
-            owner = pa.array(np.repeat(np.arange(len(sig)), BANDS))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), batch.column("id").take(owner)], ["post", "id"])
+            parts = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column("prefix")]
+            if not parts:
+                continue
+            count = np.array([len(x) for x in parts])
+            owner = np.repeat(np.arange(len(parts)), count)
+            size = batch.column("n").to_numpy()[owner]
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts)), batch.column("id").take(pa.array(owner)), pa.array(size), pa.array((size - place - 1).astype(np.int32))], ["post", "id", "n", "after"])
 
 
 def _shingles(size: int, least_words: int):
@@ -141,23 +154,6 @@ def _shingles(size: int, least_words: int):
     return run
 
 
-def _least_matches(threshold: float) -> int:
-    """Matching positional bytes that a pair at the threshold reaches but for four standard deviations."""
-    return int(POSITIONS * threshold - 4 * (POSITIONS * threshold * (1 - threshold)) ** 0.5)
-
-
-def _tally(least: int):
-    """Pairs with at least so many equal positional bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, POSITIONS) for c in ("ma", "mb"))
-            keep = pa.array(np.flatnonzero((a == b).sum(axis=1) >= least))
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)], ["a", "b"])
-
-    return run
-
-
 def _similar(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,17 +183,17 @@ def near_duplicate_links(pages: DataFrame, id_col: str = "page_key", text_col: s
     """
     kind = dict(pages.dtypes)[id_col]
     pages = pages.where(F.col(id_col).isNotNull())
-    sigs = materialise(signatures(pages, id_col, text_col, size, least_words))
+    sigs = materialise(signatures(pages, id_col, text_col, size, least_words, threshold))
     heads = sigs.groupBy("set_a", "set_b").agg(F.min("id").alias("cls"))
     members = materialise(sigs.select("id", "set_a", "set_b").join(heads, ["set_a", "set_b"]).select("cls", "id"))
     firsts = members.where("cls = id").select("cls").distinct()
-    posts = sigs.select("id", "sig").join(firsts, F.col("id") == F.col("cls"), "left_semi").mapInArrow(_postings, f"post bigint, id {kind}")
-    pairs = posts.select("post", F.col("id").alias("a")).join(posts.select("post", F.col("id").alias("b")), "post").where("a < b")
-    pairs = pairs.select("a", "b").distinct()
-    marks = sigs.select("id", "marks")
-    pairs = pairs.join(marks.select(F.col("id").alias("a"), F.col("marks").alias("ma")), "a")
-    pairs = pairs.join(marks.select(F.col("id").alias("b"), F.col("marks").alias("mb")), "b")
-    pairs = materialise(pairs.select("a", "b", "ma", "mb").mapInArrow(_tally(_least_matches(threshold)), f"a {kind}, b {kind}"))
+    posts = sigs.select("id", "n", "prefix").join(firsts, F.col("id") == F.col("cls"), "left_semi").mapInArrow(_postings, f"post int, id {kind}, n int, after int")
+    left, right = (posts.select("post", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("after").alias(f"after{x}")) for x in "ab")
+    sizes = F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9
+    least = F.ceil(threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-6)  # shared shingles at the threshold
+    pairs = left.join(right, "post").where((F.col("a") < F.col("b")) & sizes & (SHARED + F.least("aftera", "afterb") >= least))
+    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least(least, F.lit(SHARED))).alias("least"))
+    pairs = materialise(pairs.where("shared >= least").select("a", "b"))
     ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     src = pages.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")

@@ -55,6 +55,18 @@ def test_a_third_of_all_rows_being_copies_stays_linear(spark):
     assert members.count() == len(rows) and members.where("cls = 0").count() == 201
 
 
+def test_every_pair_at_the_threshold_shares_a_shingle_of_its_prefixes(spark):
+    rng = random.Random(11)
+    rows = []
+    for k in range(400):  # 300 shingles each way, 75 of them changed: similarity 0.6 to 0.62
+        base = [f"x{k}_{i}" for i in range(302)]
+        other = base[:227] + [f"y{k}_{i}" for i in range(rng.choice([72, 73, 74, 75]))]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    want = {(2 * k, 2 * k + 1) for k in range(400) if (n := len(shingles(rows[2 * k][1]) & shingles(rows[2 * k + 1][1]))) >= 0.6 * (len(shingles(rows[2 * k][1])) + len(shingles(rows[2 * k + 1][1])) - n)}
+    got = {tuple(r) for r in near_duplicates.near_duplicate_pairs(spark.createDataFrame(rows, "page_key bigint, text string")).collect()}
+    assert got == want and len(want) > 200
+
+
 def vectors(n=1500, d=32, seed=2):
     rng = np.random.default_rng(seed)
     centres = rng.normal(size=(n // 6, d))
