@@ -1,8 +1,8 @@
 """Repairing text of scanned pages: page furniture, words cut across lines, misread characters.
 
-A vocabulary of the pages that were not scanned goes into a trie. For every unknown word all vocabulary words within
-two edits are found by running a Levenshtein automaton along the trie (complete: no blocking, no sampling); they are
-ranked by how well known confusions explain the difference, then by the neighbouring words, then by frequency.
+A vocabulary of the pages that were not scanned goes into a trie. For every unknown word all vocabulary words whose
+accepted cost of known confusions and other edits explains it are found by running a weighted Levenshtein automaton along
+the trie (complete: no blocking, no sampling); they are ranked by how well known confusions explain the difference, then by the neighbouring words, then by frequency.
 Running lines are found at page edges, by page-number forms and by what recurs at the edges of a report's pages, also
 where it is itself misread. The rest is joined into paragraphs.
 
@@ -60,7 +60,7 @@ def plain(text: str) -> str:
 
 
 class Trie:
-    """Vocabulary trie searched by a Levenshtein automaton of at most ``k`` edits."""
+    """Vocabulary trie searched by Levenshtein automata, of plain edits or of known confusions."""
 
     def __init__(self, words: dict[str, int]):
         self.root: dict = {}
@@ -88,6 +88,30 @@ class Trie:
                     stack.append((child, new))
         return out
 
+    def misread(self, word: str, limit: float) -> list[tuple[str, float]]:
+        """All (vocabulary word, ``confusion_cost``) of at most ``limit``: the state is a row of costs, dead above it."""
+        n, out = len(word), []
+        single = [CONFUSIONS.get(c, "") for c in word]
+        double = ["", *(CONFUSIONS.get(word[j : j + 2], "") for j in range(n - 1))]
+        stack = [(self.root, [float(j) for j in range(n + 1)])]
+        while stack:
+            node, row = stack.pop()
+            for c, child in node.items():
+                if c == "":
+                    if row[n] <= limit:
+                        out.append((child, row[n]))
+                    continue
+                new = [row[0] + 1]
+                for j in range(1, n + 1):
+                    r = word[j - 1]
+                    cost = row[j - 1] + (0.0 if r == c else 0.25 if c in single[j - 1] or r == "\ufffd" else 1.0)
+                    if j > 1 and c in double[j - 1]:
+                        cost = min(cost, row[j - 2] + 0.25)
+                    new.append(min(cost, row[j] + 1, new[j - 1] + 1))
+                if min(new) <= limit:
+                    stack.append((child, new))
+        return out
+
 
 def confusion_cost(read: str, true: str) -> float:
     """Edits that turn ``true`` into ``read``, where a known confusion costs 0.25 and any other edit 1."""
@@ -241,8 +265,8 @@ class Repairer:
             if len(self.known) > 200_000:
                 self.known.clear()
             odd = any(not c.isalpha() for c in word)
-            found = [(w, confusion_cost(word, w)) for w, _ in self.trie.within(word, 2)] if 2 <= len(word) <= 40 else []
-            self.known[word] = sorted((x for x in found if 0 < x[1] <= (1.3 if odd else 0.8)), key=lambda x: (x[1], -self.words[x[0]]))
+            found = self.trie.misread(word, 1.3 if odd else 0.8) if 2 <= len(word) <= 40 else []
+            self.known[word] = sorted((x for x in found if 0 < x[1]), key=lambda x: (x[1], -self.words[x[0]]))
         return self.known[word]
 
     def _together(self, a: str | None, b: str | None) -> int:

@@ -30,6 +30,18 @@ def test_automaton_retrieval_is_complete():
         assert sorted(trie.within(w, 2)) == sorted((v, distance(w, v)) for v in words if distance(w, v) <= 2)
 
 
+def test_candidates_cover_all_the_ranking_accepts():
+    rng = random.Random(6)
+    words = {"".join(rng.choice("mnhdwue") for _ in range(rng.randint(2, 6))): 5 for _ in range(300)}
+    trie = scanned.Trie(words)
+    for _ in range(60):
+        w = "".join(rng.choice(["rn", "ri", "cl", "li", "vv", "m", "c", "0", "\ufffd"]) for _ in range(rng.randint(1, 5)))
+        for limit in (0.8, 1.3):
+            assert sorted(trie.misread(w, limit)) == sorted((v, scanned.confusion_cost(w, v)) for v in words if scanned.confusion_cost(w, v) <= limit)
+    tool = scanned.Repairer({"commemoration": 9}, np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert tool.read_word("cornrnemoration") and tool.repair("cornrnernoration", []) == "commemoration"
+
+
 @pytest.mark.parametrize("line", ["4", "l4", "- 7 -", "[5]", "3 |", "xxiii", "Page 9 of 62", "Trang 7/32", "P a g e | 6", "Trarig 14/55", "lO"])
 def test_page_numbers(line):
     assert scanned.page_number(line)
