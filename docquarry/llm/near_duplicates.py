@@ -102,7 +102,7 @@ def prefixes(bounds: np.ndarray, low: np.ndarray, order: tuple[np.ndarray, np.nd
 
 
 def signatures(pages: DataFrame, id_col: str, text_col: str, size: int, least_words: int, threshold: float = 0.6) -> DataFrame:
-    """(id, set_a, set_b, n, prefix) of every page long enough: two sums of its set, its size, its rarest shingles in order."""
+    """(id, set_a, set_b, n, prefix, copy) of every page long enough: two sums of its set, its size, its rarest shingles in order, a hash of its text."""
     kind = dict(pages.dtypes)[id_col]
     order = pages.sparkSession.sparkContext.broadcast(shingle_order(pages, id_col, text_col, size, least_words))
 
@@ -118,12 +118,12 @@ def signatures(pages: DataFrame, id_col: str, text_col: str, size: int, least_wo
                 set_a = np.add.reduceat(_mix64(s ^ _U64(0x5851F42D4C957F2D)), starts).view(np.int64)
                 set_b = np.add.reduceat(_mix64(s ^ _U64(0x14057B7EF767814F)), starts).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(index)), pa.array(set_a), pa.array(set_b), pa.array(np.diff(bounds).astype(np.int32)), pa.array([x.tobytes() for x in first], pa.binary())],
-                    ["id", "set_a", "set_b", "n", "prefix"],
+                    [batch.column("id").take(pa.array(index)), pa.array(set_a), pa.array(set_b), pa.array(np.diff(bounds).astype(np.int32)), pa.array([x.tobytes() for x in first], pa.binary()), batch.column("copy").take(pa.array(index))],
+                    ["id", "set_a", "set_b", "n", "prefix", "copy"],
                 )
 
-    src = spread(pages.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
-    return src.mapInArrow(run, f"id {kind}, set_a bigint, set_b bigint, n int, prefix binary")
+    src = spread(pages.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("copy")))
+    return src.mapInArrow(run, f"id {kind}, set_a bigint, set_b bigint, n int, prefix binary, copy bigint")
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,15 +177,15 @@ def _similar(threshold: float):
 
 
 def near_duplicate_links(pages: DataFrame, id_col: str = "page_key", text_col: str = "text", size: int = 3, threshold: float = 0.6, least_words: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(links, members): links (a, b, similarity) between classes of equal shingle sets, members (cls, id).
+    """(links, members): links (a, b, similarity) between classes of equal shingle sets, members (cls, copy, id).
 
-    The class id is the smallest id of the class.
+    Rows that agree in copy have the same text. The class id is the smallest id of the class.
     """
     kind = dict(pages.dtypes)[id_col]
     pages = pages.where(F.col(id_col).isNotNull())
     sigs = materialise(signatures(pages, id_col, text_col, size, least_words, threshold))
     heads = sigs.groupBy("set_a", "set_b").agg(F.min("id").alias("cls"))
-    members = materialise(sigs.select("id", "set_a", "set_b").join(heads, ["set_a", "set_b"]).select("cls", "id"))
+    members = materialise(sigs.select("id", "set_a", "set_b", "copy").join(heads, ["set_a", "set_b"]).select("cls", "copy", "id"))
     firsts = members.where("cls = id").select("cls").distinct()
     posts = sigs.select("id", "n", "prefix").join(firsts, F.col("id") == F.col("cls"), "left_semi").mapInArrow(_postings, f"post int, id {kind}, n int, after int")
     left, right = (posts.select("post", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("after").alias(f"after{x}")) for x in "ab")
@@ -205,6 +205,6 @@ def near_duplicate_links(pages: DataFrame, id_col: str = "page_key", text_col: s
 
 
 def near_duplicate_pairs(pages: DataFrame, id_col: str = "page_key", text_col: str = "text", size: int = 3, threshold: float = 0.6, least_words: int = 80) -> DataFrame:
-    """Pairs ({id}_a, {id}_b) of rows whose shingle sets reach the similarity; copies of large classes as a star."""
+    """Pairs ({id}_a, {id}_b) of rows whose shingle sets reach the similarity; large groups of one text as a star."""
     links, members = near_duplicate_links(pages, id_col, text_col, size, threshold, least_words)
     return expand_pairs(links.select("a", "b"), members).select(F.col("a").alias(f"{id_col}_a"), F.col("b").alias(f"{id_col}_b")).distinct()

@@ -9,15 +9,29 @@ from pyspark.sql import functions as F
 EXPAND = 64
 
 
+def _by_copies(links: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and members of the groups of true copies inside the classes; groups of one class are all linked."""
+    groups = members.groupBy("cls", "copy").agg(F.min("id").alias("group"))
+    rows = members.join(groups, ["cls", "copy"]).select(F.col("group").alias("cls"), "id")
+    one, two = (groups.select(F.col("cls").alias(c), F.col("group").alias(g)) for c, g in (("a", "ga"), ("b", "gb")))
+    across = links.join(one, "a").join(two, "b").select("ga", "gb")
+    inside = one.join(two.withColumnRenamed("b", "a"), "a").where("ga < gb").select("ga", "gb")
+    return across.unionByName(inside).select(F.col("ga").alias("a"), F.col("gb").alias("b")), rows
+
+
 def expand_pairs(links: DataFrame, members: DataFrame, expand: int = EXPAND) -> DataFrame:
     """Row pairs (a, b), a < b.
 
     links: (a, b), class ids, a != b. members: (cls, id), one row per row of the collection that may take part.
+    members may have a third column, copy (not null): then only rows of a class that agree in it are copies, rows that
+    differ in it are all paired, and what follows holds for each group of copies.
     A class larger than ``expand`` is represented by its smallest id in every link to other classes, and its own
     rows are each paired with that id: no link between different texts is lost and no quadratic group is written.
     The size of each class is a map-side combined count, so a class holding a third of all rows costs one row per
     map task; joins to it are split by the adaptive skew join.
     """
+    if "copy" in members.columns:
+        links, members = _by_copies(links, members)
     sizes = members.groupBy("cls").agg(F.count("*").alias("n"), F.min("id").alias("low"))
     linked = links.select(F.col("a").alias("cls")).unionByName(links.select(F.col("b").alias("cls"))).distinct()
     few = sizes.where(F.col("n") <= expand).join(linked, "cls", "left_semi")

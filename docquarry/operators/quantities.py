@@ -226,13 +226,15 @@ def agreeing_facts(facts: DataFrame, indicators: DataFrame, rates: DataFrame, to
     """Pairs (fact_id_a, fact_id_b) of one firm, year and indicator whose amounts differ by at most ``tolerance`` of the larger.
 
     Equal amounts form one class; classes meet through buckets of relative width ``tolerance`` and their neighbours, so
-    a key with many rows is joined by amount and never compared row by row.
+    a key with many rows is joined by amount and never compared row by row. Only rows equal in figure, unit, currency and
+    evidence are copies, of which large groups give a star; all other pairs are written.
     """
     rows = normalise_facts(facts, indicators, rates).where("amount IS NOT NULL AND year IS NOT NULL AND firm IS NOT NULL AND indicator_id IS NOT NULL AND NOT isnan(amount)")
-    rows = materialise(rows.select("fact_id", "firm", "year", "indicator_id", "amount"))
+    copy = F.md5(F.to_json(F.struct("value", "unit", "currency", "evidence")))
+    rows = materialise(rows.select("fact_id", "firm", "year", "indicator_id", "amount", copy.alias("copy")))
     keys = ["firm", "year", "indicator_id", "amount"]
     heads = rows.groupBy(*keys).agg(F.min("fact_id").alias("cls"))
-    members = rows.join(heads, keys).select("cls", F.col("fact_id").alias("id"))
+    members = rows.join(heads, keys).select("cls", "copy", F.col("fact_id").alias("id"))
     bucket = F.when(F.col("amount") == 0, F.lit(-(1 << 40))).otherwise(F.floor(F.log(F.abs("amount")) / -log(1 - tolerance))).cast("bigint")
     base = heads.withColumns({"bucket": bucket, "sign": F.signum("amount")})
     left = base.select("firm", "year", "indicator_id", "sign", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"), F.col("cls").alias("a"), F.col("amount").alias("x"))

@@ -64,3 +64,11 @@ def test_expansion_keeps_large_classes_small(spark):
     links = spark.createDataFrame([(1, 200), (200, 201)], "a bigint, b bigint")
     got = {tuple(r) for r in pairs.expand_pairs(links, members).collect()}
     assert {(1, i) for i in range(2, 101)} | {(1, 200), (200, 201), (200, 202), (201, 202)} == got
+
+
+def test_only_true_copies_become_a_star(spark):
+    members = spark.createDataFrame([(0, str(i), i) for i in range(70)] + [(100, "x", 100 + i) for i in range(70)], "cls bigint, copy string, id bigint")
+    links = spark.createDataFrame([(0, 100)], "a bigint, b bigint")
+    got = {tuple(r) for r in pairs.expand_pairs(links, members).collect()}
+    differing = {(i, j) for i in range(70) for j in range(i + 1, 70)}
+    assert got == differing | {(i, 100) for i in range(70)} | {(100, 100 + i) for i in range(1, 70)}
