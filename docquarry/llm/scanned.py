@@ -7,7 +7,8 @@ Running lines are found at page edges, by page-number forms and by what recurs a
 where it is itself misread. The rest is joined into paragraphs.
 
 The vocabulary holds words seen at least max(3, words / 1,000,000) times, so it never exceeds a million words and is
-broadcast; likewise the word pairs. Recurring edge lines are kept per report from ``max(3, 2 %)`` of its pages.
+broadcast; likewise the word pairs. Edge lines recur in a report from ``max(3, 2 %)`` of its pages, or from 3 pages of any
+100 consecutive page numbers aligned to ``WINDOW``, however long the report; the latter hold for pages of those numbers.
 
 Defined results: null and empty texts give no findings and a null or empty repaired text; pages of reports that were
 not scanned are left out; a null source is never a scanned report; repeated rows each give their rows; extra columns
@@ -32,6 +33,8 @@ from docquarry.common import materialise, spread
 from docquarry.llm.boilerplate import INVISIBLE
 from docquarry.llm.visual import _translation
 
+#: Half the page numbers within which an edge line recurs; pages of a window that have to show it.
+WINDOW, RECURS = 50, 3
 _U64 = np.uint64
 #: What a letter or digit group is misread as by character recognition, read -> true.
 CONFUSIONS = {
@@ -217,15 +220,17 @@ def _edges(lines: list[str], depth: int = 3) -> list[int]:
 
 
 def _edge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of edge parts per report (window null) and per window of page numbers; every page is in two windows."""
     for batch in batches:
         found: Counter = Counter()
-        for source, text in zip(batch.column("source").to_pylist(), batch.column("text").to_pylist()):
-            found[source, ""] += 1
+        for source, text, window in zip(*(batch.column(c).to_pylist() for c in ("source", "text", "window"))):
+            found[source, None, ""] += 1
             lines = plain(text or "").split("\n")
             for key in {part for i in _edges(lines) for part in edge_parts(lines[i])}:
-                found[source, key] += 1
-        names, keys = zip(*found) if found else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(keys, pa.string()), pa.array(list(found.values()), pa.int64())], ["source", "key", "n"])
+                for w in (None,) if window is None else (None, window, window + 1):
+                    found[source, w, key] += 1
+        names, windows, keys = zip(*found) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(windows, pa.int64()), pa.array(keys, pa.string()), pa.array(list(found.values()), pa.int64())], ["source", "window", "key", "n"])
 
 
 def _near(a: str, b: str, most: int) -> bool:
@@ -397,17 +402,20 @@ class Repairer:
         return " ".join(out)
 
 
-def _scanned(pages: DataFrame, ocr: DataFrame, id_col: str, source_col: str, text_col: str, output: str):
+def _scanned(pages: DataFrame, ocr: DataFrame, id_col: str, source_col: str, text_col: str, output: str, page_col: str = "page_number"):
     """Run the repairer over the pages of scanned reports; output is 'findings' or 'repaired'."""
     spark = pages.sparkSession
     kind = dict(pages.dtypes)[id_col]
     reports = materialise(ocr.select(F.element_at(F.split("report_path", "/"), -1).alias("source")).where("source IS NOT NULL AND source <> ''").distinct())
-    rows = pages.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    window = F.floor(F.col(page_col) / WINDOW).cast("bigint") if page_col in pages.columns else F.lit(None).cast("bigint")
+    rows = pages.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"), window.alias("window"))
     hint = F.broadcast(reports) if reports.count() <= 1_000_000 else reports
     sound = rows.join(hint, "source", "left_anti")
     mine = spread(rows.join(hint, "source", "left_semi"))
     model = spark.sparkContext.broadcast(vocabulary(sound))
-    counts = materialise(mine.mapInArrow(_edge_keys, "source string, key string, n bigint").groupBy("source", "key").agg(F.sum("n").alias("n")))
+    counts = materialise(mine.mapInArrow(_edge_keys, "source string, window bigint, key string, n bigint").groupBy("source", "window", "key").agg(F.sum("n").alias("n")))
+    near = counts.where((F.col("window").isNotNull()) & (F.col("n") >= RECURS)).groupBy("source", "window").agg(F.collect_list("key").alias("keys"))
+    counts = counts.where("window IS NULL").drop("window")
     totals = counts.where("key = ''").select("source", F.col("n").alias("rows"))
     own = counts.where("key <> ''").join(totals, "source").where(F.col("n") >= F.greatest(F.lit(3), F.ceil(F.col("rows") * 0.02)))
     own = own.groupBy("source").agg(F.collect_list("key").alias("keys"))
@@ -415,6 +423,9 @@ def _scanned(pages: DataFrame, ocr: DataFrame, id_col: str, source_col: str, tex
     every = (totals.agg(F.sum("rows")).first() or [0])[0] or 0
     shared = [r["key"] for r in wide.where((F.col("reports") >= 3) & (F.col("n") >= max(5, every * 0.002))).collect()]
     src = mine.join(own, "source", "left")
+    for k in (0, 1):  # the two windows of a page
+        src = src.join(near.select("source", (F.col("window") - k).alias("window"), F.col("keys").alias(f"keys{k}")), ["source", "window"], "left")
+    src = src.withColumn("keys", F.array_distinct(F.concat(*(F.coalesce(c, F.array().cast("array<string>")) for c in ("keys", "keys0", "keys1")))))
     found = output == "findings"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

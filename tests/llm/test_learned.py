@@ -84,6 +84,14 @@ def test_scans_of_tables(spark):
     assert scanned.scan_noise(pages, ocr.limit(0)).count() == 0 and scanned.scan_noise(pages.limit(0), ocr).count() == 0
 
 
+def test_section_headers_of_long_reports_are_running(spark):
+    pages = [(k, "scan.pdf", k, f"{'Chapter Of Risks' if 100 <= k < 105 else 'Part ' + chr(97 + k % 26) * (3 + k // 26)}\nthe board met and approved\nthe new store was not open") for k in range(300)]
+    df = spark.createDataFrame(pages, "page_key int, source_file string, page_number int, text string")
+    ocr = spark.createDataFrame([("raw/scan.pdf",)], "report_path string")
+    got = {tuple(r) for r in scanned.scan_noise(df, ocr).where("line_no = 1 AND kind = 'running'").collect()}
+    assert got >= {(k, 1, "running") for k in range(100, 105)}
+
+
 def test_words_are_compared_plainly():
     n = toxicity.normal_word
     assert n("ĐỒ") == n("đồ,") == "do" and n("nggggày") == "ngay" and n("va7") == "vat" and n("t.h.ằ.n.g") == "~thang" and n("KG-53076,") == "#code" and n("18,43%") == "#number" and n("ѕúc") == "suc"
