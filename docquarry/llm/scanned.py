@@ -6,8 +6,8 @@ the trie (complete: no blocking, no sampling); they are ranked by how well known
 Running lines are found at page edges, by page-number forms and by what recurs at the edges of a report's pages, also
 where it is itself misread. The rest is joined into paragraphs.
 
-The vocabulary holds words seen at least max(3, words / 1,000,000) times, so it never exceeds a million words and is
-broadcast; likewise the word pairs. Edge lines recur in a report from ``max(3, 2 %)`` of its pages, or from 3 pages of any
+The vocabulary and the word pairs hold what was seen at least ``LEAST`` times, whatever the size of the corpus; both are
+broadcast, so the memory of a worker bounds the vocabulary. Edge lines recur in a report from ``max(3, 2 %)`` of its pages, or from 3 pages of any
 100 consecutive page numbers aligned to ``WINDOW``, however long the report; the latter hold for pages of those numbers.
 
 Defined results: null and empty texts give no findings and a null or empty repaired text; pages of reports that were
@@ -33,6 +33,8 @@ from docquarry.common import materialise, spread
 from docquarry.llm.boilerplate import INVISIBLE
 from docquarry.llm.visual import _translation
 
+#: How often words and word pairs of the vocabulary are seen at least.
+LEAST = 3
 #: Half the page numbers within which an edge line recurs; pages of a window that have to show it.
 WINDOW, RECURS = 50, 3
 _U64 = np.uint64
@@ -165,12 +167,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def vocabulary(pages: DataFrame, text_col: str = "text") -> tuple[dict[str, int], np.ndarray, np.ndarray]:
-    """(word counts, sorted pair hashes, pair counts) of pages, each bounded by its share of all words."""
+    """(word counts, sorted pair hashes, pair counts) of pages, of all seen ``LEAST`` times or more."""
     src = spread(pages.select(F.col(text_col).alias("text")).where("text IS NOT NULL"))
     counts = src.mapInArrow(_count_words, "word string, pair bigint, n bigint").groupBy("word", "pair").agg(F.sum("n").alias("n"))
-    counts = materialise(counts.where("n > 1"))
-    total = counts.where("word IS NOT NULL").agg(F.sum("n")).first()[0] or 0
-    common = counts.where(F.col("n") >= max(3, total // 1_000_000))
+    common = materialise(counts.where(F.col("n") >= LEAST))
     words = common.where("word IS NOT NULL").select("word", "n").toArrow()
     pairs = common.where("word IS NULL").select("pair", "n").orderBy("pair").toArrow()
     return dict(zip(words["word"].to_pylist(), words["n"].to_pylist())), pairs["pair"].to_numpy(), pairs["n"].to_numpy()

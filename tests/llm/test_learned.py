@@ -92,6 +92,12 @@ def test_section_headers_of_long_reports_are_running(spark):
     assert got >= {(k, 1, "running") for k in range(100, 105)}
 
 
+def test_rare_words_stay_in_the_vocabulary_of_a_large_corpus(spark):
+    df = spark.range(3).select(F.concat(F.lit("ombudsman "), F.repeat(F.lit("aa bb "), 1_000_000)).alias("text"))
+    words, _, _ = scanned.vocabulary(df)
+    assert words == {"ombudsman": 3, "aa": 3_000_000, "bb": 3_000_000}
+
+
 def test_words_are_compared_plainly():
     n = toxicity.normal_word
     assert n("ĐỒ") == n("đồ,") == "do" and n("nggggày") == "ngay" and n("va7") == "vat" and n("t.h.ằ.n.g") == "~thang" and n("KG-53076,") == "#code" and n("18,43%") == "#number" and n("ѕúc") == "suc"
