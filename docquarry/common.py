@@ -19,7 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the session names in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) is a folder of our own made.
+    Only where the setting is absent and the master is local (tests) is a folder of our own made; on a cluster a folder
+    of one machine would not be shared, so there its absence is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -28,6 +29,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     target = named
     if not target:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         target = os.path.join(tempfile.gettempdir(), f"docquarry-ckpt-{os.getpid()}")
         atexit.register(shutil.rmtree, target, ignore_errors=True)
     sc.setCheckpointDir(target)
@@ -41,12 +44,19 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy map stages at least one partition per core.
+    """Give CPU-heavy map stages over a scan at least one partition per core.
 
-    A scan that already yields enough partitions is returned untouched, so large inputs never pay a shuffle here.
+    A scan that already yields enough partitions is returned untouched, so large inputs never pay a shuffle here; so is
+    anything but filters and projections of a scan, as counting its partitions could run it. Call it before any join.
     """
+    execution = df._jdf.queryExecution()
+    plan = execution.optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    if plan.children().size():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if execution.toRdd().getNumPartitions() >= cores else df.repartition(cores)
 
 
 def small(df: DataFrame, rows: int = 500_000) -> DataFrame:

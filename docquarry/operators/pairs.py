@@ -19,17 +19,23 @@ def _by_copies(links: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFra
     return across.unionByName(inside).select(F.col("ga").alias("a"), F.col("gb").alias("b")), rows
 
 
-def expand_pairs(links: DataFrame, members: DataFrame, expand: int = EXPAND) -> DataFrame:
+def expand_pairs(links: DataFrame, members: DataFrame, expand: int | None = EXPAND) -> DataFrame:
     """Row pairs (a, b), a < b.
 
     links: (a, b), class ids, a != b. members: (cls, id), one row per row of the collection that may take part.
     members may have a third column, copy (not null): then only rows of a class that agree in it are copies, rows that
     differ in it are all paired, and what follows holds for each group of copies.
     A class larger than ``expand`` is represented by its smallest id in every link to other classes, and its own
-    rows are each paired with that id: no link between different texts is lost and no quadratic group is written.
+    rows are each paired with that id: no link between different texts is lost and no quadratic group is written. Whether
+    a row stands for its class follows from ``members``; ``expand=None`` writes every pair of rows.
     The size of each class is a map-side combined count, so a class holding a third of all rows costs one row per
     map task; joins to it are split by the adaptive skew join.
     """
+    if expand is None:
+        left = links.join(members.select(F.col("cls").alias("a"), F.col("id").alias("ia")), "a")
+        cross = left.join(members.select(F.col("cls").alias("b"), F.col("id").alias("ib")), "b").select("ia", "ib")
+        inner = members.select("cls", F.col("id").alias("ia")).join(members.select("cls", F.col("id").alias("ib")), "cls").where("ia < ib").select("ia", "ib")
+        return cross.unionByName(inner).select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).where("a < b")
     if "copy" in members.columns:
         links, members = _by_copies(links, members)
     sizes = members.groupBy("cls").agg(F.count("*").alias("n"), F.min("id").alias("low"))
