@@ -1,11 +1,14 @@
 """The k most similar vectors of every vector, through one navigable small-world graph per shard.
 
-Coarse centroids, fitted on a bounded sample, cut the collection into shards of nearby vectors; a shard expected to
-exceed ``SHARD`` vectors is cut further by hash. Every vector is indexed in the shard of its nearest centroid and
-searched there and in the shards of the next ``probes`` centroids; the lists of all shards are merged by cosine.
+Centroids cut the collection into shards of about ``SHARD`` nearby vectors. Up to ``ROOT`` shards have centroids of one
+level, fitted on a bounded sample; beyond, ``ROOT`` cells each get their own, fitted by one task per cell on a bounded
+sample of the cell, at most ``MOST`` in all (with more vectors shards grow; the work of a vector in a graph does not).
+Every vector is a member of the graph of its nearest centroid. All lists come from searches of the graphs: members enter
+their own graph at their place, and every vector visits the graphs of the next ``probes`` centroids from the top level;
+the lists of all graphs are merged by cosine.
 
 Vectors of equal content are indexed once per shard with their number of copies, so a group of copies holding a third
-of all rows costs one row per batch of the scan. The fit sample is the only sampling: every usable vector is indexed.
+of all rows costs one row per batch of the scan. The fit samples are the only sampling: every usable vector is indexed.
 
 Defined results: a vector takes part only if it is not null, has exactly the dimensions its configuration names, holds
 only finite numbers and is not all zero; a configuration that is null or not listed has no usable vectors; vectors of
@@ -18,14 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.common import materialise, spread
-from docquarry.operators.pairs import expand_pairs
+from docquarry.operators.pairs import EXPAND, expand_pairs
 
-#: Vectors of a shard, and rows of the sample on which centroids are fitted.
-SHARD, SAMPLE = 4096, 16_384
+#: Vectors of a shard; rows of a sample on which centroids are fitted; centroids of the first level and of all.
+SHARD, SAMPLE, ROOT, MOST = 4096, 16_384, 256, 65_536
 _U64 = np.uint64
 
 
@@ -65,26 +69,123 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
-def fit_centroids(vectors: DataFrame, dims: dict[str, int], id_col: str, emb_col: str, config_col: str, shard: int, sample: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Per configuration: centroids, and how many hash pieces each centroid's shard is cut into."""
+def _binary(rows: np.ndarray) -> pa.Array:
+    """A binary value per row of a matrix, without copying row by row."""
+    rows = np.ascontiguousarray(rows)
+    offsets = (np.arange(len(rows) + 1) * rows[:1].nbytes).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
+def _matrix(values: pa.ChunkedArray) -> np.ndarray:
+    """The float32 matrix whose rows the binary values hold; all have one length."""
+    parts = [np.frombuffer(c.buffers()[2], np.uint8)[(o := np.frombuffer(c.buffers()[1], np.int32))[c.offset] : o[c.offset + len(c)]] for c in values.chunks if len(c)]
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+    return flat.view(np.float32).reshape(len(values), -1) if len(values) else np.zeros((0, 1), np.float32)
+
+
+def _k_means(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
+    c = x[np.random.default_rng(len(x)).choice(len(x), min(len(x), max(1, k)), replace=False)].copy()
+    for _ in range(rounds if len(c) > 1 else 0):
+        near = (x @ c.T).argmax(axis=1)
+        order = np.argsort(near, kind="stable")
+        at = np.searchsorted(near[order], np.arange(len(c)))
+        filled = np.bincount(near, minlength=len(c)) > 0
+        sums = np.add.reduceat(x[order], at[filled])
+        c[filled] = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+    return c
+
+
+def fit_cell(x: np.ndarray, each: float, shard: int) -> np.ndarray:
+    """Centroids of shards of about ``shard`` vectors, from distinct sampled vectors that stand for ``each`` vectors; cells
+    that come out at more than twice the size are cut again."""
+    c = _k_means(x, int(np.ceil(each * len(x) / shard)))
+    near = (x @ c.T).argmax(axis=1)
+    out = []
+    for j in range(len(c)):
+        mine = x[near == j]
+        if each * len(mine) > 2 * shard and 1 < len(mine) < len(x):
+            out.append(fit_cell(mine, each, shard))
+        else:
+            out.append(c[j : j + 1])
+    return np.concatenate(out)
+
+
+class Router:
+    """Centroids of one configuration, of one level or two; a shard is numbered by its centroid."""
+
+    def __init__(self, coarse: np.ndarray | None, fine: list[np.ndarray]):
+        self.coarse, self.fine = coarse, fine
+        self.first = np.concatenate([[0], np.cumsum([len(f) for f in fine])])
+
+    def nearest(self, x: np.ndarray, w: int) -> np.ndarray:
+        """(rows, w) numbers of the shards of the nearest centroids, nearest first; -1 where there are fewer. With two
+        levels those of the two nearest cells are looked at."""
+        if self.coarse is None:
+            return _top(x @ self.fine[0].T, w)[0]
+        cells = _top(x @ self.coarse.T, 2)[0]
+        ids, sims = np.full((len(x), 2 * w), -1), np.full((len(x), 2 * w), -np.inf, np.float32)
+        for place in range(2):
+            for cell in np.unique(cells[:, place]):
+                rows = np.flatnonzero(cells[:, place] == cell)
+                if cell >= 0:
+                    i, s = _top(x[rows] @ self.fine[cell].T, w)
+                    ids[rows, place * w : (place + 1) * w] = np.where(i >= 0, i + self.first[cell], -1)
+                    sims[rows, place * w : (place + 1) * w] = s
+        best = np.argsort(-sims, axis=1, kind="stable")[:, :w]
+        return np.take_along_axis(ids, best, 1)
+
+
+def _top(s: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    ids, sims = np.full((len(s), w), -1), np.full((len(s), w), -np.inf, np.float32)
+    n = min(w, s.shape[1])
+    at = np.argpartition(-s, n - 1, axis=1)[:, :n]
+    v = np.take_along_axis(s, at, 1)
+    order = np.argsort(-v, axis=1, kind="stable")
+    ids[:, :n], sims[:, :n] = np.take_along_axis(at, order, 1), np.take_along_axis(v, order, 1)
+    return ids, sims
+
+
+def _sampled(rows: DataFrame, id_col: str, step: int) -> DataFrame:
+    return rows.where(F.pmod(F.xxhash64(id_col), F.lit(step)) == 0)
+
+
+def fit_centroids(vectors: DataFrame, dims: dict[str, int], id_col: str, emb_col: str, config_col: str, shard: int, sample: int, root: int = ROOT, most: int = MOST) -> dict[str, Router]:
+    """The router of every configuration, fitted on at most about ``sample`` rows, or so many of each of ``root`` cells."""
     total = vectors.count()
+    shard = max(shard, -(-total // most))
     step = max(1, total // sample)
-    some = vectors.where(F.pmod(F.xxhash64(id_col), F.lit(step)) == 0).select(config_col, emb_col).limit(4 * sample).toArrow()
-    out = {}
+    some = _sampled(vectors, id_col, step).select(config_col, emb_col).limit(4 * sample).toArrow()
+    out, cells = {}, {}
     for name, _, x in _usable(some[config_col], some[emb_col], dims):
-        x, copies = np.unique(_unit(x), axis=0, return_counts=True)
-        wanted = int(np.ceil(step * len(x) / shard))
-        rng = np.random.default_rng(len(x))
-        c = x[rng.choice(len(x), min(len(x), max(1, wanted)), replace=False)].copy()
-        for _ in range(8 if len(c) > 1 else 0):
-            near = (x @ c.T).argmax(axis=1)
-            order = np.argsort(near, kind="stable")
-            at = np.searchsorted(near[order], np.arange(len(c)))
-            filled = np.bincount(near, minlength=len(c)) > 0
-            sums = np.add.reduceat(x[order], at[filled])
-            c[filled] = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-        held = np.bincount((x @ c.T).argmax(axis=1), minlength=len(c)) * step
-        out[name] = (c, np.maximum(1, np.ceil(held / (2 * shard))).astype(np.int64))
+        x = np.unique(_unit(x), axis=0)
+        if step * len(x) > root * shard:
+            cells[name] = _k_means(x, root)
+        else:
+            out[name] = Router(None, [fit_cell(x, step, shard)])
+    if not cells:
+        return out
+    finer = max(1, total // (root * sample))
+    held = vectors.sparkSession.sparkContext.broadcast(cells)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, rows, x in _usable(batch.column("config"), batch.column("emb"), {n: dims[n] for n in cells}):
+                x = np.unique(_unit(x), axis=0)
+                near = (x @ held.value[name].T).argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(x), pa.string()), pa.array(near.astype(np.int32)), _binary(x)], ["config", "cell", "vec"])
+
+    def fit(table: pa.Table) -> pa.Table:
+        # A cell holding far more than its share is fitted on every n-th of its vectors.
+        skip = max(1, len(table) // (4 * sample))
+        c = fit_cell(np.unique(_matrix(table["vec"])[::skip], axis=0), finer * skip, shard)
+        return pa.table({"config": pa.array([table["config"][0].as_py()] * len(c), pa.string()), "cell": pa.array(np.full(len(c), table["cell"][0].as_py(), np.int32)), "vec": _binary(c)})
+
+    dealt = _sampled(vectors, id_col, finer).select(F.col(config_col).alias("config"), F.col(emb_col).alias("emb")).mapInArrow(deal, "config string, cell int, vec binary")
+    fitted = dealt.groupBy("config", "cell").applyInArrow(fit, "config string, cell int, vec binary").toArrow()
+    for name, coarse in cells.items():
+        own = fitted.filter(pa.compute.equal(fitted["config"], name))
+        c, cell = _matrix(own["vec"]), own["cell"].to_numpy()
+        out[name] = Router(coarse, [c[cell == k] if (cell == k).any() else coarse[k : k + 1] for k in range(len(coarse))])
     return out
 
 
@@ -93,38 +194,20 @@ def _route(fitted, dims: dict[str, int], probes: int):
         names = list(dims)
         for batch in batches:
             for name, rows, x in _usable(batch.column("config"), batch.column("emb"), dims):
-                h = _content(name, x)
-                h, first, copies = np.unique(h, return_index=True, return_counts=True)
+                h, first, copies = np.unique(_content(name, x), return_index=True, return_counts=True)
                 x = _unit(x[first])
-                c, cuts = fitted.value.get(name, (np.zeros((1, x.shape[1]), np.float32), np.ones(1, np.int64)))
-                s = x @ c.T
-                w = min(1 + probes, len(c))
-                order = np.argsort(-s, axis=1, kind="stable")[:, :w] if len(c) <= 64 else _top(s, w)
-                who, shard, own = [], [], []
-                piece = (_mix(h.view(_U64)) % _U64(1 << 20)).astype(np.int64)
-                for j in range(w):
-                    n = cuts[order[:, j]]
-                    reps = np.repeat(np.arange(len(h)), n)
-                    k = np.arange(len(reps)) - np.repeat(np.cumsum(n) - n, n)
-                    who.append(reps)
-                    shard.append((names.index(name) << 40) + (order[reps, j].astype(np.int64) << 16) + k)
-                    own.append((k == piece[reps] % n[reps]) if j == 0 else np.zeros(len(reps), bool))
-                who, shard, own = map(np.concatenate, (who, shard, own))
+                router = fitted.value.get(name) or Router(None, [np.zeros((1, x.shape[1]), np.float32)])
+                to = router.nearest(x, 1 + probes)
+                who, place = np.nonzero(to >= 0)
+                shard = (names.index(name) << 40) + to[who, place].astype(np.int64)
+                n = np.where(place == 0, copies[who], 0)
                 for a in range(0, len(who), 4096):
                     at = who[a : a + 4096]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(shard[a : a + 4096]), pa.array(h[at]), pa.array(np.where(own[a : a + 4096], copies[at], 0)), pa.array([v.tobytes() for v in x[at]], pa.binary())],
-                        ["shard", "h", "n", "vec"],
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(shard[a : a + 4096]), pa.array(h[at]), pa.array(n[a : a + 4096]), _binary(x[at])], ["shard", "h", "n", "vec"])
 
     return run
 
 
-def _top(s: np.ndarray, w: int) -> np.ndarray:
-    at = np.argpartition(-s, w - 1, axis=1)[:, :w]
-    return np.take_along_axis(at, np.argsort(-np.take_along_axis(s, at, 1), axis=1), 1)
-
-
 def _search_shard(k: int, least: float, ef: int):
     def run(table: pa.Table) -> pa.Table:
         from docquarry.llm.hnsw import Graph
@@ -135,15 +218,13 @@ def _search_shard(k: int, least: float, ef: int):
         first = np.ones(len(h), bool)
         first[1:] = h[1:] != h[:-1]
         total = np.add.reduceat(n, np.flatnonzero(first)) if len(n) else n
-        h, at = h[first], order[first]
-        vecs = table["vec"].combine_chunks()
-        x = np.array([np.frombuffer(vecs[int(i)].as_buffer(), np.float32) for i in at])
+        h, x = h[first], _matrix(table["vec"])[order[first]]
         member = total > 0
         parts = []
         if member.any():
             names, copies = h[member], total[member]
-            graph = Graph(x[member], k=k)
-            asked = [(names, graph.near, graph.near_cos)]
+            graph = Graph(x[member])
+            asked = [(names, *graph.search_members(k, ef))]
             if (~member).any():
                 asked.append((h[~member], *graph.search(x[~member], k, ef)))
             for who, ids, cos in asked:
@@ -156,7 +237,7 @@ def _search_shard(k: int, least: float, ef: int):
 
 
 def similar_classes(
-    vectors: DataFrame, config: DataFrame, k: int = 10, least: float = -1.0, id_col: str = "vec_id", emb_col: str = "embedding", config_col: str = "config_name", probes: int = 1, ef: int = 24,
+    vectors: DataFrame, config: DataFrame, k: int = 10, least: float = -1.0, id_col: str = "vec_id", emb_col: str = "embedding", config_col: str = "config_name", probes: int = 1, ef: int = 20,
     shard: int = SHARD, sample: int = SAMPLE,
 ) -> tuple[DataFrame, DataFrame]:
     """(lists, members). lists: (h, near, cosine, rank) with the classes among the k most similar of class h at a cosine
@@ -166,7 +247,8 @@ def similar_classes(
     dims = {r["config_name"]: int(r["dimensions"]) for r in config.where("config_name IS NOT NULL AND dimensions > 0").select("config_name", "dimensions").distinct().collect()}
     kind = dict(vectors.dtypes)[id_col]
     vectors = vectors.where(F.col(id_col).isNotNull())
-    fitted = spark.sparkContext.broadcast(fit_centroids(vectors, dims, id_col, emb_col, config_col, shard, sample))
+    routers = fit_centroids(vectors, dims, id_col, emb_col, config_col, shard, sample)
+    fitted = spark.sparkContext.broadcast(routers)
     src = spread(vectors.select(F.col(id_col).alias("id"), F.col(config_col).alias("config"), F.col(emb_col).alias("emb")))
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,17 +258,19 @@ def similar_classes(
 
     members = materialise(src.mapInArrow(contents, f"cls bigint, id {kind}"))
     routed = src.select("config", "emb").mapInArrow(_route(fitted, dims, probes), "shard bigint, h bigint, n bigint, vec binary")
+    # A partition for every shard, so that the largest task does not grow with the collection.
+    routed = routed.repartition(max(1, sum(int(r.first[-1]) for r in routers.values())), "shard")
     found = routed.groupBy("shard").applyInArrow(_search_shard(k, least, ef), "h bigint, near bigint, cosine double, n_near bigint")
     copies = members.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1").select(F.col("cls").alias("h"), "n")
-    found = found.groupBy("h", "near").agg(F.max("cosine").alias("cosine"), F.max("n_near").alias("n_near")).join(copies, "h", "left")
+    found = found.repartition("h").groupBy("h", "near").agg(F.max("cosine").alias("cosine"), F.max("n_near").alias("n_near")).join(copies, "h", "left")
     before = F.coalesce(F.sum("n_near").over(Window.partitionBy("h").orderBy(F.desc("cosine")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     lists = found.withColumn("rank", before + F.coalesce(F.col("n"), F.lit(1))).where(F.col("rank") <= k)
     return lists.select("h", "near", "cosine", "rank"), members
 
 
-def similar_pairs(vectors: DataFrame, config: DataFrame, k: int = 10, least: float = 0.8, id_col: str = "vec_id", **options) -> DataFrame:
+def similar_pairs(vectors: DataFrame, config: DataFrame, k: int = 10, least: float = 0.8, id_col: str = "vec_id", expand: int | None = EXPAND, **options) -> DataFrame:
     """Pairs ({id}_a, {id}_b) of one configuration with a cosine of at least ``least`` in which one is among the k most
-    similar of the other; copies of large classes as a star around their smallest id."""
+    similar of the other; classes of more than ``expand`` copies as a star around their smallest id (None: all pairs)."""
     lists, members = similar_classes(vectors, config, k, least, id_col, **options)
     links = lists.select(F.least("h", "near").alias("a"), F.greatest("h", "near").alias("b")).distinct()
-    return expand_pairs(links, members).select(F.col("a").alias(f"{id_col}_a"), F.col("b").alias(f"{id_col}_b")).distinct()
+    return expand_pairs(links, members, expand).select(F.col("a").alias(f"{id_col}_a"), F.col("b").alias(f"{id_col}_b")).distinct()
