@@ -5,8 +5,8 @@
    with the decremented amount kept as the error). Summaries merge by adding counters and errors, which is a plain
    distributed group-by. A line whose count plus error reaches the threshold is a candidate.
 3. Candidates are counted exactly over all rows in a second pass and confirmed against the threshold.
-4. Confirmed lines are removed. The set of keys is broadcast while it is under ``BROADCAST_KEYS`` (8 bytes each);
-   beyond that the same test is a shuffled semi join.
+4. Confirmed lines are removed while the pages are read once more, with the set of their keys broadcast; no text is
+   shuffled. A set of more than ``BROADCAST_KEYS`` keys (8 bytes each) is joined by shuffle instead, with the same rows.
 
 The capacity of a summary follows the lines and rows it has seen, so its error stays under a quarter of the share at
 any input size and no frequent line is lost; a source holding a third of all rows costs one summary per map task.
@@ -54,27 +54,33 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(33))
 
 
+def _keys(texts: list[str | None], sources: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(lines of each text, a key per line): equal for equal lines of one source, 0 where a line does not count."""
+    lines: list[str] = []
+    counts = np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        if text:
+            found = normal_lines(text)
+            lines += found
+            counts[i] = len(found)
+    if not lines:
+        return counts, np.zeros(0, np.int64)
+    seeds = pd.util.hash_array(np.array(["" if s is None else s for s in sources], dtype=object))
+    words = np.array(lines, dtype=object)
+    keys = _mix(pd.util.hash_array(words) ^ np.repeat(_mix(seeds), counts))
+    usable = np.repeat(np.array([s is not None for s in sources], bool), counts)
+    return counts, np.where(usable & (words != ""), keys, _U64(0)).astype(_U64).view(np.int64)
+
+
 def line_keys(pages: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """(id, source, keys array<bigint>): a key per line, equal for equal lines of one source, 0 where a line does not count."""
+    """(id, source, keys array<bigint>) of every page, in the order of its lines."""
     kinds = dict(pages.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                lines: list[str] = []
-                counts = []
-                for text in batch.column("text").to_pylist():
-                    found = normal_lines(text) if text else []
-                    lines += found
-                    counts.append(len(found))
-                names = batch.column("source").to_pylist()
-                seeds = pd.util.hash_array(np.array(["" if s is None else s for s in names], dtype=object)) if names else np.zeros(0, _U64)
-                words = np.array(lines, dtype=object)
-                raw = pd.util.hash_array(words) if lines else np.zeros(0, _U64)
-                keys = _mix(raw ^ np.repeat(_mix(seeds), counts))
-                usable = np.repeat(np.array([s is not None for s in names], bool), counts)
-                keys = np.where(usable & (words != ""), keys, _U64(0)).astype(_U64).view(np.int64)
+                counts, keys = _keys(batch.column("text").to_pylist(), batch.column("source").to_pylist())
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("source"), pa.ListArray.from_arrays(offsets, pa.array(keys))], ["id", "source", "keys"])
 
@@ -142,16 +148,20 @@ def _summarise(share: float):
     return run
 
 
-def _only(keys: np.ndarray):
+def _member(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Which of the asked keys are in the sorted set."""
+    if not len(keys):
+        return np.zeros(len(asked), bool)
+    return keys[np.minimum(np.searchsorted(keys, asked), len(keys) - 1)] == asked
+
+
+def _only(keys):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute  # noqa: F401
 
         for batch in batches:
             row, number, key, first = _distinct_in_rows(batch)
-            hit = np.zeros(len(key), bool)
-            if len(keys.value):
-                at = np.searchsorted(keys.value, key)
-                hit = keys.value[np.minimum(at, len(keys.value) - 1)] == key
+            hit = _member(keys.value, key)
             take = pa.array(row[hit])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(take), batch.column("source").take(take), pa.array(key[hit]), pa.array(number[hit].astype(np.int32)), pa.array(first[hit].astype(np.int64))],
@@ -161,10 +171,8 @@ def _only(keys: np.ndarray):
     return run
 
 
-def repeated_lines(
-    pages: DataFrame, id_col: str = "page_key", source_col: str = "source_file", text_col: str = "text", least_rows: int = 8, share: float = 0.05, broadcast_keys: int = BROADCAST_KEYS
-) -> DataFrame:
-    """(id_col, line_no): every line equal lines of which stand on ``least_rows`` and ``share`` of the rows of its source."""
+def _confirmed(pages: DataFrame, id_col: str, source_col: str, text_col: str, least_rows: int, share: float, broadcast_keys: int) -> tuple[DataFrame, DataFrame]:
+    """(hits, keys): the lines (id, source, key, line_no, first) that candidates may be, and the confirmed keys."""
     spark = pages.sparkSession
     kinds = dict(pages.dtypes)
     lines = materialise(line_keys(pages, id_col, source_col, text_col))
@@ -175,24 +183,59 @@ def repeated_lines(
     candidates = heavy.select("key").distinct()
     schema = f"id {kinds[id_col]}, source {kinds[source_col]}, key bigint, line_no int, first bigint"
     if candidates.count() <= broadcast_keys:
-        keys = np.sort(candidates.toPandas()["key"].to_numpy(dtype=np.int64))
-        hits = lines.mapInArrow(_only(spark.sparkContext.broadcast(keys)), schema)
+        hits = lines.mapInArrow(_only(spark.sparkContext.broadcast(_sorted_keys(candidates))), schema)
     else:
-        numbered = lines.select("id", "source", F.posexplode("keys").alias("line_no", "key")).where("key <> 0").join(candidates, "key", "left_semi")
-        hits = numbered.groupBy("id", "source", "key").agg(F.collect_list("line_no").alias("at")).select("id", "source", "key", F.posexplode("at").alias("k", "line_no"))
+        # Rows of the written lines are numbered, so that repeated rows and null ids stay rows of their own.
+        numbered = lines.withColumn("row", F.monotonically_increasing_id()).select("row", "id", "source", F.posexplode("keys").alias("line_no", "key"))
+        numbered = numbered.where("key <> 0").join(candidates, "key", "left_semi")
+        hits = numbered.groupBy("row", "id", "source", "key").agg(F.sort_array(F.collect_list("line_no")).alias("at")).select("id", "source", "key", F.posexplode("at").alias("k", "line_no"))
         hits = hits.select("id", "source", "key", (F.col("line_no") + 1).cast("int").alias("line_no"), (F.col("k") == 0).cast("bigint").alias("first"))
     hits = materialise(hits)
-    exact = hits.groupBy("source", "key").agg(F.sum("first").alias("n")).join(sources, "source").where("n >= least").select("key")
+    return hits, hits.groupBy("source", "key").agg(F.sum("first").alias("n")).join(sources, "source").where("n >= least").select("key")
+
+
+def _sorted_keys(keys: DataFrame) -> np.ndarray:
+    return np.unique(keys.toArrow()["key"].to_numpy().astype(np.int64))
+
+
+def repeated_lines(
+    pages: DataFrame, id_col: str = "page_key", source_col: str = "source_file", text_col: str = "text", least_rows: int = 8, share: float = 0.05, broadcast_keys: int = BROADCAST_KEYS
+) -> DataFrame:
+    """(id_col, line_no): every line equal lines of which stand on ``least_rows`` and ``share`` of the rows of its source."""
+    hits, exact = _confirmed(pages, id_col, source_col, text_col, least_rows, share, broadcast_keys)
     return hits.join(exact, "key", "left_semi").select(F.col("id").alias(id_col), "line_no").distinct()
 
 
 def remove_repeated_lines(
-    pages: DataFrame, id_col: str = "page_key", source_col: str = "source_file", text_col: str = "text", least_rows: int = 8, share: float = 0.05
+    pages: DataFrame, id_col: str = "page_key", source_col: str = "source_file", text_col: str = "text", least_rows: int = 8, share: float = 0.05, broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
     """The pages with the repeated lines taken out of their text, and how many were (``lines_removed``)."""
-    gone = repeated_lines(pages, id_col, source_col, text_col, least_rows, share).groupBy(id_col).agg(F.collect_set("line_no").alias("__gone"))
-    joined = pages.join(gone, id_col, "left")
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("__gone", (i + 1).cast("int")))
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn(text_col, text).withColumn("lines_removed", F.coalesce(F.size("__gone"), F.lit(0))).drop("__gone")
+    _, exact = _confirmed(pages, id_col, source_col, text_col, least_rows, share, broadcast_keys)
+    exact = materialise(exact.distinct())
+    if exact.count() > broadcast_keys:
+        rows = materialise(pages.withColumn("__row", F.monotonically_increasing_id()))
+        keyed = line_keys(rows, "__row", source_col, text_col).select("id", F.posexplode("keys").alias("line_no", "key"))
+        gone = keyed.join(exact, "key", "left_semi").groupBy(F.col("id").alias("__row")).agg(F.collect_set(F.col("line_no").cast("int")).alias("__gone"))
+        kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains("__gone", i))
+        text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+        out = rows.join(gone, "__row", "left").withColumns({text_col: text, "lines_removed": F.coalesce(F.size("__gone"), F.lit(0))})
+        return out.select(*(F.col(f"`{c}`") for c in pages.columns), "lines_removed")
+    keys = pages.sparkSession.sparkContext.broadcast(_sorted_keys(exact))
+    at, by = pages.columns.index(text_col), pages.columns.index(source_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1024):
+                batch = whole.slice(k, 1024)
+                texts = batch.column(at).to_pylist()
+                counts, found = _keys(texts, batch.column(by).to_pylist())
+                gone = (found != 0) & _member(keys.value, found)
+                removed = np.bincount(np.repeat(np.arange(len(texts)), counts), weights=gone, minlength=len(texts)).astype(np.int32)
+                first = np.cumsum(counts) - counts
+                for i in np.flatnonzero(removed):
+                    texts[i] = "\n".join(x for x, out in zip(texts[i].split("\n"), gone[first[i] : first[i] + counts[i]]) if not out)
+                columns = list(batch.columns)
+                columns[at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(removed)], [*batch.schema.names, "lines_removed"])
+
+    return spread(pages).mapInArrow(run, pages.schema.add("lines_removed", "int"))

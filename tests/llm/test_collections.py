@@ -122,6 +122,44 @@ def test_graph_search_recall():
     assert Graph(x[:1]).search(x[1:2], 3)[0].tolist() == [[0, -1, -1]] and _nearest(x[:1], 2)[0].tolist() == [[-1, -1]]
 
 
+def test_members_are_searched_in_graphs_built_of_blocks(monkeypatch):
+    from docquarry.llm import hnsw
+
+    monkeypatch.setattr(hnsw, "BLOCK", 256)
+    x = vectors(3000, 16, 9)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids, cos = Graph(x).search_members(10, ef=48)
+    truth = np.argsort(-(x @ x.T - 9 * np.eye(len(x))), axis=1)[:, :10]
+    assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(ids.tolist(), truth.tolist())]) >= 0.9
+    assert not (ids == np.arange(len(x))[:, None]).any() and ids.shape == (3000, 10)
+
+
+def test_two_levels_of_centroids_lose_no_vector(spark, monkeypatch):
+    x = vectors(2000, 12, 5)
+    df = frame(spark, [(i, "c", v.tolist()) for i, v in enumerate(x)])
+    config = spark.createDataFrame([("c", 12)], "config_name string, dimensions int")
+    routers = similar_vectors.fit_centroids(df, {"c": 12}, "vec_id", "embedding", "config_name", 100, 400, root=4)
+    assert routers["c"].coarse is not None and routers["c"].first[-1] >= 10
+    unit = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    to = routers["c"].nearest(unit, 2)
+    assert (to >= 0).all() and (to[:, 0] != to[:, 1]).all() and np.bincount(to[:, 0]).max() < 1000
+    plain = similar_vectors.fit_centroids
+    monkeypatch.setattr(similar_vectors, "fit_centroids", lambda *a: plain(*a, root=4))
+    got = {tuple(r) for r in similar_vectors.similar_pairs(df, config, k=5, least=0.5, probes=3, shard=150, sample=600).collect()}
+    cos = unit @ unit.T - 9 * np.eye(len(x))
+    near = np.argsort(-cos, axis=1)[:, :5]
+    want = {(min(i, int(j)), max(i, int(j))) for i in range(len(x)) for j in near[i] if cos[i, j] >= 0.5}
+    assert len(got & want) >= 0.9 * len(want)
+
+
+def test_every_pair_of_copies_on_request(spark):
+    rows = [(i, "c", [1.0, 2.0]) for i in range(70)] + [(100, "c", [2.0, 3.0])]
+    config = spark.createDataFrame([("c", 2)], "config_name string, dimensions int")
+    star = similar_vectors.similar_pairs(frame(spark, rows), config, k=100)
+    every = similar_vectors.similar_pairs(frame(spark, rows), config, k=100, expand=None)
+    assert star.count() == 70 and every.count() == 70 * 69 // 2 + 70
+
+
 def test_plans_place_everything_tightly():
     rng = random.Random(1)
     histogram = {s: rng.randint(1, 30) for s in rng.sample(range(1, 8193), 900)}

@@ -140,3 +140,14 @@ def test_mentions(spark):
     assert visual.keyword_mentions(pages.limit(0), book).count() == 0
     out = visual.normalise_text(pages.select("indicator_id", "page_key", "text"))
     assert out.columns == ["indicator_id", "page_key", "text"] and out.where("page_key = 5").first()["text"] == "x-cold chain."
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_repeated_and_null_ids_count_on_both_paths(spark, limit):
+    rows = [(1, "s", "Notice\nNotice\nown %d" % i) for i in range(5)] + [(None, "s", "NOTICE.\nother %d" % i) for i in range(5)] + [(7, None, "Notice"), (8, "s", None)]
+    df = spark.createDataFrame(rows, "page_key bigint, source_file string, text string")
+    found = [tuple(r) for r in boilerplate.repeated_lines(df, broadcast_keys=limit).collect()]
+    assert sorted(found, key=str) == [(1, 1), (1, 2), (None, 1)]
+    clean = [(r["page_key"], r["text"], r["lines_removed"]) for r in boilerplate.remove_repeated_lines(df, broadcast_keys=limit).collect()]
+    want = [(1, "own %d" % i, 2) for i in range(5)] + [(None, "other %d" % i, 1) for i in range(5)] + [(7, "Notice", 0), (8, None, 0)]
+    assert sorted(clean, key=str) == sorted(want, key=str)
