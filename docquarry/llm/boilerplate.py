@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from docquarry.common import materialise, spread
 
@@ -238,4 +239,4 @@ def remove_repeated_lines(
                 columns[at] = pa.array(texts, pa.string())
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(removed)], [*batch.schema.names, "lines_removed"])
 
-    return spread(pages).mapInArrow(run, pages.schema.add("lines_removed", "int"))
+    return spread(pages).mapInArrow(run, StructType([*pages.schema.fields, StructField("lines_removed", IntegerType())]))
