@@ -67,6 +67,21 @@ def test_every_pair_at_the_threshold_shares_a_shingle_of_its_prefixes(spark):
     assert got == want and len(want) > 200
 
 
+def test_split_postings_give_the_same_links(spark):
+    """A template shared by all pages: its shingles are hot, and pages made of little else meet only through them."""
+    rng = random.Random(4)
+    template = [f"t{i}" for i in range(120)]
+    rows = []
+    for k in range(120):
+        t = list(template)
+        for _ in range(rng.choice([0, 3, 12, 25])):
+            t[rng.randrange(len(t))] = f"own{k}_{rng.random()}"
+        rows.append((k, " ".join(t)))
+    df = spark.createDataFrame(rows, "page_key bigint, text string")
+    links = lambda hot: {tuple(r) for r in near_duplicates.near_duplicate_links(df, hot=hot)[0].collect()}
+    assert links(10) == links(10**6) and len(links(10)) > 300
+
+
 def vectors(n=1500, d=32, seed=2):
     rng = np.random.default_rng(seed)
     centres = rng.normal(size=(n // 6, d))
