@@ -1,8 +1,10 @@
 """One consistent form for text that looks the same but differs in its characters.
 
-Every Arrow partition runs through an embedded DuckDB whose SQL strips invisible characters, spells out ligatures,
-translates compatibility forms and look-alike letters, composes accents (``nfc_normalize``) and makes every run of
-white space one space. Letter case and accents stay significant.
+Every Arrow partition runs through an embedded DuckDB, Arrow in and Arrow out, whose SQL strips invisible characters,
+spells out ligatures, Roman numerals, squared units, ellipses and other signs that show several letters, translates
+compatibility forms and look-alike letters, composes accents (``nfc_normalize``) and makes every run of white space one
+space. Letter case and accents stay significant, and so does what a reader sees: raised, lowered and circled characters
+and fractions stay as they are.
 
 Defined results: null stays null, empty stays empty; repeated rows each give a row; keywords that are null, empty or
 blank match nothing; a null keyword array has no keywords; extra columns are kept by ``normalise_text``.
@@ -26,21 +28,31 @@ LOOK_ALIKE = (
     # Greek
     "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX αa νv οo ρp υu ιi κk "
     # Cyrillic
-    "АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ХX ҮY ԌG ԛq ԝw аa еe оo рp сc уy хx ѕs іi јj һh ԁd ɡg Ԛq Ԝw ԍg "
+    "АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ХX ҮY ԌG ԚQ ԜW ԛq ԝw аa еe оo рp сc уy хx ѕs іi јj һh ԁd ɡg "
     # Armenian and others
     "օo սu հh ոn զq յj ÐĐ ƉĐ"
-).replace("Ԛq", "ԚQ").replace("Ԝw", "ԜW").replace("ԍg ", "").split()
+).split()
 #: Dashes shown as a hyphen.
 DASHES = "".join(map(chr, (0x2010, 0x2011, 0x2012, 0x2212, 0xFE63, 0xFF0D)))
 
 
+#: Blocks of letters shown in another width or font, and of signs that show letters side by side.
+FORMS = (*range(0xFF01, 0xFFEF), *range(0x2100, 0x2150), *range(0x2160, 0x2180), *range(0x1D400, 0x1D800), *range(0xFE50, 0xFE6C), 0xB5)
+SIGNS = (*range(0x132, 0x134), 0x149, *range(0x1C4, 0x1CD), *range(0x1F1, 0x1F4), *range(0x2024, 0x2027), *range(0x2100, 0x2150), *range(0x2160, 0x2180), *range(0x3371, 0x33E0), *range(0xFB00, 0xFB07))
+
+
+def _shown(code: int) -> str:
+    """What a compatibility form shows, one step of its decomposition; '' for raised, lowered, circled and other forms."""
+    kind, _, rest = unicodedata.decomposition(chr(code)).partition(" ")
+    return "".join(chr(int(x, 16)) for x in rest.split()) if kind in ("<wide>", "<narrow>", "<font>", "<compat>", "<small>", "<square>") else ""
+
+
 def _translation() -> tuple[str, str]:
-    """Pairs of single characters: compatibility letters of the wide and font kinds, look-alikes, accented look-alikes."""
-    pairs = {x[0]: x[1] for x in LOOK_ALIKE} | {c: "-" for c in DASHES}
-    for code in (*range(0xFF01, 0xFFEF), *range(0x2100, 0x2150), *range(0x1D400, 0x1D800)):
-        kind, _, rest = unicodedata.decomposition(chr(code)).partition(" ")
-        if kind in ("<wide>", "<narrow>", "<font>") and " " not in rest:
-            plain = chr(int(rest, 16))
+    """Pairs of single characters: compatibility forms, look-alikes, accented look-alikes."""
+    pairs = {x[0]: x[1] for x in LOOK_ALIKE} | {c: "-" for c in DASHES} | {"\u2215": "/"}
+    for code in FORMS:
+        plain = _shown(code)
+        if len(plain) == 1:
             pairs.setdefault(chr(code), pairs.get(plain, plain))
     for code in (*range(0x370, 0x530), *range(0x1F00, 0x2000)):
         whole = unicodedata.normalize("NFD", chr(code))
@@ -52,9 +64,9 @@ def _translation() -> tuple[str, str]:
 
 
 def _ligatures() -> dict[str, str]:
-    """Letters that stand for several letters side by side, by the rule of their compatibility decomposition."""
-    codes = (*range(0x132, 0x134), *range(0x1C4, 0x1CD), *range(0x1F1, 0x1F4), *range(0xFB00, 0xFB07))
-    return {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in codes if len(unicodedata.normalize("NFKC", chr(c))) > 1}
+    """Signs that show several characters side by side and what they show (fractions are no such signs)."""
+    shown = {chr(c): "".join(_shown(ord(x)) or x for x in _shown(c)).replace("\u2215", "/") for c in SIGNS}
+    return {c: x for c, x in shown.items() if len(x) > 1}
 
 
 def _class(chars: str) -> str:
@@ -84,16 +96,16 @@ class _Embedded:
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self.sql = f"SELECT {canonical_sql('text')} AS text FROM given"
 
-    def __call__(self, texts: pa.Array) -> list[str | None]:
+    def __call__(self, texts: pa.Array) -> pa.Array:
         self.con.register("given", pa.table({"text": texts}))
-        out = self.con.execute(self.sql).fetchall()
+        out = self.con.sql(self.sql).to_arrow_table()["text"].cast(pa.string()).combine_chunks()
         self.con.unregister("given")
-        return [x[0] for x in out]
+        return out
 
 
 def canonical(texts: list[str | None]) -> list[str | None]:
     """The canonical form of a few texts, on the caller's side."""
-    return _Embedded()(pa.array(texts, pa.string()))
+    return _Embedded()(pa.array(texts, pa.string())).to_pylist()
 
 
 def normalise_text(rows: DataFrame, text_col: str = "text") -> DataFrame:
@@ -107,7 +119,7 @@ def normalise_text(rows: DataFrame, text_col: str = "text") -> DataFrame:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
                 columns = list(part.columns)
-                columns[at] = pa.array(duck(part.column(at)), pa.string())
+                columns[at] = duck(part.column(at))
                 yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
     return spread(rows).mapInArrow(run, schema)
@@ -141,7 +153,7 @@ def keyword_mentions(pages: DataFrame, ontology: DataFrame, id_col: str = "page_
             ids, names, numbers = [], [], []
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
-                for i, text in enumerate(duck(part.column("text"))):
+                for i, text in enumerate(duck(part.column("text")).to_pylist()):
                     if not text:
                         continue
                     shown = set()

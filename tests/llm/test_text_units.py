@@ -131,6 +131,11 @@ def test_canonical_forms():
     assert visual.canonical(texts) == want
 
 
+def test_signs_that_show_several_characters():
+    texts = ["Scope Ⅱ", "12 ㎏, 3 ㎡ ㎧", "№ 4…", "ⅳ", "10 µg", "① m³ ½ x²"]
+    assert visual.canonical(texts) == ["Scope II", "12 kg, 3 m² m/s", "No 4...", "iv", "10 μg", "① m³ ½ x²"]
+
+
 def test_mentions(spark):
     pages = spark.createDataFrame([(1, "the cоld chain, here"), (2, "cold chains"), (3, "COLD CHAIN"), (4, None), (5, "x-cold\nchain."), (1, "the cоld chain, here")], "page_key int, text string").withColumn("indicator_id", F.lit("clash"))
     book = spark.createDataFrame([("A", ["cold chain", None, "", "cold chain"]), ("B", None), ("C", [])], "indicator_id string, positive_keywords array<string>")
