@@ -21,24 +21,39 @@ def distance(a, b):
     return row[-1]
 
 
-def test_automaton_retrieval_is_complete():
+class Answers(dict):
+    """Looks every word up when it is asked for."""
+
+    def __init__(self, words):
+        self.lexicon = scanned.Lexicon(list(words), list(words.values()))
+
+    def get(self, word, default=None):
+        return self.lexicon.answers({word})[1].get(word, default)
+
+
+def tool_of(words):
+    return scanned.Repairer(words, Answers(words))
+
+
+def test_automata_find_all_words_of_plain_edits():
     rng = random.Random(4)
-    words = {"".join(rng.choice("abcđ") for _ in range(rng.randint(1, 7))): 5 for _ in range(400)}
-    trie = scanned.Trie(words)
-    for _ in range(60):
-        w = "".join(rng.choice("abcđx") for _ in range(rng.randint(1, 7)))
-        assert sorted(trie.within(w, 2)) == sorted((v, distance(w, v)) for v in words if distance(w, v) <= 2)
+    words = {"".join(rng.choice("xyđ") for _ in range(rng.randint(1, 7))): 5 for _ in range(400)}
+    trie = scanned.Trie(list(words))
+    asked = ["".join(rng.choice("xyđz") for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    for w, found in zip(asked, trie.misread(asked, [2.0] * 60)):
+        assert sorted(found) == sorted((v, float(distance(w, v))) for v in words if distance(w, v) <= 2)
 
 
 def test_candidates_cover_all_the_ranking_accepts():
     rng = random.Random(6)
     words = {"".join(rng.choice("mnhdwue") for _ in range(rng.randint(2, 6))): 5 for _ in range(300)}
-    trie = scanned.Trie(words)
-    for _ in range(60):
-        w = "".join(rng.choice(["rn", "ri", "cl", "li", "vv", "m", "c", "0", "\ufffd"]) for _ in range(rng.randint(1, 5)))
-        for limit in (0.8, 1.3):
-            assert sorted(trie.misread(w, limit)) == sorted((v, scanned.confusion_cost(w, v)) for v in words if scanned.confusion_cost(w, v) <= limit)
-    tool = scanned.Repairer({"commemoration": 9}, np.zeros(0, np.int64), np.zeros(0, np.int64))
+    trie = scanned.Trie(list(words))
+    asked = ["".join(rng.choice(["rn", "ri", "cl", "li", "vv", "m", "c", "0", "\ufffd"]) for _ in range(rng.randint(1, 5))) for _ in range(60)]
+    for limit in (0.8, 1.3):
+        for w, found in zip(asked, trie.misread(asked, [limit] * 60)):
+            assert sorted(found) == sorted((v, scanned.confusion_cost(w, v)) for v in words if scanned.confusion_cost(w, v) <= limit)
+    assert scanned.Trie([]).misread(["a", ""], [9.0, 9.0]) == [[], []]
+    tool = tool_of({"commemoration": 9})
     assert tool.read_word("cornrnemoration") and tool.repair("cornrnernoration", []) == "commemoration"
 
 
@@ -55,7 +70,7 @@ def test_no_page_numbers(line):
 @pytest.fixture(scope="module")
 def tool():
     words = {w: 50 for w in "the board met and approved new store workplace safety hàng thường niên báo cáo tại đồng sub-ledger of work place".split()}
-    return scanned.Repairer(words, np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return tool_of(words)
 
 
 def test_findings_and_repair(tool):
@@ -94,8 +109,21 @@ def test_section_headers_of_long_reports_are_running(spark):
 
 def test_rare_words_stay_in_the_vocabulary_of_a_large_corpus(spark):
     df = spark.range(3).select(F.concat(F.lit("ombudsman "), F.repeat(F.lit("aa bb "), 1_000_000)).alias("text"))
-    words, _, _ = scanned.vocabulary(df)
-    assert words == {"ombudsman": 3, "aa": 3_000_000, "bb": 3_000_000}
+    for with_pairs in (True, False):
+        words, pairs = scanned.vocabulary(df, with_pairs=with_pairs)
+        assert {r["word"]: r["n"] for r in words.collect()} == {"ombudsman": 3, "aa": 3_000_000, "bb": 3_000_000}
+        assert pairs.count() == (3 if with_pairs else 0)
+
+
+def test_a_vocabulary_in_parts_gives_the_same_answers(spark):
+    from docquarry.common import table
+
+    d = "/root/testdata/sf0.001"
+    pages, ocr = table(spark, d, "financial_pages"), table(spark, d, "ocr_results")
+    bounds = {"broadcast_words": 10, "broadcast_pairs": 10, "part": 300}
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(scanned.scan_noise(pages, ocr)) == rows(scanned.scan_noise(pages, ocr, **bounds))
+    assert rows(scanned.repair_pages(pages, ocr)) == rows(scanned.repair_pages(pages, ocr, **bounds))
 
 
 def test_words_are_compared_plainly():
@@ -175,6 +203,16 @@ def test_scores_of_tables(spark):
     assert toxicity.score_documents(df.limit(0), lab).count() == 0
 
 
+def test_a_saved_field_is_the_same_field(spark, tmp_path):
+    texts = ["you are a worthless idiot and a liar", "the board met on monday"] * 12
+    field = toxicity.train(texts, [1, 0] * 12)
+    toxicity.save_field(spark, field, str(tmp_path / "field"))
+    again = toxicity.load_field(spark, str(tmp_path / "field"))
+    assert (field.weight == again.weight).all() and (field.trans == again.trans).all() and (field.start, field.threshold) == (again.start, again.threshold)
+    docs = spark.createDataFrame([(1, texts[0]), (2, texts[1]), (3, None)], "doc_id bigint, text string")
+    assert [r["unfit"] for r in toxicity.score_documents(docs, None, field=again).orderBy("doc_id").collect()] == [True, False, False]
+
+
 def test_registered_queries_keep_their_columns(spark):
     d = "/root/testdata/sf0.001"
     want = {
