@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 
 #: Words that carry no content in retrieval (English, then accent-free Vietnamese syllables).
 STOPWORDS = (
-    "and or of the to in for on with by "
-    "ve va cac cua cho trong ngoai cong bo muc tong don vi hoat dong chinh sach doanh thu hao quy tri chi sinh khu mua cam"
-).split()
+    "and", "or", "of", "the", "to", "in", "for", "on", "with", "by",
+    "ve", "va", "cac", "cua", "cho", "trong", "ngoai", "cong", "bo", "muc", "tong", "don", "vi", "hoat", "dong", "chinh", "sach", "doanh", "thu", "hao", "quy", "tri", "chi", "sinh", "khu", "mua", "cam",
+)
 #: Single terms that may stand alone as evidence.
 INFORMATIVE = (
-    "ghg co2e tco2e ems ltifr ohs hse iso14001 iso tcfd sbti csr esg vnd vnđ usd kwh mwh gj mj m3 m³ kg ton ha ml scope pham tu"
-).split()
+    "ghg", "co2e", "tco2e", "ems", "ltifr", "ohs", "hse", "iso14001", "iso", "tcfd", "sbti", "csr", "esg", "vnd", "vnđ", "usd", "kwh", "mwh", "gj", "mj", "m3", "m³", "kg", "ton", "ha", "ml", "scope", "pham", "tu",
+)
 
 
 #: A word token: letters, digits, underscores and hyphens of any script.
@@ -103,13 +103,13 @@ def tokenize(c: Column | str) -> Column:
 
 def is_informative(t: Column) -> Column:
     """Terms that may stand alone: listed ones, mixtures of digit and letter, and those of six characters or more."""
-    return t.isin(INFORMATIVE) | (t.rlike(r"\p{Nd}") & t.rlike(r"\p{L}")) | (F.length(t) >= 6)
+    return t.isin(*INFORMATIVE) | (t.rlike(r"\p{Nd}") & t.rlike(r"\p{L}")) | (F.length(t) >= 6)
 
 
 def content_terms(c: Column | str) -> Column:
     """Tokens of the accent-free text without stopwords and without short terms that say nothing."""
     found = F.regexp_extract_all(F.lower(strip_accents(_col(c))), F.lit(TOKEN), F.lit(0))
-    return F.filter(found, lambda t: ~t.isin(STOPWORDS) & ((F.length(t) >= 3) | t.rlike(r"^\p{Nd}+$") | is_informative(t)))
+    return F.filter(found, lambda t: ~t.isin(*STOPWORDS) & ((F.length(t) >= 3) | t.rlike(r"^\p{Nd}+$") | is_informative(t)))
 
 
 def looks_corrupt(c: Column | str) -> Column:

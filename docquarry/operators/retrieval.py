@@ -3,18 +3,24 @@
 Documents are rows with an id column ``chunk_id`` and optional group columns (company, year). Statistics of BM25 are
 those of the whole store, rankings are per query and group. All ranks break ties by ``chunk_id``.
 
+Term counts of a document are final in the task that reads it: no token is shuffled. For a stated set of query terms the
+index holds only their postings, as one small array per document.
+
 Defined results: a null or empty text has no postings, length 0 counts as 1; a query whose terms occur nowhere scores
-0 everywhere; a null group year matches null; a query year of null means any year where ``wildcard_year`` is set;
-repeated query terms add repeatedly.
+0 everywhere; a null group year matches null, and every year of the company after ``any_year``; repeated query terms add
+repeatedly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +30,10 @@ from docquarry.functions import text as T
 K1, B, RRF = 1.5, 0.75, 60
 
 
+#: Terms of a stated set of queries that are looked up in the plan itself; more are joined.
+PLAN_TERMS = 5_000
+
+
 @dataclass
 class Postings:
     """Inverted index: postings (chunk_id, groups, term, tf, dl), df per term, and one row of totals (n, avgdl)."""
@@ -39,19 +49,49 @@ def plain_tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(F.col(c) if isinstance(c, str) else c), F.lit(T.TOKEN), F.lit(0))
 
 
-def build_index(docs: DataFrame, text_col: str = "text", groups: tuple[str, ...] = (), tokens: Column | None = None) -> Postings:
-    """Tokenise once, count per (document, term), write the postings (checkpoint); all statistics come from them."""
-    terms = tokens if tokens is not None else T.tokenize(text_col)
-    base = spread(docs).select("chunk_id", *groups, F.coalesce(terms, F.array().cast("array<string>")).alias("terms"))
-    # A document is one row, so its term counts are final within its task: the group-by shuffles counts, not tokens.
-    posts = base.select("chunk_id", *groups, F.size("terms").alias("dl"), F.explode("terms").alias("term"))
-    posts = materialise(posts.groupBy("chunk_id", *groups, "dl", "term").agg(F.count("*").alias("tf")))
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of each term of every document."""
+    for batch in batches:
+        counts = [Counter(t) for t in batch.column("terms").to_pylist()]
+        kind = pa.list_(pa.struct([("term", pa.string()), ("tf", pa.int64())]))
+        hits = pa.array([[{"term": t, "tf": n} for t, n in c.items()] for c in counts], kind)
+        names = [c for c in batch.schema.names if c != "terms"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), hits], [*names, "hits"])
+
+
+def build_index(docs: DataFrame, text_col: str = "text", groups: tuple[str, ...] = (), tokens: Column | None = None, terms: DataFrame | None = None) -> Postings:
+    """Tokenise once and write (checkpoint) one row per document: its length and the counts of its terms.
+
+    terms: (query_id, term, qtf) of a stated set of queries; then only these terms are kept, in the plan for up to
+    ``PLAN_TERMS`` of them. All statistics come from the written rows; an index of all terms serves any query.
+    """
+    found = F.coalesce(tokens if tokens is not None else T.tokenize(text_col), F.array().cast("array<string>"))
+    base = spread(docs.select("chunk_id", *groups, found.alias("terms"))).select("chunk_id", *groups, F.size("terms").alias("dl"), "terms")
+    asked = None if terms is None else [r["term"] for r in terms.select("term").distinct().limit(PLAN_TERMS + 1).collect()]
+    if asked is not None and len(asked) <= PLAN_TERMS:
+        kept = base.withColumn("terms", F.filter("terms", lambda t: t.isin(asked)))
+        count = lambda t: F.size(F.filter("terms", lambda x: x == t)).cast("bigint")
+        rows = kept.select("chunk_id", *groups, "dl", F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), count(t).alias("tf"))).alias("hits"))
+    else:
+        kinds = dict(base.dtypes)
+        schema = ", ".join([*(f"{c} {kinds[c]}" for c in ("chunk_id", *groups, "dl")), "hits array<struct<term:string,tf:bigint>>"])
+        rows = base.mapInArrow(_count_terms, schema)
+    rows = materialise(rows)
+    posts = rows.select("chunk_id", *groups, "dl", F.explode("hits").alias("h")).select("chunk_id", *groups, "dl", "h.term", "h.tf")
     df = posts.groupBy("term").agg(F.count("*").alias("df"))
-    documents = docs.select("chunk_id", *groups)
-    counted = documents.agg(F.count("*").alias("n"))
-    totals = counted.crossJoin(F.broadcast(posts.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("all"))))
+    totals = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("all"))
     totals = totals.select("n", F.greatest(F.col("all") / F.nullif("n", F.lit(0)), F.lit(1e-9)).alias("avgdl"))
-    return Postings(posts, df, totals, documents)
+    return Postings(posts, df, totals, rows.select("chunk_id", *groups))
+
+
+def any_year(rows: DataFrame, cells: DataFrame, company: str = "company", year: str = "year") -> DataFrame:
+    """The rows, and each once more under a null year where ``cells`` asks for the company without a year.
+
+    A cell of unknown year is answered from all years of its company; rows of unknown year belong to it once.
+    """
+    open_cells = small(cells.where(F.col(year).isNull() & F.col(company).isNotNull()).select(F.col(company).alias("__c")).distinct())
+    more = rows.where(F.col(year).isNotNull()).join(open_cells, F.col(company) == F.col("__c")).drop("__c")
+    return rows.unionByName(more.withColumn(year, F.lit(None).cast(dict(rows.dtypes)[year])))
 
 
 def query_terms(queries: DataFrame, text_col: str = "query", tokens: Column | None = None) -> DataFrame:
@@ -148,6 +188,60 @@ def dense_top_k(docs: DataFrame, queries: list[tuple[object, list[float]]], k: i
     return top_k(found, ["query_id", *groups], "dense_score", k, "dense_rank")
 
 
+def _pack(id_name: str, size: int):
+    """Rows (ids, vectors) of up to ``size`` rows of one length each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("vec")
+            width = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
+            for w in np.unique(width[width > 0]):
+                rows = np.flatnonzero(width == w)
+                for a in range(0, len(rows), size):
+                    at = pa.array(rows[a : a + size])
+                    x = lists.take(at).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+                    ids = batch.column(id_name).take(at)
+                    yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), ids), pa.array([x.tobytes()], pa.binary())], ["ids", "vecs"])
+
+    return run
+
+
+def dense_top_k_blocks(docs: DataFrame, queries: DataFrame, k: int, vector: str = "embedding", mask: bool = False, block: int = 1024, broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """(query_id, chunk_id, dense_score, dense_rank) for queries that are rows of a table (query_id, vector).
+
+    Both sides are packed into blocks of ``block`` rows; every pair of blocks is one matrix product, of which each query
+    keeps its k best before anything is shuffled. The query blocks are broadcast while their bytes stay under
+    ``broadcast_bytes``, else the pairs of blocks are dealt by the planner. Null vectors and those of another length do
+    not take part; with ``mask`` a query is left out of its own list.
+    """
+    kinds = dict(docs.dtypes), dict(queries.dtypes)
+    pack = lambda df, name, kind: df.select(name, F.col(vector).alias("vec")).mapInArrow(_pack(name, block), f"ids array<{kind}>, vecs binary")
+    left = pack(spread(docs.select("chunk_id", vector)), "chunk_id", kinds[0]["chunk_id"])
+    right = materialise(pack(queries, "query_id", kinds[1]["query_id"]).withColumnsRenamed({"ids": "qids", "vecs": "qvecs"}))
+    size = right.agg(F.coalesce(F.sum(F.length("qvecs")), F.lit(0)).alias("n")).first()["n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                d, q = batch.column("ids")[i].values, batch.column("qids")[i].values
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.float64) for c in ("vecs", "qvecs"))
+                if len(x) // len(d) != len(y) // len(q):
+                    continue
+                s = np.round(y.reshape(len(q), -1) @ x.reshape(len(d), -1).T, 9)
+                if mask:
+                    at = {v: j for j, v in enumerate(d.to_pylist())}
+                    own = [(j, at[v]) for j, v in enumerate(q.to_pylist()) if v in at]
+                    if own:
+                        s[tuple(zip(*own))] = -np.inf
+                least = np.partition(s, len(d) - k, axis=1)[:, len(d) - k] if len(d) > k else np.full(len(q), -np.inf)
+                r, c = np.nonzero((s >= least[:, None]) & np.isfinite(s))  # all ties with the k-th; the final rank decides
+                yield pa.RecordBatch.from_arrays([q.take(pa.array(r)), d.take(pa.array(c)), pa.array(s[r, c])], ["query_id", "chunk_id", "dense_score"])
+
+    met = left.crossJoin(F.broadcast(right) if size <= broadcast_bytes else right)  # a stated query set against all rows, in blocks
+    found = met.mapInArrow(run, f"query_id {kinds[1]['query_id']}, chunk_id {kinds[0]['chunk_id']}, dense_score double")
+    return top_k(found, ["query_id"], "dense_score", k, "dense_rank")
+
+
 def fuse(bm25: DataFrame, dense: DataFrame, k: int, groups: tuple[str, ...] = ()) -> DataFrame:
     """Reciprocal rank fusion: a list in which a document is missing counts as rank k + 1."""
     keys = ["query_id", *groups, "chunk_id"]
@@ -157,14 +251,37 @@ def fuse(bm25: DataFrame, dense: DataFrame, k: int, groups: tuple[str, ...] = ()
     return top_k(both.withColumn("hybrid_score", score), ["query_id", *groups], "hybrid_score", k, "hybrid_rank", digits=12)
 
 
-def rerank(fused: DataFrame, k: int, groups: tuple[str, ...] = (), scorer: Column | None = None, skip_at: float | None = None) -> DataFrame:
-    """The k best after a second scoring; without a scorer, or where the hybrid score reaches ``skip_at``, the hybrid score stays."""
-    score = F.col("hybrid_score") if scorer is None else scorer
-    if scorer is not None and skip_at is not None:
-        score = F.when(F.col("hybrid_score") >= skip_at, F.col("hybrid_score")).otherwise(scorer)
-    model = "hybrid-fallback" if scorer is None else "pluggable"
-    out = top_k(fused.withColumn("rerank_score", score), ["query_id", *groups], "rerank_score", k, "rank", digits=12)
-    return out.withColumn("reranker", F.lit(model))
+def pair_scorer(score: Callable[[list[str], list[str]], list[float]], query: str = "query", text: str = "text", batch: int = 256) -> Column:
+    """A model that reads a query and a passage together, as a column over Arrow batches; ``score`` gets the texts of a batch.
+
+    The pairs of all queries go through the same batches, so many small lists cost no more than one long one. A null
+    query or passage is read as an empty text.
+    """
+
+    @F.pandas_udf("double")
+    def run(q: pd.Series, t: pd.Series) -> pd.Series:
+        a, b = q.fillna("").tolist(), t.fillna("").tolist()
+        return pd.Series([float(x) for k in range(0, len(a), batch) for x in score(a[k : k + batch], b[k : k + batch])], dtype="float64")
+
+    return run(F.col(query), F.col(text))
+
+
+def rerank(fused: DataFrame, k: int, groups: tuple[str, ...] = (), scorer: Column | None = None, skip_at: float | None = None, model: str = "pluggable") -> DataFrame:
+    """The k best after a second scoring; without a scorer the hybrid score stays.
+
+    Where the best hybrid score of a list reaches ``skip_at`` the list is kept as it is and the scorer is not asked.
+    """
+    keys = ["query_id", *groups]
+    if scorer is None:
+        out = top_k(fused.withColumn("rerank_score", F.col("hybrid_score")), keys, "rerank_score", k, "rank", digits=12)
+        return out.withColumn("reranker", F.lit("hybrid-fallback"))
+    if skip_at is None:
+        return top_k(fused.withColumn("rerank_score", scorer), keys, "rerank_score", k, "rank", digits=12).withColumn("reranker", F.lit(model))
+    best = F.max("hybrid_score").over(Window.partitionBy(*keys))  # a list has at most as many rows as were fused
+    marked = fused.withColumn("__sure", best >= skip_at)
+    asked = marked.where(~F.col("__sure")).withColumns({"rerank_score": scorer, "reranker": F.lit(model)})
+    kept = marked.where("__sure").withColumns({"rerank_score": F.col("hybrid_score"), "reranker": F.lit("hybrid-fallback")})
+    return top_k(asked.unionByName(kept).drop("__sure"), keys, "rerank_score", k, "rank", digits=12)
 
 
 def merge_candidates(dense: DataFrame, keyword: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,46 +82,62 @@ def hash_embeddings(spark, d):
 
 
 def hash_embeddings_md5(spark, d):
-    """MD5 hashing embeddings as (page, bucket, weight), by exploding tokens and adding signs with map-side combine."""
-    t = pages(spark, d).select("page_key", F.explode(retrieval.plain_tokens("text")).alias("t"))
-    h = F.md5(F.col("t").cast("binary"))
-    t = t.select("page_key", F.pmod(F.conv(F.substring(h, 1, 6), 16, 10).cast("int"), F.lit(DIMS)).alias("bucket"), F.when(F.substring(h, 7, 1) < "8", 1).otherwise(-1).alias("s"))
-    t = t.groupBy("page_key", "bucket").agg(F.sum("s").alias("weight")).where("weight <> 0")
-    return t.select("page_key", "bucket", F.col("weight").cast("bigint").alias("weight"))
+    """MD5 hashing embeddings as (page, bucket, weight); weights are those of the vectors of unit length."""
+    e = spread(pages(spark, d)).where("text IS NOT NULL").select("page_key", F.posexplode(T.hash_embed("text", DIMS, "md5")).alias("bucket", "weight"))
+    return e.where("weight <> 0").select("page_key", "bucket", F.round("weight", 6).alias("weight"))
 
 
 def bm25_topk(spark, d):
-    docs = passages(spark, d)
-    index = retrieval.build_index(docs, tokens=retrieval.plain_tokens("text"))
     terms = retrieval.query_terms(indicator_queries(spark, d), tokens=retrieval.plain_tokens("query"))
+    index = retrieval.build_index(passages(spark, d), tokens=retrieval.plain_tokens("text"), terms=terms)
     return retrieval.bm25_top_k(index, terms, 10).select("query_id", "chunk_id", F.round("bm25_score", 6).alias("bm25_score"), "bm25_rank")
 
 
+def term_statistics(spark, d):
+    """The whole inverted index: how many passages hold a term, and how often."""
+    index = retrieval.build_index(passages(spark, d), tokens=retrieval.plain_tokens("text"))
+    return index.postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"), F.max("tf").alias("most"))
+
+
+def _by_name(spark, d):
+    queries = table(spark, d, "indicator_ontology").select(F.col("indicator_id").alias("query_id"), F.col("name").alias("query"))
+    return queries, retrieval.query_terms(queries, tokens=retrieval.plain_tokens("query"))
+
+
 def bm25_grouped_topk(spark, d):
     """Per firm-year and indicator: the three best passages, padded with passages of score 0."""
-    docs = passages(spark, d)
     groups = ("company", "year")
-    docs = docs.withColumns({"company": F.coalesce("company", F.lit("")), "year": F.coalesce("year", F.lit(0))})
-    index = retrieval.build_index(docs, groups=groups, tokens=retrieval.plain_tokens("text"))
-    queries = table(spark, d, "indicator_ontology").select(F.col("indicator_id").alias("query_id"), F.col("name").alias("query"))
-    ranked = retrieval.bm25_top_k(index, retrieval.query_terms(queries, tokens=retrieval.plain_tokens("query")), 3, groups)
+    docs = passages(spark, d).withColumns({"company": F.coalesce("company", F.lit("")), "year": F.coalesce("year", F.lit(0))})
+    queries, terms = _by_name(spark, d)
+    index = retrieval.build_index(docs, groups=groups, tokens=retrieval.plain_tokens("text"), terms=terms)
+    ranked = retrieval.bm25_top_k(index, terms, 3, groups)
     out = retrieval.with_zero_scores(ranked, index.documents, queries, groups, 3)
     return out.select("query_id", "company", "year", "chunk_id", F.round("bm25_score", 6).alias("bm25_score"), "bm25_rank")
 
 
+def any_year_topk(spark, d):
+    """Per firm-year and indicator the three best passages with a term; a cell of unknown year is answered from all years."""
+    groups = ("company", "year")
+    docs = passages(spark, d)
+    _, terms = _by_name(spark, d)
+    index = retrieval.build_index(docs, groups=groups, tokens=retrieval.plain_tokens("text"), terms=terms)
+    scored = retrieval.any_year(retrieval.bm25_scores(index, terms, groups), docs.select("company", "year"))
+    out = retrieval.top_k(scored.where("company IS NOT NULL"), ["query_id", *groups], "bm25_score", 3, "bm25_rank")
+    return out.select("query_id", "company", "year", "chunk_id", F.round("bm25_score", 6).alias("bm25_score"), "bm25_rank")
+
+
 def dense_topk(spark, d):
     """The five nearest vectors of every vector whose id is divisible by 20, by exact dot product."""
     e = table(spark, d, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding")
-    asked = [(r["chunk_id"], r["embedding"]) for r in e.where("chunk_id % 20 = 0").orderBy("chunk_id").collect()]
-    out = retrieval.dense_top_k(spread(e), asked, 5, id_type="bigint", mask="query_id")
+    asked = e.where("chunk_id % 20 = 0").withColumnRenamed("chunk_id", "query_id")
+    out = retrieval.dense_top_k_blocks(e, asked, 5, mask=True)
     return out.select("query_id", "chunk_id", F.round("dense_score", 6).alias("dense_score"), "dense_rank")
 
 
 def _searches(spark, d, k=20):
-    docs = passages(spark, d)
-    index = retrieval.build_index(docs, tokens=retrieval.plain_tokens("text"))
-    queries = indicator_queries(spark, d)
-    bm25 = retrieval.bm25_top_k(index, retrieval.query_terms(queries, tokens=retrieval.plain_tokens("query")), k)
+    docs, queries = passages(spark, d), indicator_queries(spark, d)
+    terms = retrieval.query_terms(queries, tokens=retrieval.plain_tokens("query"))
+    bm25 = retrieval.bm25_top_k(retrieval.build_index(docs, tokens=retrieval.plain_tokens("text"), terms=terms), terms, k)
     rows = queries.collect()
     vectors = T.embed_batch([r["query"] for r in rows], DIMS, "md5")
     embedded = spread(docs).where("text IS NOT NULL").select("chunk_id", T.hash_embed("text", DIMS, "md5").alias("embedding"))
@@ -147,9 +165,9 @@ def _evaluated(spark, d):
     """Dense and keyword candidates of every firm-year and indicator, evaluated against the ontology."""
     docs = passages(spark, d).withColumns({"company": F.coalesce("company", F.lit("")), "year": F.coalesce("year", F.lit(0))})
     groups = ("company", "year")
-    index = retrieval.build_index(docs, groups=groups)
     queries = indicator_queries(spark, d)
-    keyword = retrieval.bm25_top_k(index, retrieval.query_terms(queries), 80, groups)
+    terms = retrieval.query_terms(queries)
+    keyword = retrieval.bm25_top_k(retrieval.build_index(docs, groups=groups, terms=terms), terms, 80, groups)
     rows = queries.collect()
     vectors = T.embed_batch([r["query"] for r in rows], 256)
     embedded = spread(docs).where("text IS NOT NULL").select("chunk_id", *groups, T.hash_embed("text", 256).alias("embedding"))
@@ -164,18 +182,57 @@ def candidate_evaluation(spark, d):
     return out.select("indicator_id", "company", "year", "chunk_id", "keep", "strict_keep", F.round("relevance", 4).alias("relevance"), "keyword_score", "disclosure_type", "matched_keywords", "matched_units")
 
 
+def _keyword_candidates(spark, d):
+    """The 20 best passages of every firm-year and indicator by keyword search alone, with their texts."""
+    groups = ("company", "year")
+    docs = passages(spark, d).withColumns({"company": F.coalesce("company", F.lit("")), "year": F.coalesce("year", F.lit(0))})
+    terms = retrieval.query_terms(indicator_queries(spark, d), tokens=retrieval.plain_tokens("query"))
+    found = retrieval.bm25_top_k(retrieval.build_index(docs, groups=groups, tokens=retrieval.plain_tokens("text"), terms=terms), terms, 20, groups)
+    found = found.select(F.col("query_id").alias("indicator_id"), *groups, "chunk_id", "bm25_rank", F.lit(None).cast("double").alias("dense_score"), F.lit(None).cast("int").alias("dense_rank"))
+    return found.join(docs.select("chunk_id", "page", "source_file", "text"), "chunk_id")
+
+
+def keyword_evaluation(spark, d):
+    """Keyword candidates judged against the ontology."""
+    out = evidence.evaluate_candidates(_keyword_candidates(spark, d), ontology_rows(spark, d))
+    return out.select(
+        "indicator_id", "company", "year", "chunk_id", "keep", "strict_keep", F.round("relevance", 4).alias("relevance"), "keyword_score", "structural_score", "disclosure_type", "is_quantitative", "matched_keywords", "matched_negative",
+        "matched_units",
+    )
+
+
+def _grid(spark, d):
+    cells = passages(spark, d).select(F.coalesce("company", F.lit("")).alias("company"), F.coalesce("year", F.lit(0)).alias("year")).distinct()
+    about = table(spark, d, "indicator_ontology").select("indicator_id", "pillar", F.col("name").alias("indicator_name"), "domain", "subdomain", evidence.fallback_definition(F.col("name"), F.col("name_vi")).alias("definition"))
+    return cells.crossJoin(F.broadcast(about))  # firm-years x a dictionary of indicators: one row per cell is the result
+
+
+def keyword_evidence(spark, d):
+    """Evidence rows of every cell from keyword candidates: scores, quality, label, matches, funnel."""
+    from docquarry.common import materialise
+
+    done = materialise(evidence.evaluate_candidates(_keyword_candidates(spark, d), ontology_rows(spark, d)))
+    rows = evidence.evidence_rows(_grid(spark, d), evidence.select_evidence(done), evidence.funnel_counts(done))
+    return rows.select(
+        "company", "year", "indicator_id", "score", "disclosure_type", F.round("evidence_quality_score", 2).alias("quality"), "confidence_label", "evidence_quality", "chunk_count", "page_count", "page_numbers",
+        F.round("retrieval_score", 4).alias("retrieval_score"), "keyword_score", "structural_score", "matched_units", "merged_candidate_count", "after_relaxed_filter_count", "after_strict_filter_count", "final_candidate_count",
+    )
+
+
 def _evidence(spark, d):
     from docquarry.common import materialise
 
     done = materialise(_evaluated(spark, d))
-    cells = passages(spark, d).select(F.coalesce("company", F.lit("")).alias("company"), F.coalesce("year", F.lit(0)).alias("year")).distinct()
-    about = table(spark, d, "indicator_ontology").select("indicator_id", "pillar", F.col("name").alias("indicator_name"))
-    grid = cells.crossJoin(F.broadcast(about))  # firm-years x a dictionary of indicators: one row per cell is the result
-    return evidence.evidence_rows(grid, evidence.select_evidence(done), evidence.funnel_counts(done))
+    selected = materialise(evidence.select_evidence(done))
+    return selected, evidence.evidence_rows(_grid(spark, d), selected, evidence.funnel_counts(done))
 
 
 def evidence_dataset(spark, d):
-    return _evidence(spark, d)
+    """The evidence dataset in all its columns, with the selected passages of each cell as one text."""
+    selected, rows = _evidence(spark, d)
+    docs = passages(spark, d).select("chunk_id", "text")
+    chosen = selected.select("company", "year", "indicator_id", "chunk_id", "rank", "page", "source_file", F.col("relevance").alias("rerank_score")).join(docs, "chunk_id")
+    return evidence.evidence_dataset(rows, evidence.evidence_bundles(chosen, ["company", "year", "indicator_id"]))
 
 
 def evidence_index(spark, d):
@@ -183,7 +240,7 @@ def evidence_index(spark, d):
     from docquarry.common import materialise
     from docquarry.operators import index, reports
 
-    rows = materialise(reports.calibrate_confidence(_evidence(spark, d)))
+    rows = materialise(reports.calibrate_confidence(_evidence(spark, d)[1]))
     return index.firm_year_index(index.prepare_scores(rows))
 
 
@@ -214,14 +271,14 @@ def report_records(spark, d):
 
 def file_names(spark, d):
     """Company and year from report names."""
-    stem = F.regexp_replace("source_file", r"\.[^.]*$", "")
-    year = F.nullif(F.regexp_extract(stem, r"^(.+?)_(\d{4})$", 2), F.lit(""))
-    name = F.regexp_extract(stem, r"^(.+?)_(\d{4})$", 1)
-    return pages(spark, d).select("source_file").distinct().select("source_file", F.when(year.isNull(), stem).otherwise(name).alias("company"), year.cast("int").alias("year"))
+    from docquarry.sources.readers import company_year
+
+    company, year = company_year(F.regexp_replace("source_file", r"\.[^.]*$", ""))
+    return pages(spark, d).select("source_file").distinct().select("source_file", company.alias("company"), year.alias("year"))
 
 
 NAMES = [
-    "normalized_text", "token_counts", "chunk_windows", "chunk_ids", "tokenized", "tokens_with_plain_forms", "folded_names", "split_keywords", "hash_embeddings", "hash_embeddings_md5", "bm25_topk", "bm25_grouped_topk",
+    "normalized_text", "token_counts", "chunk_windows", "chunk_ids", "tokenized", "tokens_with_plain_forms", "folded_names", "split_keywords", "hash_embeddings", "hash_embeddings_md5", "bm25_topk", "bm25_grouped_topk", "term_statistics", "any_year_topk", "keyword_evaluation", "keyword_evidence",
     "dense_topk", "hybrid_rrf", "rerank_fallback", "structural_scores", "candidate_evaluation", "evidence_dataset", "evidence_index", "evidence_bundles", "evidence_pages", "ocr_need", "report_records", "file_names",
 ]
 QUERIES = {n: globals()[n] for n in NAMES}
@@ -247,6 +304,50 @@ every AS (SELECT query_id, d.chunk_id, coalesce(s, 0) AS s FROM (SELECT query_id
 e AS (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, chunk_id) AS er FROM every QUALIFY er <= 20),
 f AS (SELECT query_id, chunk_id, 1 / (60 + coalesce(br, 21)) + 1 / (60 + coalesce(er, 21)) AS h FROM b FULL JOIN e USING (query_id, chunk_id)),
 fused AS (SELECT query_id, chunk_id, h, row_number() OVER (PARTITION BY query_id ORDER BY round(h, 12) DESC, chunk_id) AS hr FROM f QUALIFY hr <= 20)"""
+_FROM, _TO = (x.replace("'", "''") for x in T._decomposition(False))
+
+
+def _plain(c: str) -> str:
+    """Accents and compatibility forms undone in DuckDB, d-stroke kept."""
+    x = f"regexp_replace(translate({c}, '{_FROM}', '{_TO}'), '\\p{{Mn}}+', '', 'g')"
+    for code in range(0xFB00, 0xFB07):
+        x = f"replace({x}, chr({code}), '{unicodedata.normalize('NFKD', chr(code))}')"
+    return x
+
+
+_LIST = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+_INFORMATIVE = lambda t: f"(list_contains({_LIST(T.INFORMATIVE)}, {t}) OR length({t}) >= 6 OR (regexp_matches({t}, '\\p{{Nd}}') AND regexp_matches({t}, '\\p{{L}}')))"
+
+
+def _content(c: str) -> str:
+    """Content terms in DuckDB."""
+    return f"list_filter(regexp_extract_all(lower({_plain(c)}), '{TOK}'), lambda t: NOT list_contains({_LIST(T.STOPWORDS)}, t) AND (length(t) >= 3 OR regexp_full_match(t, '\\p{{Nd}}+') OR {_INFORMATIVE('t')}))"
+
+
+_case = lambda cond, points: f"CASE WHEN {cond} THEN {points} ELSE 0 END"
+_NUMBER, _YEAR = (rf"regexp_matches(x, '(^|[^\p{{L}}\p{{N}}_]){what}')" for what in (r"\p{Nd}", r"20\p{Nd}{2}($|[^\p{L}\p{N}_])"))
+_MARKS = r"(regexp_matches(x, '[%|:]') OR contains(x, '\t'))"
+_JUDGED = f"""{_Q}, {_BM25}, cand AS (SELECT query_id AS indicator_id, chunk_id, coalesce(company, '') AS company, coalesce(year, 0) AS year FROM hits QUALIFY row_number() OVER (PARTITION BY query_id, coalesce(company, ''), coalesce(year, 0) ORDER BY round(s, 9) DESC, chunk_id) <= 20),
+raw AS (SELECT indicator_id, 1 AS g, 1 AS no, name AS phrase, 8 AS w, true AS alone FROM indicator_ontology UNION ALL SELECT indicator_id, 4, 1, name_vi, 8, true FROM indicator_ontology
+  UNION ALL SELECT indicator_id, g, no, phrase, 8, g <> 5 FROM (SELECT indicator_id, unnest([2, 3]) AS g, unnest([positive_keywords, positive_keywords]) AS l FROM indicator_ontology UNION ALL SELECT indicator_id, 5, negative_keywords FROM indicator_ontology), LATERAL (SELECT unnest(l) AS phrase, generate_subscripts(l, 1) AS no)
+  UNION ALL SELECT indicator_id, 6, generate_subscripts(units, 1), unnest(units), 4, true FROM indicator_ontology),
+phrases AS (SELECT * FROM (SELECT indicator_id, g, no, w, alone, {_content('phrase')} AS p FROM raw WHERE phrase IS NOT NULL AND NOT regexp_matches(phrase, '[?\\x{{fffd}}ÄÂ]')) WHERE len(p) > 0),
+shown AS (SELECT chunk_id, text, {_content('text')} AS t FROM docs WHERE chunk_id IN (SELECT chunk_id FROM cand)), tj AS (SELECT *, array_to_string(t, ' ') AS j FROM shown),
+asked AS (SELECT DISTINCT chunk_id, p, w, alone FROM cand JOIN phrases USING (indicator_id)),
+met AS (SELECT a.chunk_id, p, w, alone FROM asked a JOIN tj USING (chunk_id) WHERE CASE WHEN len(p) = 1 THEN alone AND {_INFORMATIVE('p[1]')} AND list_contains(t, p[1]) WHEN contains(j, array_to_string(p, ' ')) THEN true WHEN NOT list_has_all(t, p) THEN false
+  ELSE len(list_filter(range(1, len(t) + 1), lambda i: t[i] = p[1] AND list_has_all(t[i:i + w], p[2:]))) > 0 END),
+hit AS (SELECT indicator_id, company, year, chunk_id, count(*) FILTER (g = 1) AS hard, count(*) FILTER (g = 2) AS soft, count(*) FILTER (g = 3) AS pos, count(*) FILTER (g = 4) AS alt, count(*) FILTER (g = 5) AS neg, count(*) FILTER (g = 6) AS nu,
+  coalesce(list(array_to_string(p, ' ') ORDER BY g, no) FILTER (g <= 4), []) AS lk, coalesce(list(array_to_string(p, ' ') ORDER BY no) FILTER (g = 5), []) AS ln, coalesce(list(array_to_string(p, ' ') ORDER BY no) FILTER (g = 6), []) AS lu
+  FROM cand JOIN phrases USING (indicator_id) JOIN met USING (chunk_id, p, w, alone) GROUP BY ALL),
+full_ AS (SELECT c.*, coalesce(hard, 0) AS hard, coalesce(soft, 0) AS soft, coalesce(pos, 0) AS pos, coalesce(alt, 0) AS alt, coalesce(neg, 0) AS neg, coalesce(nu, 0) AS nu, coalesce(lk, []) AS lk, coalesce(ln, []) AS ln, coalesce(lu, []) AS lu,
+  coalesce(text, '') AS x, o.disclosure_type AS dt FROM cand c LEFT JOIN hit USING (indicator_id, company, year, chunk_id) JOIN tj USING (chunk_id) JOIN indicator_ontology o USING (indicator_id)),
+sig AS (SELECT *, {_NUMBER} AS num, hard + soft + pos + alt > 0 AS speaks, least(100.0, hard * 18 + soft * 10 + alt * 5 + nu * 12)::DOUBLE AS keyword_score FROM full_),
+sg2 AS (SELECT *, nu > 0 OR (num AND dt = 'quantitative' AND speaks) AS measured, speaks AND dt IN ('policy', 'governance', 'certification') AS worded, speaks OR nu > 0 AS solid, hard = 0 AND nu = 0 AS bare,
+  least(100.0, 20.0 + {_case('num', 30)} + {_case('nu > 0', 25)} + {_case(_YEAR, 10)} + {_case(_MARKS, 10)} + {_case('length(x) >= 240', 5)})::DOUBLE AS structural_score FROM sig),
+pt AS (SELECT *, round(0.42 * keyword_score + 0.18 * structural_score + {_case('worded', 8)} + {_case('measured', 9)} - least(8 * neg, 24), 6) AS pts FROM sg2),
+judged AS (SELECT *, pts >= 12 AND solid AS keep, solid AND pts >= 28 AND NOT (bare AND neg > 0 AND pts < 40) AS strict_keep, greatest(least(pts, 100), 0)::DOUBLE AS relevance FROM pt),
+ev AS (SELECT *, CASE WHEN NOT keep THEN 'none' WHEN measured THEN 'quantitative' ELSE 'qualitative' END AS disclosure_type FROM judged)"""
+_FIRSTS = lambda c: f"array_to_string(list_filter({c}, lambda q, i: list_position({c}, q) = i), '; ')"
 _BUNDLE = f"""p AS (SELECT source_file, 'P' || lpad(CAST(page_key AS VARCHAR), 9, '0') AS chunk_id, page_number AS page, text, length(text) AS len FROM financial_pages WHERE text IS NOT NULL),
 best AS (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY len DESC, chunk_id) AS rank, regexp_replace(text, '^{W}+|{W}+$', '', 'g') AS t FROM p QUALIFY rank <= 3),
 b AS (SELECT source_file AS report, md5(string_agg('Source: ' || source_file || chr(10) || 'Page: ' || page || chr(10) || 'Chunk ID: ' || chunk_id || chr(10) || 'Reranker score: ' || len || chr(10) || 'Evidence:' || chr(10) || t,
@@ -261,11 +362,32 @@ ORACLES = {
     "chunk_ids": f"""WITH {_WINDOWS}, n AS (SELECT page_key, source_file, k, row_number() OVER (PARTITION BY source_file ORDER BY page_number, page_key, k) AS r FROM w)
         SELECT page_key, CAST(k + 1 AS INTEGER) AS window_no, coalesce(company, '') || '_' || coalesce(CAST(year AS VARCHAR), 'unknown') || '_' || lpad(CAST(r AS VARCHAR), 6, '0') AS chunk_id FROM n JOIN (SELECT page_key, company, year FROM financial_pages) USING (page_key)""",
     "tokenized": f"SELECT page_key, CAST(coalesce(len(regexp_extract_all(lower(text), '{TOK}')), 0) AS INTEGER) AS n, md5(array_to_string(coalesce(regexp_extract_all(lower(text), '{TOK}'), []), ' ')) AS digest FROM financial_pages",
+    "tokens_with_plain_forms": f"""WITH p AS (SELECT page_key, regexp_extract_all(lower(text), '{TOK}') AS t, len({_content('text')}) AS c FROM financial_pages WHERE text IS NOT NULL), w AS (SELECT page_key, unnest(t) AS x FROM p),
+        d AS (SELECT x, {_plain('x')} <> x AS two FROM (SELECT DISTINCT x FROM w)), n AS (SELECT page_key, count(*) FILTER (two) AS more FROM w JOIN d USING (x) GROUP BY page_key)
+        SELECT page_key, CAST(len(t) + coalesce(more, 0) AS INTEGER) AS n_tokens, CAST(c AS INTEGER) AS n_content_terms FROM p LEFT JOIN n USING (page_key)""",
+    "term_statistics": f"WITH {_BM25} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf, max(tf) AS most FROM posts GROUP BY term",
+    "any_year_topk": f"""WITH q AS (SELECT indicator_id AS query_id, name AS query FROM indicator_ontology), {_BM25}, cells AS (SELECT DISTINCT company, year FROM docs WHERE company IS NOT NULL)
+        SELECT query_id, c.company, c.year, chunk_id, round(s, 6) AS bm25_score, CAST(row_number() OVER (PARTITION BY query_id, c.company, c.year ORDER BY round(s, 9) DESC, chunk_id) AS INTEGER) AS bm25_rank
+        FROM hits h JOIN cells c ON h.company = c.company AND (c.year IS NULL OR c.year = h.year) QUALIFY bm25_rank <= 3""",
+    "keyword_evaluation": f"""WITH {_JUDGED} SELECT indicator_id, company, year, chunk_id, keep, strict_keep, round(relevance, 4) AS relevance, keyword_score, structural_score, disclosure_type, measured AS is_quantitative,
+        {_FIRSTS('lk')} AS matched_keywords, {_FIRSTS('ln')} AS matched_negative, {_FIRSTS('lu')} AS matched_units FROM ev""",
+    "keyword_evidence": f"""WITH {_JUDGED}, funnel AS (SELECT company, year, indicator_id, count(*) AS merged, count(*) FILTER (keep) AS kept, count(*) FILTER (keep AND strict_keep) AS strict FROM ev GROUP BY ALL),
+        best AS (SELECT e.*, page_number AS page, row_number() OVER (PARTITION BY e.company, e.year, indicator_id ORDER BY relevance DESC, chunk_id) AS rank FROM ev e JOIN financial_pages f ON chunk_id = 'P' || lpad(CAST(page_key AS VARCHAR), 9, '0') WHERE keep QUALIFY rank <= 5),
+        agg AS (SELECT company, year, indicator_id, count(*) AS n, count(DISTINCT page) AS np, max(relevance) AS r, max(keyword_score) AS k, max(structural_score) AS st, bool_or(measured) AS quant,
+        list(CAST(page AS VARCHAR) ORDER BY rank) AS pl, flatten(list(lu ORDER BY rank)) AS us FROM best GROUP BY ALL),
+        cells AS (SELECT DISTINCT coalesce(upper(company), '') AS company, coalesce(year, 0) AS year FROM financial_pages),
+        j AS (SELECT c.company, c.year, o.indicator_id, coalesce(n, 0) AS n, coalesce(np, 0) AS np, coalesce(r, 0) AS r, coalesce(k, 0) AS k, coalesce(st, 0) AS st, coalesce(quant, false) AS quant, pl, us, coalesce(merged, 0) AS merged, coalesce(kept, 0) AS kept, coalesce(strict, 0) AS strict
+        FROM cells c CROSS JOIN indicator_ontology o LEFT JOIN agg a ON a.company = c.company AND a.year = c.year AND a.indicator_id = o.indicator_id LEFT JOIN funnel f ON f.company = c.company AND f.year = c.year AND f.indicator_id = o.indicator_id),
+        s AS (SELECT *, CASE WHEN n = 0 THEN 0 WHEN quant THEN 2 ELSE 1 END AS score, 0.4 * r + 0.2 * k + 0.1 * st AS q FROM j)
+        SELECT company, year, indicator_id, CAST(score AS INTEGER) AS score, ['none', 'qualitative', 'quantitative'][score + 1] AS disclosure_type, round(round_even(q, 3), 2) AS quality, CASE WHEN q >= 70 THEN 'HIGH_CONFIDENCE' WHEN q >= 40 THEN 'MEDIUM_CONFIDENCE' ELSE 'LOW_CONFIDENCE' END AS confidence_label,
+        CASE WHEN n < 2 THEN 'LOW_EVIDENCE' ELSE 'OK' END AS evidence_quality, n AS chunk_count, np AS page_count, array_to_string(list_filter(coalesce(pl, []), lambda x, i: list_position(pl, x) = i), ',') AS page_numbers, round(r, 4) AS retrieval_score, CAST(k AS DOUBLE) AS keyword_score,
+        CAST(st AS DOUBLE) AS structural_score, array_to_string(list_filter(coalesce(us, []), lambda x, i: list_position(us, x) = i), '; ') AS matched_units, merged AS merged_candidate_count, kept AS after_relaxed_filter_count, strict AS after_strict_filter_count, least(kept, 5) AS final_candidate_count FROM s""",
     "folded_names": "SELECT indicator_id, alias, trim(regexp_replace(replace(strip_accents(lower(alias)), 'đ', 'd'), '\\s+', ' ', 'g')) AS folded FROM (SELECT indicator_id, unnest(aliases) AS alias FROM financial_indicators)",
     "split_keywords": """WITH r AS (SELECT indicator_id, concat_ws(' ; ', array_to_string(positive_keywords, '|'), name) AS terms FROM indicator_ontology),
         s AS (SELECT indicator_id, terms, list_filter(list_transform(string_split_regex(terms, '[|;]'), lambda x: trim(x)), lambda x: x <> '') AS l FROM r), u AS (SELECT *, list_filter(l, lambda x, i: list_position(l, x) = i) AS d FROM s)
         SELECT indicator_id, CAST(len(d) AS INTEGER) AS n, array_to_string(d, '#') AS terms, regexp_matches(terms, '[?\\x{fffd}ÄÂ]') AS corrupt FROM u""",
-    "hash_embeddings_md5": f"""SELECT page_key, bucket, CAST(sum(s) AS BIGINT) AS weight FROM (SELECT page_key, {_SIGNED} FROM (SELECT page_key, unnest(regexp_extract_all(lower(text), '{TOK}')) AS t FROM financial_pages)) GROUP BY ALL HAVING sum(s) <> 0""",
+    "hash_embeddings_md5": f"""WITH w AS (SELECT page_key, bucket, CAST(sum(s) AS DOUBLE) AS w FROM (SELECT page_key, {_SIGNED} FROM (SELECT page_key, unnest(regexp_extract_all(lower(text), '{TOK}')) AS t FROM financial_pages)) GROUP BY ALL HAVING sum(s) <> 0)
+        SELECT page_key, CAST(bucket AS INTEGER) AS bucket, round(w / sqrt(sum(w * w) OVER (PARTITION BY page_key)), 6) AS weight FROM w""",
     "bm25_topk": f"WITH {_Q}, {_BM25} SELECT query_id, chunk_id, round(s, 6) AS bm25_score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, chunk_id) AS INTEGER) AS bm25_rank FROM hits QUALIFY bm25_rank <= 10",
     "bm25_grouped_topk": f"""WITH q AS (SELECT indicator_id AS query_id, name AS query FROM indicator_ontology), {_BM25},
         every AS (SELECT query_id, coalesce(d.company, '') AS company, coalesce(d.year, 0) AS year, d.chunk_id, coalesce(s, 0) AS s FROM (SELECT query_id FROM q) CROSS JOIN docs d LEFT JOIN hits USING (query_id, chunk_id))

@@ -112,21 +112,66 @@ def test_number_tokens(spark):
 
 
 def test_structural_score(spark):
-    assert evidence.structural("GHG emissions in 2023: 120 tCO2e", True, True) == 95 and evidence.structural("policy text", False, False) == 20
     df = spark.createDataFrame([("GHG emissions in 2023: 120 tCO2e", True), ("policy text", False), (None, False)], "t string, u boolean")
     assert sorted(r["s"] for r in df.select(evidence.structural_score(F.col("t"), F.col("u")).alias("s")).collect()) == [20.0, 20.0, 95.0]
 
 
-def test_phrases_and_evaluation():
-    ind = evidence.prepare_indicator({"indicator_id": "E1", "name": "emission reduction", "disclosure_type": "quantitative", "hard_required": ["carbon emission"], "units": ["tco2e"], "soft_positive": ["greenhouse gas"], "target_patterns": ["reduce emission"], "negative_keywords": ["bad ? encoding"]})
-    p = evidence.Passage("Carbon emission was 120 tCO2e in 2023; we reduce every emission")
-    got = evidence.evaluate(p, ind, 0.4)
-    assert got["keyword_score"] == 30 and got["structural_score"] == 85 and got["is_quantitative"] and got["has_target"] and got["disclosure_type"] == "target"
-    assert got["relevance"] == pytest.approx(0.42 * 30 + 0.25 * 40 + 0.18 * 85 + 9 + 5) and got["keep"] and got["strict_keep"]
-    assert not evidence.evaluate(evidence.Passage(None), ind, None)["keep"]
+def test_phrases_and_evaluation(spark):
+    one = {"indicator_id": "E1", "name": "emission reduction", "disclosure_type": "quantitative", "hard_required": ["carbon emission"], "units": ["tco2e"], "soft_positive": ["greenhouse gas"], "target_patterns": ["reduce emission"], "negative_keywords": ["bad ? encoding"]}
+    rows = [("E1", "c1", "Carbon emission was 120 tCO2e in 2023; we reduce every emission", 0.4), ("E1", "c2", None, None), ("none", "c1", "Carbon emission", 0.1)]
+    out = evidence.evaluate_candidates(spark.createDataFrame(rows, "indicator_id string, chunk_id string, text string, dense_score double"), [one])
+    got = {r["chunk_id"]: r.asDict() for r in out.collect()}
+    first = got["c1"]
+    assert first["keyword_score"] == 30 and first["structural_score"] == 85 and first["is_quantitative"] and first["has_target"] and first["disclosure_type"] == "target"
+    assert first["relevance"] == pytest.approx(0.42 * 30 + 0.25 * 40 + 0.18 * 85 + 9 + 5) and first["keep"] and first["strict_keep"]
+    assert set(got) == {"c1", "c2"} and not got["c2"]["keep"] and got["c2"]["disclosure_type"] == "none"
     assert evidence.Passage("scope 10").has(("scope", "1"), 8, True)  # a phrase is a substring of the joined terms
 
 
+def test_scores_of_the_fixed_arithmetic(spark):
+    hits = {"hard_required": 2, "soft_positive": 3, "qualitative_patterns": 1, "quantitative_patterns": 1, "units": 1, "required_entities": 2, "alternative_phrases": 1, "target_patterns": 1}
+    df = spark.range(1).select(*(F.array(*(F.lit(f"{g}{i}") for i in range(hits.get(g, 0)))).cast("array<string>").alias(f"hit_{g}") for g in evidence.GROUPS), F.lit("quantitative").alias("kind"), F.lit(True).alias("aimed"), F.lit(0.4).alias("dense_score"), F.lit(True).alias("number"), F.lit(70.0).alias("shape"))
+    r = evidence.judge(df).first()
+    assert (r["keyword_score"], r["structural_score"], r["relevance"]) == (100.0, 95.0, 91.1)
+
+
+def test_dataset_columns(spark):
+    assert len(evidence.DATASET) == 45
+    bundle = spark.createDataFrame([("A", None, "I", "Source: x")], "company string, year int, indicator_id string, evidence string")
+    judged = spark.createDataFrame([("A", None, "I", "c1", 3)], "company string, year int, indicator_id string, chunk_id string, page int")
+    names = [f"matched_{g}" for g in ("keywords", "negative", "units", "patterns", "hard_required", "soft_positive", "qualitative_patterns", "quantitative_patterns")]
+    judged = judged.select("*", *(F.lit(50.0).alias(c) for c in ("relevance", "keyword_score", "embedding_score", "structural_score", "dense_score")), *(F.lit(True).alias(c) for c in ("keep", "strict_keep", "disclosure_present", "is_quantitative", "has_target")), *(F.lit("a; b").alias(c) for c in names), F.lit(1).alias("dense_rank"), F.lit(None).cast("int").alias("bm25_rank"))
+    judged = judged.unionByName(judged)  # a passage twice counts once
+    grid = spark.createDataFrame([("A", None, "I"), ("B", 1, "I")], "company string, year int, indicator_id string")
+    out = evidence.evidence_dataset(evidence.evidence_rows(grid, evidence.select_evidence(judged), evidence.funnel_counts(judged)), bundle)
+    got = {r["company"]: r for r in out.collect()}
+    assert tuple(out.columns) == evidence.DATASET
+    assert (got["A"]["score"], got["A"]["evidence_length"], got["A"]["candidate_count"], got["A"]["matched_units"]) == (3, 9, 1, "a; b")
+    assert (got["B"]["score"], got["B"]["evidence"], got["B"]["disclosure_present"]) == (0, "", False)
+
+
+def test_a_pair_scorer_reranks_in_batches_and_skips_sure_lists(spark):
+    rows = [("q1", "a", 0.9, "x", "one two"), ("q1", "b", 0.1, "x", "x"), ("q2", "a", 0.2, "x", "x x"), ("q2", "b", 0.3, None, None)]
+    df = spark.createDataFrame(rows, "query_id string, chunk_id string, hybrid_score double, query string, text string")
+    score = lambda q, t: [float(len(x)) for x in t]
+    out = retrieval.rerank(df, 2, scorer=retrieval.pair_scorer(score, batch=1), skip_at=0.8, model="length")
+    got = {(r["query_id"], r["chunk_id"]): (r["rank"], r["rerank_score"], r["reranker"]) for r in out.collect()}
+    assert got == {("q1", "a"): (1, 0.9, "hybrid-fallback"), ("q1", "b"): (2, 0.1, "hybrid-fallback"), ("q2", "a"): (1, 3.0, "length"), ("q2", "b"): (2, 0.0, "length")}
+
+
+def test_dense_blocks_equal_all_products(spark):
+    import numpy as np
+
+    x = np.random.default_rng(1).normal(size=(90, 6)).round(1)
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, None), (901, [1.0])], "chunk_id bigint, embedding array<double>")
+    asked = docs.where("chunk_id % 9 = 0").withColumnRenamed("chunk_id", "query_id")
+    s = x @ x.T
+    want = {(q, d) for q in range(0, 90, 9) for d in sorted((d for d in range(90) if d != q), key=lambda d: (-round(s[q, d], 9), d))[:4]}
+    for most in (1 << 20, 0):
+        out = retrieval.dense_top_k_blocks(docs, asked, 4, mask=True, block=16, broadcast_bytes=most)
+        assert {(r["query_id"], r["chunk_id"]) for r in out.collect() if r["query_id"] < 900} == want
+
+
 def test_calibration(spark):
     rows = [("I", 10.0, 1), ("I", 20.0, 1), ("I", 20.0, 1), ("I", 40.0, 1), ("J", 5.0, 0)]
     df = spark.createDataFrame(rows, "indicator_id string, evidence_quality_score double, score int")
