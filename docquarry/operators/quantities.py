@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.common import materialise, small
-from docquarry.operators.pairs import expand_pairs
+from docquarry.operators.pairs import EXPAND
 
 SAMPLE, CONFIDENT = 40_000, 0.9
 #: Units without case and accents, by kind of quantity, with their factor to the common unit of the kind.
@@ -115,7 +115,8 @@ def _stated(facts: DataFrame, indicators: DataFrame, rates: DataFrame) -> DataFr
     out = out.withColumn("__figure", F.coalesce(F.when(~F.isnan("value"), F.col("value")), parse_figure(last)))
     out = out.join(F.broadcast(by_unit), "__unit", "left")
     fx = rates.groupBy(F.col("currency").alias("__measure"), F.col("year").alias("__fx_year")).agg(F.avg("vnd_per_unit").alias("__rate"))
-    out = out.join(F.broadcast(fx), (out["__measure"] == fx["__measure"]) & (out["year"] == fx["__fx_year"]), "left").drop(fx["__measure"])
+    fx = small(fx)
+    out = out.join(fx, (out["__measure"] == fx["__measure"]) & (out["year"] == fx["__fx_year"]), "left").drop(fx["__measure"])
     rate = F.when(F.col("__measure").isin("USD", "EUR"), F.col("__rate")).otherwise(F.lit(1.0))
     return out.withColumn("__amount", F.col("__figure") * F.col("__factor") * rate).drop("__fx_year")
 
@@ -200,17 +201,24 @@ def _predict(rows: DataFrame, sample: int, trees: int = 40, depth: int = 10) ->
     return iso.transform(new).select("fact_id", "__label", "__confidence")
 
 
-def normalise_facts(facts: DataFrame, indicators: DataFrame, rates: DataFrame, confident: float = CONFIDENT, sample: int = SAMPLE) -> DataFrame:
-    """The facts with amount, common_unit, unit_from (evidence, column, predicted), unit_confidence and status."""
-    names = facts.columns
-    rows = materialise(_stated(facts, indicators, rates))
+_NEEDED = ["fact_id", "firm", "year", "indicator_id", "currency", "extraction_method"]
+_MADE = ["__figure", "__kind", "__unit", "__measure", "__factor", "__amount", "__in_text"]
+
+
+def normalise_facts(facts: DataFrame, indicators: DataFrame, rates: DataFrame, confident: float = CONFIDENT, sample: int = SAMPLE, keep: list[str] | None = None) -> DataFrame:
+    """The facts with amount, common_unit, unit_from (evidence, column, predicted), unit_confidence and status.
+
+    keep: the columns of the facts to carry on, all of them by default.
+    """
+    names = facts.columns if keep is None else keep
+    rows = materialise(_stated(facts, indicators, rates).select(*(F.col(f"`{c}`") for c in dict.fromkeys([*names, *_NEEDED, *_MADE]))))
     guess = _predict(rows, sample)
     split = F.split("__label", ":")
-    fx = rates.groupBy(F.col("currency").alias("__m"), F.col("year").alias("__y")).agg(F.avg("vnd_per_unit").alias("__r"))
+    fx = rates.groupBy(F.col("currency").alias("__m2"), F.col("year").alias("__y")).agg(F.avg("vnd_per_unit").alias("__r"))
     guess = guess.groupBy("fact_id").agg(F.first("__label").alias("__label"), F.max("__confidence").alias("__confidence"))
     guess = guess.select("fact_id", split[0].alias("__m"), split[1].cast("double").alias("__f"), "__confidence")
     out = rows.join(guess, "fact_id", "left")
-    out = out.join(F.broadcast(fx.withColumnRenamed("__m", "__m2")), (F.col("__m") == F.col("__m2")) & (F.col("year") == F.col("__y")), "left")
+    out = out.join(small(fx), (F.col("__m") == F.col("__m2")) & (F.col("year") == F.col("__y")), "left")
     rate = F.when(F.col("__m").isin("USD", "EUR"), F.col("__r")).otherwise(F.lit(1.0))
     sure = F.col("__unit").isNull() & (F.col("__confidence") >= confident)
     amount = F.when(F.col("__unit").isNotNull(), F.col("__amount")).when(sure, F.col("__figure") * F.col("__f") * rate)
@@ -222,23 +230,52 @@ def normalise_facts(facts: DataFrame, indicators: DataFrame, rates: DataFrame, c
     )
 
 
-def agreeing_facts(facts: DataFrame, indicators: DataFrame, rates: DataFrame, tolerance: float = 0.01) -> DataFrame:
+def unit_accuracy(facts: DataFrame, indicators: DataFrame, rates: DataFrame, every: int = 20, confident: float = CONFIDENT, sample: int = SAMPLE) -> DataFrame:
+    """How well the classifier finds units that are known but hidden from it: those of the facts whose id is divisible by
+    ``every``. Per kind of quantity: hidden, converted (confidence of at least ``confident``), right among the converted,
+    right among all, accuracy of the converted, share sent to review. Kinds without hidden facts have no row.
+    """
+    rows = materialise(_stated(facts, indicators, rates).select(*_NEEDED, *_MADE))
+    known = F.col("__unit").isNotNull() & F.col("__kind").isNotNull() & (F.col("__figure") != 0)
+    hide = known & (F.pmod("fact_id", F.lit(every)) == 0)
+    truth = rows.where(hide).select("fact_id", "__kind", F.concat_ws(":", "__measure", F.col("__factor").cast("string")).alias("__true")).dropDuplicates(["fact_id"])
+    blind = rows.withColumns({c: F.when(~F.coalesce(hide, F.lit(False)), F.col(c)) for c in ("__unit", "__measure", "__factor", "__amount")})
+    guess = _predict(blind, sample).groupBy("fact_id").agg(F.first("__label").alias("__label"), F.max("__confidence").alias("__confidence"))
+    out = truth.join(guess, "fact_id", "left")
+    right, sure = F.coalesce(F.col("__label") == F.col("__true"), F.lit(False)), F.coalesce(F.col("__confidence") >= confident, F.lit(False))
+    out = out.groupBy(F.col("__kind").alias("common_unit")).agg(F.count("*").alias("hidden"), F.count_if(sure).alias("converted"), F.count_if(sure & right).alias("converted_right"), F.count_if(right).alias("all_right"))
+    ratio = lambda a, b: F.round(F.col(a) / F.nullif(F.col(b), F.lit(0)), 4)
+    return out.select("*", ratio("converted_right", "converted").alias("accuracy"), F.round(1 - F.col("converted") / F.col("hidden"), 4).alias("review_share"))
+
+
+def agreeing_facts(facts: DataFrame, indicators: DataFrame, rates: DataFrame, tolerance: float = 0.01, expand: int | None = EXPAND) -> DataFrame:
     """Pairs (fact_id_a, fact_id_b) of one firm, year and indicator whose amounts differ by at most ``tolerance`` of the larger.
 
-    Equal amounts form one class; classes meet through buckets of relative width ``tolerance`` and their neighbours, so
-    a key with many rows is joined by amount and never compared row by row. Only rows equal in figure, unit, currency and
-    evidence are copies, of which large groups give a star; all other pairs are written.
+    Rows meet through buckets of relative width ``tolerance``, each looking into its own bucket and the next one, so a key
+    with many rows is joined by amount and never compared row by row. Rows equal in amount, figure, unit, currency and
+    evidence are copies; of more than ``expand`` copies the one with the smallest id stands for all in pairs with others
+    and is paired with each of them (None: all pairs). All other pairs are written.
     """
-    rows = normalise_facts(facts, indicators, rates).where("amount IS NOT NULL AND year IS NOT NULL AND firm IS NOT NULL AND indicator_id IS NOT NULL AND NOT isnan(amount)")
-    copy = F.md5(F.to_json(F.struct("value", "unit", "currency", "evidence")))
-    rows = materialise(rows.select("fact_id", "firm", "year", "indicator_id", "amount", copy.alias("copy")))
-    keys = ["firm", "year", "indicator_id", "amount"]
-    heads = rows.groupBy(*keys).agg(F.min("fact_id").alias("cls"))
-    members = rows.join(heads, keys).select("cls", "copy", F.col("fact_id").alias("id"))
-    bucket = F.when(F.col("amount") == 0, F.lit(-(1 << 40))).otherwise(F.floor(F.log(F.abs("amount")) / -log(1 - tolerance))).cast("bigint")
-    base = heads.withColumns({"bucket": bucket, "sign": F.signum("amount")})
-    left = base.select("firm", "year", "indicator_id", "sign", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"), F.col("cls").alias("a"), F.col("amount").alias("x"))
-    right = base.select("firm", "year", "indicator_id", "sign", "bucket", F.col("cls").alias("b"), F.col("amount").alias("y"))
+    facts = facts.withColumn("__copy", F.xxhash64("value", "unit", "currency", F.coalesce("evidence", F.lit(""))))
+    rows = normalise_facts(facts, indicators, rates, keep=["fact_id", "firm", "year", "indicator_id", "__copy"])
+    rows = rows.where("amount IS NOT NULL AND year IS NOT NULL AND firm IS NOT NULL AND indicator_id IS NOT NULL AND NOT isnan(amount)")
+    keys = ["firm", "year", "indicator_id"]
+    rows = rows.select("fact_id", *keys, "amount", "__copy")
+    star = None
+    if expand is not None:
+        rows = materialise(rows)
+        large = rows.groupBy(*keys, "amount", "__copy").agg(F.count("*").alias("__n"), F.min("fact_id").alias("__low")).where(F.col("__n") > expand).drop("__n")
+        many = large.count()
+        if many:
+            rows = rows.join(F.broadcast(large) if many <= 500_000 else large, [*keys, "amount", "__copy"], "left")
+            star = rows.where(F.col("fact_id") > F.col("__low")).select(F.col("__low").alias("fact_id_a"), F.col("fact_id").alias("fact_id_b"))
+            rows = rows.where(F.col("__low").isNull() | (F.col("fact_id") == F.col("__low")))
+    width = -log(1 - tolerance) * (1 + 1e-6)
+    bucket = F.when(F.col("amount") == 0, F.lit(-(1 << 40))).otherwise(F.floor(F.log(F.abs("amount")) / width)).cast("bigint")
+    base = rows.select("fact_id", *keys, "amount", F.signum("amount").alias("sign"), bucket.alias("bucket"))
+    left = base.select(*keys, "sign", F.posexplode(F.array(F.col("bucket"), F.col("bucket") + 1)).alias("next", "bucket"), F.col("fact_id").alias("a"), F.col("amount").alias("x"))
+    right = base.select(*keys, "sign", "bucket", F.col("fact_id").alias("b"), F.col("amount").alias("y"))
     near = F.abs(F.col("x") - F.col("y")) <= tolerance * F.greatest(F.abs("x"), F.abs("y")) * (1 + 1e-9)
-    links = left.join(right, ["firm", "year", "indicator_id", "sign", "bucket"]).where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
-    return expand_pairs(links, members).select(F.col("a").alias("fact_id_a"), F.col("b").alias("fact_id_b")).distinct()
+    met = left.join(right, [*keys, "sign", "bucket"]).where(near & F.when(F.col("next") == 0, F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b")))
+    pairs = met.select(F.least("a", "b").alias("fact_id_a"), F.greatest("a", "b").alias("fact_id_b"))
+    return (pairs.unionByName(star) if star is not None else pairs).distinct()
