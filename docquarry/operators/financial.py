@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.common import spread
-from docquarry.functions.text import fin_normalize, page_suspect
+from docquarry.functions.text import fin_normalize, page_suspect, strip_accents, tokenize
 from docquarry.operators.ordering import positions, within
 
 #: Accent-free phrases by page type, in the order in which ties are decided.
@@ -196,18 +196,37 @@ def number_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NUMBER), F.lit(0))
 
 
-def text_segments(text: Column) -> Column:
-    """Pieces between sentence ends and line breaks."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"(?<=[.!?])\s+|\n+"), lambda x: F.trim(x)), lambda x: x != "")
-
-
 def _indicator_table(spark, indicators: list[dict]) -> DataFrame:
     rows = []
     for r in indicators:
         aliases = [a for a in (r.get("aliases") or [r.get("label_vi")]) if a]
         units = sorted(r.get("unit_candidates") or [], key=len, reverse=True)
         rows.append((r["indicator_id"], r.get("label_vi") or "", r.get("statement_group") or "", aliases, units, bool(r.get("convert_to_vnd"))))
-    return spark.createDataFrame(rows, "indicator_id string, indicator_name string, warehouse_group string, aliases array<string>, units array<string>, to_vnd boolean")
+    book = spark.createDataFrame(rows, "indicator_id string, indicator_name string, warehouse_group string, aliases array<string>, units array<string>, to_vnd boolean")
+    return book.withColumns({"folded": F.transform("aliases", fin_normalize), "folded_units": F.transform("units", fin_normalize)})
+
+
+#: Points of the parts of extraction confidence (name, value, unit on the line, line of a table, year on the line).
+POINTS = {"name": 0.35, "value": 0.25, "unit": 0.15, "table": 0.20, "year": 0.05}
+#: Share of extraction and retrieval in the confidence of a fact; what a fused score counts for.
+SHARE, RETRIEVAL_SHARE, RETRIEVAL_FACTOR = 0.75, 0.25, 35
+#: Figures that are years, and the least figure that is an amount.
+YEARS, LEAST_AMOUNT = (1900, 2099), 1000
+
+
+def _named_lines(pages: DataFrame, book: DataFrame, keep: list[str]) -> DataFrame:
+    """A row per line and indicator it names: line_no, line, plain (folded). A page is folded once, line breaks kept.
+
+    A page that names no indicator anywhere is left out before its lines are looked at one by one.
+    """
+    names = [(r["indicator_id"], [f for f in r["folded"] if f]) for r in book.select("indicator_id", "folded").collect()]
+    plain = F.regexp_replace(strip_accents(F.lower("text"), fold_d=True), r"(?U)[\s&&[^\n]]+", " ")
+    rows = spread(pages.where("text IS NOT NULL")).select(*keep, statement_unit(F.col("text")).alias("stated"), "text", plain.alias("__plain"))
+    anywhere = reduce(lambda a, b: a | b, (F.col("__plain").contains(f.split(" ")[0]) for _, fs in names for f in fs), F.lit(False))
+    pairs = F.transform(F.arrays_zip(F.split("text", "\n").alias("l"), F.split("__plain", "\n").alias("p")), lambda x: F.struct(F.regexp_replace(x["l"], r"(?U)^\s+|\s+$", "").alias("line"), F.trim(x["p"]).alias("plain")))
+    lines = rows.where(anywhere).select(*keep, "stated", F.posexplode(F.array_distinct(F.filter(pairs, lambda x: x["line"] != ""))).alias("line_no", "__x")).select(*keep, "stated", "line_no", "__x.*")
+    shows = lambda fs: reduce(lambda a, b: a | b, (F.col("plain").contains(f) for f in fs), F.lit(False))
+    return lines.select("*", F.explode(F.array_compact(F.array(*(F.when(shows(fs), i) for i, fs in names)))).alias("indicator_id"))
 
 
 def extract_facts(pages: DataFrame, indicators: list[dict], sign_mode: str = "fixed") -> DataFrame:
@@ -216,34 +235,16 @@ def extract_facts(pages: DataFrame, indicators: list[dict], sign_mode: str = "fi
     A line is a candidate if its folded form contains an alias; since sentences never reach over line breaks, every
     sentence with an alias lies in such a line, so lines decide alone and the method is ``table``.
     """
-    spark = pages.sparkSession
-    dictionary = _indicator_table(spark, indicators)
-    names = [(r["indicator_id"], [a for a in (r.get("aliases") or [r.get("label_vi")]) if a]) for r in indicators]
-    lines = spread(pages).where("text IS NOT NULL").select(
-        "page_key", F.col("company").alias("firm"), F.col("year").alias("report_year"), "source_file", "page_number", statement_unit(F.col("text")).alias("stated"),
-        F.posexplode(F.array_distinct(F.filter(F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: x != ""))).alias("line_no", "line"),
-    )
-    lines = lines.withColumn("plain", fin_normalize("line"))
-    folded = spark.createDataFrame([(i, a) for i, al in names for a in al], "i string, a string").select("i", fin_normalize("a").alias("f")).collect()
-    by: dict[str, list[str]] = {}
-    for r in folded:
-        by.setdefault(r["i"], []).append(r["f"])
-
-    def named(i: str) -> Column:
-        cond = F.lit(False)
-        for f in by.get(i, []):
-            cond = cond | F.col("plain").contains(f)
-        return F.when(cond, i)
-
-    lines = lines.select("*", F.explode(F.array_compact(F.array(*(named(i) for i, _ in names)))).alias("indicator_id"))
-    lines = lines.join(F.broadcast(dictionary), "indicator_id")
+    book = _indicator_table(pages.sparkSession, indicators)
+    about = pages.select("page_key", F.col("company").alias("firm"), F.col("year").alias("report_year"), "source_file", "page_number", "text")
+    lines = _named_lines(about, book, ["page_key", "firm", "report_year", "source_file", "page_number"]).join(F.broadcast(book), "indicator_id")
     low = F.lower("line")
     ends = F.filter(F.transform("aliases", lambda a: F.when(F.instr(low, F.lower(a)) > 0, F.instr(low, F.lower(a)) + F.length(a))), lambda x: x.isNotNull())
-    plain_ends = F.filter(F.transform("aliases", lambda a: F.when(F.instr(F.col("plain"), fin_normalize(a)) > 0, F.instr(F.col("plain"), fin_normalize(a)) + F.length(fin_normalize(a)))), lambda x: x.isNotNull())
+    plain_ends = F.filter(F.transform("folded", lambda a: F.when(F.instr(F.col("plain"), a) > 0, F.instr(F.col("plain"), a) + F.length(a))), lambda x: x.isNotNull())
     after = F.when(F.size(ends) > 0, F.expr("substring(line, __end)")).when(F.size("__pends") > 0, F.expr("substring(plain, __pends[0])")).otherwise(F.col("line"))
     lines = lines.withColumn("__end", F.coalesce(F.array_min(ends), F.lit(1))).withColumn("__pends", plain_ends).withColumn("__tail", after)
-    own = F.element_at(F.filter("units", lambda u: F.contains(F.col("plain"), fin_normalize(u))), 1)
-    own = F.when(F.size(F.filter("units", lambda u: F.contains(F.col("plain"), fin_normalize(u)))) > 0, own)
+    own = F.filter(F.arrays_zip("units", "folded_units"), lambda u: F.contains(F.col("plain"), u["folded_units"]))
+    own = F.when(F.size(own) > 0, F.element_at(own, 1)["units"])
     padded = F.concat(F.lit(" "), F.col("plain"), F.lit(" "))
     has = lambda *ws: reduce(lambda a, b: a | b, (padded.contains(w) for w in ws))
     money = F.when(has("nghin dong", "thousand vnd"), "nghìn đồng").when(has("trieu dong", "million vnd"), "triệu đồng").when(has("ty dong", "billion vnd"), "tỷ đồng").when(has(" vnd ", " dong "), "VND")
@@ -255,7 +256,7 @@ def extract_facts(pages: DataFrame, indicators: list[dict], sign_mode: str = "fi
     lines = lines.withColumn("__factor", factor)
     counts = F.col("indicator_id").isin(SHARES, TREASURY, STAFF)
     parsed = F.filter(F.transform(number_tokens(F.col("__tail")), lambda n: parse_number(n, F.col("unit"), sign_mode)), lambda v: v.isNotNull())
-    usable = F.filter(parsed, lambda v: counts | ~(F.abs(v).between(1900, 2099) | (F.abs(v) < 1000)))
+    usable = F.filter(parsed, lambda v: counts | ~(F.abs(v).between(*YEARS) | (F.abs(v) < LEAST_AMOUNT)))
     lines = lines.withColumn("__values", F.transform(usable, lambda v: v.cast("double") * F.col("__factor"))).where(F.size("__values") > 0)
     larger = F.aggregate("__values", F.element_at("__values", 1), lambda a, v: F.when(F.abs(v) > F.abs(a), v).otherwise(a))
     smaller = F.aggregate("__values", F.element_at("__values", 1), lambda a, v: F.when(F.abs(v) < F.abs(a), v).otherwise(a))
@@ -263,7 +264,8 @@ def extract_facts(pages: DataFrame, indicators: list[dict], sign_mode: str = "fi
     years = F.regexp_extract_all("line", F.lit(r"(?U)\b(20\d{2}|19\d{2})\b"), F.lit(1))
     year = F.when(F.size(years) > 0, F.array_max(years).cast("int"))
     unit_hit = F.contains(F.col("plain"), fin_normalize(F.col("unit")))
-    confidence = F.least(F.lit(1.0), F.bround(0.35 + 0.25 + F.when(unit_hit, 0.15).otherwise(0.0) + 0.20 + F.when(year.isNotNull(), 0.05).otherwise(0.0), 4))
+    sure = POINTS["name"] + POINTS["value"] + F.when(unit_hit, POINTS["unit"]).otherwise(0.0) + POINTS["table"] + F.when(year.isNotNull(), POINTS["year"]).otherwise(0.0)
+    confidence = F.least(F.lit(1.0), F.bround(sure, 4))
     currency = F.when(F.col("to_vnd"), "VND").when(F.col("unit").isin("cổ phiếu", "shares"), "SHARES").when(F.col("unit").isin("người", "employees", "persons"), "PERSONS").when(F.col("plain").contains("usd"), "USD").otherwise("VND")
     facts = lines.select(
         "page_key", "firm", F.coalesce(year, F.col("report_year")).alias("year"), "report_year", "indicator_id", "indicator_name", value.alias("value"), currency.alias("currency"), "unit",
@@ -274,17 +276,58 @@ def extract_facts(pages: DataFrame, indicators: list[dict], sign_mode: str = "fi
     return best.select("page_key", "indicator_id", "r.*").drop("line_no")
 
 
-def best_facts(facts: DataFrame, retrieval_score: Column | None = None) -> DataFrame:
-    """One fact per (firm, report_year, indicator): 0.75 extraction and 0.25 retrieval confidence, lower page id on ties."""
+def best_facts(facts: DataFrame, retrieval_score: Column | None = None, rank: Column | None = None) -> DataFrame:
+    """One fact per (firm, report_year, indicator): extraction and retrieval confidence weighed; on ties the better rank of
+    the passage where there is one, else the lower page id."""
     score = F.coalesce(retrieval_score, F.lit(0.0)) if retrieval_score is not None else F.lit(0.0)
-    sure = F.least(F.lit(1.0), F.col("confidence") * 0.75 + F.least(F.greatest(score * 35, F.lit(0.0)), F.lit(1.0)) * 0.25)
-    rows = facts.withColumn("confidence", F.bround(sure, 4))
+    sure = F.least(F.lit(1.0), F.col("confidence") * SHARE + F.least(F.greatest(score * RETRIEVAL_FACTOR, F.lit(0.0)), F.lit(1.0)) * RETRIEVAL_SHARE)
+    rows = facts.withColumns({"__sure": sure, "__rank": -rank if rank is not None else F.lit(0)}).withColumn("confidence", F.bround("__sure", 4))
     keys = ["firm", "report_year", "indicator_id"]
-    rest = [c for c in rows.columns if c not in keys]
-    out = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("confidence", (-F.col("page_key")).alias("k"))).alias("r"))
+    rest = [c for c in facts.columns if c not in keys]
+    order = F.struct(F.round("__sure", 9).alias("s"), "__rank", (-F.col("page_key")).alias("k"))
+    out = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r"))
     return out.select(*keys, "r.*")
 
 
+def statement_warehouse(pages: DataFrame, indicators: DataFrame, dense_k: int = 30, keyword_k: int = 40, dims: int = 1024, digest: str = "blake2b", tokens=None) -> DataFrame:
+    """(warehouse_group, company, year, chunk_id, page_key, retrieval_score, financial_rank): the ``keyword_k`` best pages of
+    every firm-year for every statement group, by reciprocal ranks of one keyword and one dense search per group.
+
+    One search serves all indicators of a group. pages: (page_key, company, year, text, ...). A firm-year without pages
+    has no rows; a page that one search does not find counts as ranked behind its last one. tokens: how a column becomes
+    terms, by default with accent-free forms.
+    """
+    from docquarry.functions.text import embed_batch, hash_embed
+    from docquarry.operators import retrieval as R
+
+    groups = ("company", "year")
+    docs = pages.where("text IS NOT NULL").select(F.format_string("P%020d", F.col("page_key")).alias("chunk_id"), "page_key", *groups, "text")
+    asked = group_queries(indicators).select(F.col("statement_group").alias("query_id"), "query")
+    split = tokens or tokenize
+    terms = R.query_terms(asked, tokens=split("query"))
+    keyword = R.bm25_top_k(R.build_index(docs, groups=groups, tokens=split("text"), terms=terms), terms, keyword_k, groups)
+    rows = asked.collect()  # statement groups: a handful
+    vectors = embed_batch([r["query"] for r in rows], dims, digest)
+    embedded = spread(docs.select("chunk_id", *groups, "text")).select("chunk_id", *groups, hash_embed("text", dims, digest).alias("embedding"))
+    dense = R.dense_top_k(embedded, [(r["query_id"], v.tolist()) for r, v in zip(rows, vectors)], dense_k, groups)
+    fused = R.fuse(keyword, dense, keyword_k, groups)
+    return fused.select(
+        F.col("query_id").alias("warehouse_group"), *groups, "chunk_id", F.expr("CAST(substring(chunk_id, 2) AS BIGINT)").alias("page_key"), F.col("hybrid_score").alias("retrieval_score"), F.col("hybrid_rank").alias("financial_rank")
+    )
+
+
+def warehouse_facts(pages: DataFrame, warehouse: DataFrame, indicators: list[dict], top_k: int = 8, sign_mode: str = "fixed") -> DataFrame:
+    """The best fact of every (firm, year, indicator) among the ``top_k`` first pages of its statement group.
+
+    Pages no group chose are left out before extraction; facts of a page count only for groups that chose it.
+    """
+    chosen = warehouse.where(F.col("financial_rank") <= top_k)
+    wanted = pages.join(chosen.select("page_key").distinct(), "page_key", "left_semi")
+    facts = extract_facts(wanted, indicators, sign_mode)
+    facts = facts.join(chosen.select("warehouse_group", "page_key", "retrieval_score", "financial_rank"), ["warehouse_group", "page_key"])
+    return best_facts(facts, F.col("retrieval_score"), F.col("financial_rank"))
+
+
 def fact_grid(facts: DataFrame, firm_years: DataFrame, indicators: list[dict]) -> DataFrame:
     """A row per (firm, year) and indicator: the fact, or a row without value and with confidence 0."""
     book = _indicator_table(facts.sparkSession, indicators)
@@ -298,11 +341,21 @@ def fact_grid(facts: DataFrame, firm_years: DataFrame, indicators: list[dict]) -
     )
 
 
+#: Words that open the search text of a statement group; any other group opens with its own name.
+GROUP_WORDS = {
+    "balance_sheet": "bảng cân đối kế toán balance sheet tài sản nợ phải trả vốn chủ sở hữu",
+    "income_statement": "báo cáo kết quả hoạt động kinh doanh income statement doanh thu lợi nhuận chi phí",
+    "shares": "cổ phiếu đang lưu hành cổ phiếu quỹ outstanding shares treasury shares",
+    "employees": "lao động nhân viên chi phí đào tạo employees training expense",
+}
+
+
 def group_queries(indicators: DataFrame) -> DataFrame:
-    """One search text per statement group: labels, aliases and queries of its members in id order."""
+    """One search text per statement group: its words, then labels, aliases and queries of its members in id order."""
     one = F.concat_ws(" ", "label_vi", F.array_join("aliases", " "), F.array_join("retrieval_queries", " "))
     parts = F.transform(F.array_sort(F.collect_list(F.struct("indicator_id", one.alias("t")))), lambda x: x["t"])
-    return indicators.groupBy("statement_group").agg(F.concat_ws(" ", F.col("statement_group"), F.array_join(parts, " ")).alias("query"))
+    head = F.coalesce(*(F.when(F.col("statement_group") == g, words) for g, words in GROUP_WORDS.items()), F.col("statement_group"))
+    return indicators.groupBy("statement_group").agg(F.array_join(parts, " ").alias("__parts")).select("statement_group", F.concat_ws(" ", head, "__parts").alias("query"))
 
 
 def validate_facts(facts: DataFrame, at_least: list[tuple[str, str]], nonnegative: list[str]) -> DataFrame:
@@ -367,7 +420,7 @@ def null_diagnosis(facts: DataFrame, pages: DataFrame, indicators: list[dict]) -
     Per page only the ids of the indicators it names are kept; they are united per firm-year, so no text is gathered.
     """
     spark = facts.sparkSession
-    names = spark.createDataFrame([(r["indicator_id"], a) for r in indicators for a in (r.get("aliases") or [r.get("label_vi")]) if a], "i string, a string").select("i", fin_normalize("a").alias("f")).where("f <> ''").collect()
+    names = _indicator_table(spark, indicators).select(F.col("indicator_id").alias("i"), F.explode("folded").alias("f")).where("f <> ''").collect()
     plain = spread(pages).select(F.col("company").alias("__f"), F.col("year").alias("__y"), fin_normalize(F.coalesce("text", F.lit(""))).alias("p"))
     seen = F.array_distinct(F.array_compact(F.array(*(F.when(F.col("p").contains(r["f"]), r["i"]) for r in names))))
     firm = plain.where("p <> ''").select("__f", "__y", F.explode_outer(seen).alias("i")).groupBy("__f", "__y").agg(F.collect_set("i").alias("__seen"))

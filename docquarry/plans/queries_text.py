@@ -294,12 +294,13 @@ df AS (SELECT term, count(*) AS df FROM posts GROUP BY term), qt AS (SELECT quer
 hits AS (SELECT query_id, chunk_id, company, year, sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * (tf * 2.5) / (tf + 1.5 * (0.25 + 0.75 * greatest(dl, 1) / avgdl))) AS s FROM qt JOIN df USING (term) JOIN posts USING (term), tot GROUP BY ALL)"""
 _Q = "q AS (SELECT indicator_id AS query_id, concat_ws(' ', name, name_vi, array_to_string(positive_keywords, ' ')) AS query FROM indicator_ontology)"
 _SIGNED = "(CAST('0x' || substr(md5(t), 1, 6) AS INTEGER) % 64) AS bucket, CASE WHEN substr(md5(t), 7, 1) < '8' THEN 1 ELSE -1 END AS s"
-_HYBRID = f"""{_Q}, {_BM25}, b AS (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, chunk_id) AS br FROM hits QUALIFY br <= 20),
-dw AS (SELECT chunk_id, bucket, CAST(sum(s) AS DOUBLE) AS w FROM (SELECT chunk_id, {_SIGNED} FROM (SELECT chunk_id, unnest(toks) AS t FROM docs WHERE text IS NOT NULL)) GROUP BY ALL),
+_DENSE = f"""dw AS (SELECT chunk_id, bucket, CAST(sum(s) AS DOUBLE) AS w FROM (SELECT chunk_id, {_SIGNED} FROM (SELECT chunk_id, unnest(toks) AS t FROM docs WHERE text IS NOT NULL)) GROUP BY ALL),
 dn AS (SELECT chunk_id, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY chunk_id)) AS w FROM dw QUALIFY sum(w * w) OVER (PARTITION BY chunk_id) > 0),
 qw AS (SELECT query_id, bucket, CAST(sum(s) AS DOUBLE) AS w FROM (SELECT query_id, {_SIGNED} FROM (SELECT query_id, unnest(regexp_extract_all(lower(query), '{TOK}')) AS t FROM q)) GROUP BY ALL),
 qn AS (SELECT query_id, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY query_id)) AS w FROM qw),
-dot AS (SELECT query_id, chunk_id, sum(dn.w * qn.w) AS s FROM dn JOIN qn USING (bucket) GROUP BY ALL),
+dot AS (SELECT query_id, chunk_id, sum(dn.w * qn.w) AS s FROM dn JOIN qn USING (bucket) GROUP BY ALL)"""
+_HYBRID = f"""{_Q}, {_BM25}, b AS (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, chunk_id) AS br FROM hits QUALIFY br <= 20),
+{_DENSE},
 every AS (SELECT query_id, d.chunk_id, coalesce(s, 0) AS s FROM (SELECT query_id FROM q) CROSS JOIN (SELECT chunk_id FROM docs WHERE text IS NOT NULL) d LEFT JOIN dot USING (query_id, chunk_id)),
 e AS (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, chunk_id) AS er FROM every QUALIFY er <= 20),
 f AS (SELECT query_id, chunk_id, 1 / (60 + coalesce(br, 21)) + 1 / (60 + coalesce(er, 21)) AS h FROM b FULL JOIN e USING (query_id, chunk_id)),
