@@ -158,12 +158,12 @@ def statement_unit(text: Column) -> Column:
     return out
 
 
-def parse_number(raw: Column, unit: Column, sign_mode: str = "fixed") -> Column:
+def parse_number(raw: Column, unit: Column | None, sign_mode: str = "fixed", plain_unit: Column | None = None) -> Column:
     """The value of a number token; null if it is none.
 
     Parentheses and a leading minus are negative; with ``sign_mode='compat'`` a leading minus is undone a second time.
     With both separators the last is decimal; in units of billions one separator with up to three digits is decimal;
-    otherwise separators group.
+    otherwise separators group. plain_unit: the folded unit where it is known already.
     """
     text = F.trim(raw)
     negative = text.startswith("-") | (text.startswith("(") & text.endswith(")"))
@@ -171,7 +171,7 @@ def parse_number(raw: Column, unit: Column, sign_mode: str = "fixed") -> Column:
     digits = F.regexp_replace(body, "-", "")
     comma, dot = F.length(digits) - F.instr(F.reverse(digits), ","), F.length(digits) - F.instr(F.reverse(digits), ".")
     both = digits.contains(",") & digits.contains(".")
-    billions = F.coalesce(fin_normalize(unit).isin("ty dong", "billion vnd"), F.lit(False))
+    billions = F.coalesce((fin_normalize(unit) if plain_unit is None else plain_unit).isin("ty dong", "billion vnd"), F.lit(False))
     cleaned = (
         F.when(both & (comma > dot), F.regexp_replace(F.regexp_replace(digits, r"\.", ""), ",", "."))
         .when(both, F.regexp_replace(digits, ",", ""))
@@ -184,12 +184,10 @@ def parse_number(raw: Column, unit: Column, sign_mode: str = "fixed") -> Column:
     return F.when(negative, -value).otherwise(value)
 
 
-def money_factor(unit: Column) -> Column:
+def money_factor(unit: Column, folded: bool = False) -> Column:
     """Factor of a money unit; 1 for unknown ones."""
-    plain, out = fin_normalize(unit), F.lit(1)
-    for name, factor in MONEY.items():
-        out = F.when(plain == name, F.lit(factor).cast("bigint")).otherwise(out)
-    return out
+    factors = F.create_map(*(x for name, f in MONEY.items() for x in (F.lit(name), F.lit(f).cast("bigint"))))
+    return F.coalesce(factors[unit if folded else fin_normalize(unit)], F.lit(1).cast("bigint"))
 
 
 def number_tokens(text: Column) -> Column:
@@ -215,18 +213,17 @@ YEARS, LEAST_AMOUNT = (1900, 2099), 1000
 
 
 def _named_lines(pages: DataFrame, book: DataFrame, keep: list[str]) -> DataFrame:
-    """A row per line and indicator it names: line_no, line, plain (folded). A page is folded once, line breaks kept.
-
-    A page that names no indicator anywhere is left out before its lines are looked at one by one.
+    """A row per line and indicator it names: line_no, line, plain (folded). A page is folded once, line breaks kept; white
+    space is looked at only in lines that name an indicator. A line that recurs on its page comes again with a later number.
     """
     names = [(r["indicator_id"], [f for f in r["folded"] if f]) for r in book.select("indicator_id", "folded").collect()]
     plain = F.regexp_replace(strip_accents(F.lower("text"), fold_d=True), r"(?U)[\s&&[^\n]]+", " ")
-    rows = spread(pages.where("text IS NOT NULL")).select(*keep, statement_unit(F.col("text")).alias("stated"), "text", plain.alias("__plain"))
-    anywhere = reduce(lambda a, b: a | b, (F.col("__plain").contains(f.split(" ")[0]) for _, fs in names for f in fs), F.lit(False))
-    pairs = F.transform(F.arrays_zip(F.split("text", "\n").alias("l"), F.split("__plain", "\n").alias("p")), lambda x: F.struct(F.regexp_replace(x["l"], r"(?U)^\s+|\s+$", "").alias("line"), F.trim(x["p"]).alias("plain")))
-    lines = rows.where(anywhere).select(*keep, "stated", F.posexplode(F.array_distinct(F.filter(pairs, lambda x: x["line"] != ""))).alias("line_no", "__x")).select(*keep, "stated", "line_no", "__x.*")
+    pairs = F.arrays_zip(F.split("text", "\n").alias("line"), F.split(plain, "\n").alias("plain"))
+    rows = spread(pages.where("text IS NOT NULL")).select(*keep, statement_unit(F.col("text")).alias("stated"), pairs.alias("__pairs"))  # per page, before its lines
+    lines = rows.select(*keep, "stated", F.posexplode("__pairs").alias("line_no", "__x")).select(*keep, "stated", "line_no", "__x.line", F.col("__x")["plain"].alias("plain"))
     shows = lambda fs: reduce(lambda a, b: a | b, (F.col("plain").contains(f) for f in fs), F.lit(False))
-    return lines.select("*", F.explode(F.array_compact(F.array(*(F.when(shows(fs), i) for i, fs in names)))).alias("indicator_id"))
+    found = lines.select("*", F.explode(F.array_compact(F.array(*(F.when(shows(fs), i) for i, fs in names)))).alias("indicator_id"))
+    return found.withColumns({"line": F.regexp_replace("line", r"(?U)^\s+|\s+$", ""), "plain": F.trim("plain")})
 
 
 def extract_facts(pages: DataFrame, indicators: list[dict], sign_mode: str = "fixed") -> DataFrame:
@@ -251,11 +248,11 @@ def extract_facts(pages: DataFrame, indicators: list[dict], sign_mode: str = "fi
     count = F.when(has("co phieu", "shares"), "cổ phiếu").when(has("nguoi", "employees", "persons", "lao dong"), "người")
     spare = F.when(F.col("indicator_id") == STAFF, "người").when(F.col("indicator_id").isin(SHARES, TREASURY), "cổ phiếu").otherwise("VND")
     unit = F.coalesce(F.when(F.col("to_vnd"), F.col("stated")), own, F.when(F.col("to_vnd"), money).otherwise(count), spare)
-    lines = lines.withColumn("unit", unit)
-    factor = F.when(F.col("to_vnd"), money_factor(F.col("unit"))).otherwise(F.lit(1).cast("bigint"))
+    lines = lines.withColumn("unit", unit).withColumn("__unit", fin_normalize("unit"))
+    factor = F.when(F.col("to_vnd"), money_factor(F.col("__unit"), folded=True)).otherwise(F.lit(1).cast("bigint"))
     lines = lines.withColumn("__factor", factor)
     counts = F.col("indicator_id").isin(SHARES, TREASURY, STAFF)
-    parsed = F.filter(F.transform(number_tokens(F.col("__tail")), lambda n: parse_number(n, F.col("unit"), sign_mode)), lambda v: v.isNotNull())
+    parsed = F.filter(F.transform(number_tokens(F.col("__tail")), lambda n: parse_number(n, None, sign_mode, F.col("__unit"))), lambda v: v.isNotNull())
     usable = F.filter(parsed, lambda v: counts | ~(F.abs(v).between(*YEARS) | (F.abs(v) < LEAST_AMOUNT)))
     lines = lines.withColumn("__values", F.transform(usable, lambda v: v.cast("double") * F.col("__factor"))).where(F.size("__values") > 0)
     larger = F.aggregate("__values", F.element_at("__values", 1), lambda a, v: F.when(F.abs(v) > F.abs(a), v).otherwise(a))
@@ -263,7 +260,7 @@ def extract_facts(pages: DataFrame, indicators: list[dict], sign_mode: str = "fi
     value = F.when(F.col("indicator_id") == TREASURY, smaller).when(F.col("indicator_id").isin(STAFF, SHARES), F.array_max("__values")).otherwise(larger)
     years = F.regexp_extract_all("line", F.lit(r"(?U)\b(20\d{2}|19\d{2})\b"), F.lit(1))
     year = F.when(F.size(years) > 0, F.array_max(years).cast("int"))
-    unit_hit = F.contains(F.col("plain"), fin_normalize(F.col("unit")))
+    unit_hit = F.contains(F.col("plain"), F.col("__unit"))
     sure = POINTS["name"] + POINTS["value"] + F.when(unit_hit, POINTS["unit"]).otherwise(0.0) + POINTS["table"] + F.when(year.isNotNull(), POINTS["year"]).otherwise(0.0)
     confidence = F.least(F.lit(1.0), F.bround(sure, 4))
     currency = F.when(F.col("to_vnd"), "VND").when(F.col("unit").isin("cổ phiếu", "shares"), "SHARES").when(F.col("unit").isin("người", "employees", "persons"), "PERSONS").when(F.col("plain").contains("usd"), "USD").otherwise("VND")
