@@ -49,6 +49,27 @@ def mark_exported(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("exported", F.lit(True))
 
 
+def mark_retrieved(manifest: DataFrame, evidence: DataFrame) -> DataFrame:
+    """The manifest after retrieval: reports with evidence rows (report_id) are marked, all in one join; hashes stay."""
+    done = evidence.select("report_id").distinct().join(manifest.select("report_id", "file_hash"), "report_id")
+    return mark_stage(manifest, done, "retrieved")
+
+
+def load_manifest(rows: DataFrame) -> DataFrame:
+    """A stored manifest with every column of today: missing stages are not done, missing texts are empty."""
+    text = ("report_id", "file_hash", "timestamp")
+    have = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in rows.columns else F.lit("")
+    flag = lambda c: F.coalesce(F.col(c).try_cast("boolean"), F.lit(False)) if c in rows.columns else F.lit(False)
+    return rows.select(*(have(c).alias(c) for c in text), *(flag(c).alias(c) for c in STAGES))
+
+
+def to_parse(current: DataFrame, manifest: DataFrame, parsed: DataFrame, only_changed: bool = False) -> DataFrame:
+    """Reports to parse: not those parsed and stored (``parsed``: report_id, file_hash) under this hash, and with
+    ``only_changed`` not those the manifest knows with this hash."""
+    out = incomplete(current, manifest.join(parsed.select("report_id", "file_hash").distinct(), ["report_id", "file_hash"], "left_semi"), "parsed")
+    return changed_or_new(out, manifest) if only_changed else out
+
+
 def incomplete(current: DataFrame, manifest: DataFrame, stage: str) -> DataFrame:
     """Reports of the delivery whose stage is not done for this hash."""
     return current.join(manifest.where(F.col(stage)).select("report_id", "file_hash").distinct(), ["report_id", "file_hash"], "left_anti")

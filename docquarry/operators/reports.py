@@ -137,3 +137,46 @@ def robustness_grid(scores: DataFrame, top_ks: list[int], prompt_versions: list[
     grid = spark.createDataFrame([(k, v) for k in top_ks for v in prompt_versions], "top_k int, prompt_version string")
     mean = scores.agg(F.avg(F.col("score").cast("double")).alias("m"))
     return grid.crossJoin(F.broadcast(mean)).select("top_k", "prompt_version", F.bround("m", 6).alias("reference_mean"), F.lit("requires_explicit_rescore").alias("status"))
+
+
+def firm_years(rows: DataFrame, company: str = "company", year: str = "year") -> DataFrame:
+    """Distinct firm-years in order; an unknown year sorts as 0 and stays null."""
+    return rows.select(company, year).distinct().orderBy(F.asc(company), F.coalesce(F.col(year), F.lit(0)).asc())
+
+
+#: Peak and mean memory of stages that do not depend on the input, in MB.
+FIXED_MEMORY = {"OCR": (768.0, 384.0), "Reranking": (2048.0, 1024.0), "Export": (128.0, 64.0), "Batch Generation": (128.0, 64.0)}
+#: MB of text of a chunk; the factors of ``memory_model`` are fixed values too.
+TEXT_MB_PER_CHUNK = 0.003
+
+
+def memory_model(spark, raw_mb: float, chunks: int, embedding_mb: float) -> DataFrame:
+    """(stage, peak_mb, avg_mb): estimated memory per stage from sizes of inputs; nothing is measured."""
+    text, vectors = max(chunks * TEXT_MB_PER_CHUNK, 1.0), max(embedding_mb, 1.0)
+    sized = {
+        "Parsing": (max(raw_mb * 0.08, 64.0), max(raw_mb * 0.03, 32.0)), "Chunking": (2 * text, text), "Embedding": (2.5 * vectors + 128, 1.4 * vectors + 64), "Vector Store Build": (2 * vectors + 128, 1.2 * vectors + 64),
+        "Retrieval": (text + vectors + 256, 0.5 * text + vectors + 128),
+    }
+    return spark.createDataFrame([(k, round(float(p), 2), round(float(a), 2)) for k, (p, a) in (sized | FIXED_MEMORY).items()], "stage string, peak_mb double, avg_mb double")
+
+
+def retrieval_profile(runs: DataFrame) -> DataFrame:
+    """(metric, value) of retrieval runs (runtime_seconds, reranker_used, cache_hit, warehouse_hit); 0 without runs."""
+    mean = lambda c: F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0))
+    r = runs.agg(mean("runtime_seconds").alias("s"), mean("reranker_used").alias("r"), mean("cache_hit").alias("c"), mean("warehouse_hit").alias("w"))
+    metrics = {
+        "average_retrieval_time_seconds": F.bround("s", 6), "average_rerank_time_seconds": F.bround(F.col("s") * F.col("r"), 6), "cache_hit_rate_percent": F.bround(F.col("c") * 100, 3),
+        "warehouse_hit_rate_percent": F.bround(F.col("w") * 100, 3), "reranker_used_rate_percent": F.bround(F.col("r") * 100, 3),
+    }
+    return r.select(F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in metrics.items()))).alias("m")).select("m.*")
+
+
+def latest_runtime(manifest: dict, profile: list[dict], stage: str = "Retrieval", key: str = "retrieval_time_seconds") -> float:
+    """Seconds of the last run: from its manifest, else from a profile of stages, else 0; unreadable figures count as none."""
+    for value in (manifest.get(key), *(r.get("runtime_seconds") for r in profile if r.get("stage") == stage)):
+        try:
+            if value is not None and float(value) > 0:
+                return float(value)
+        except (TypeError, ValueError):
+            continue
+    return 0.0

@@ -50,11 +50,64 @@ def disclosure_index(evidence_rows: DataFrame, folder: str | None = None) -> tup
     return out
 
 
-def financial_facts(pages: DataFrame, indicators: list[dict], scans: DataFrame | None = None) -> DataFrame:
-    """Facts of every (firm, year) and indicator from detected statement pages, with rows for what was not found."""
+def financial_facts(spark: SparkSession, pages: DataFrame, indicators: DataFrame, scans: DataFrame | None = None, rules: tuple[list[tuple[str, str]], list[str]] = ((), ()), top_k: int = 8, warehouse_k: int = 40) -> tuple[DataFrame, DataFrame]:
+    """(facts, validation): facts of every (firm, year) and indicator from the pages its statement group chose, with rows for
+    what was not found, flags of failed rules and of implausible values. rules: pairs that must be at least each other, and
+    indicators that must not be negative."""
     found = financial.detect_financial_pages(pages)
     if scans is not None:
-        found = financial.merge_ocr_pages(found, scans)
-    facts = financial.best_facts(financial.extract_facts(found, indicators))
-    cells = pages.select(F.col("company").alias("firm"), "year").distinct()
-    return financial.fact_grid(facts, cells, indicators)
+        found = financial.merge_ocr_pages(found, scans).withColumn("page_key", F.coalesce("page_key", F.xxhash64("source_file", "page_number", "statement_type")))
+    once = materialise(financial.first_per_key(found, ["source_file", "page_number"], F.struct("page_key")))
+    book = [r.asDict() for r in indicators.orderBy("indicator_id").collect()]
+    warehouse = materialise(financial.statement_warehouse(once, indicators, keyword_k=warehouse_k))
+    facts = financial.warehouse_facts(once, warehouse, book, top_k)
+    grid = financial.fact_grid(facts, pages.select(F.col("company").alias("firm"), "year").distinct(), book)
+    grid = materialise(grid.withColumn("fact_id", F.xxhash64("firm", "report_year", "indicator_id")))
+    validation = financial.validate_facts(grid.drop("year").withColumnRenamed("report_year", "year"), list(rules[0]), list(rules[1])) if any(rules) else spark.createDataFrame([], "firm string, year int, rule string, status string")
+    flagged = financial.attach_flags(grid, validation)
+    flags = financial.anomaly_flags(F.col("validation_flag"), F.col("value"), F.col("currency"), F.col("indicator_id"))
+    return financial.coerce_facts(flagged.withColumn("validation_flag", flags)), validation
+
+
+def plain_evidence(chunks: DataFrame, codebook: DataFrame, top_k: int = 5, prefetch: int = 20, dims: int = 1024) -> DataFrame:
+    """(company, year, indicator_id, evidence, pages, chunk_ids, source_documents): the bundle of every cell from hybrid search
+    with the codebook's query and keywords alone, without an ontology."""
+    groups = ("company", "year")
+    asked = codebook.select(F.col("indicator_id").alias("query_id"), T.join_parts(F.col("retrieval_query"), F.col("keywords_vi")).alias("query"))
+    terms = retrieval.query_terms(asked)
+    bm25 = retrieval.bm25_top_k(retrieval.build_index(chunks, groups=groups, terms=terms), terms, prefetch, groups)
+    rows = asked.collect()  # indicators of a codebook
+    embedded = chunks.select("chunk_id", *groups, T.hash_embed("text", dims).alias("embedding"))
+    vectors = T.embed_batch([r["query"] for r in rows], dims)
+    dense = retrieval.dense_top_k(embedded, [(r["query_id"], v.tolist()) for r, v in zip(rows, vectors)], prefetch, groups)
+    best = retrieval.rerank(retrieval.fuse(bm25, dense, prefetch, groups), top_k, groups).withColumnRenamed("query_id", "indicator_id")
+    full = best.join(chunks.select("chunk_id", "page", "source_file", "text"), "chunk_id")
+    return evidence.evidence_bundles(full, ["company", "year", "indicator_id"])
+
+
+def run(spark: SparkSession, reports_folder: str, out: str, ontology: list[dict], codebook: DataFrame, manifest: DataFrame | None = None) -> dict:
+    """The whole job, stage by stage, with the manifest of stages and the seconds of each: reports to pages, chunks,
+    evidence, index. Tables go under ``out``; the entry of the run is returned and written as its manifest."""
+    timer = incremental.StageTimer()
+    timer.start("Parsing")
+    pages, chunks, errors = corpus(spark, reports_folder)
+    sinks.write_reports({"pages.parquet": pages, "errors.parquet": errors}, out)
+    timer.stop("Parsing")
+    timer.start("Chunking")
+    done = pages.groupBy("report_id").agg(F.max("file_hash").alias("file_hash"))
+    chunks = materialise(chunks)
+    sinks.write_table(chunks, f"{out}/chunks.parquet")
+    timer.stop("Chunking")
+    timer.start("Retrieval")
+    passages = chunks.select("chunk_id", "company", "year", "source_file", F.col("page_number").alias("page"), F.col("chunk").alias("text"))
+    rows = materialise(evidence_from_chunks(passages, ontology, codebook))
+    sinks.write_table(rows, f"{out}/evidence.parquet")
+    timer.stop("Retrieval")
+    timer.start("Export")
+    panel, _, _ = disclosure_index(rows, out)
+    state = incremental.load_manifest(manifest) if manifest is not None else spark.createDataFrame([], "report_id string, file_hash string, parsed boolean, chunked boolean, embedded boolean, retrieved boolean, exported boolean")
+    for stage in incremental.STAGES:
+        state = incremental.mark_stage(state, done, stage)
+    sinks.write_table(state, f"{out}/progress.parquet")
+    timer.stop("Export")
+    return sinks.write_run_manifest(f"{out}/run_manifest.json", {"reports": done.count(), "cells": panel.count(), "retrieval_time_seconds": timer.seconds["Retrieval"], "stage_seconds": timer.seconds})

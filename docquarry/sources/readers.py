@@ -95,6 +95,8 @@ def parse_reports(reports: DataFrame, ocr: Callable[[bytes], list[str]] | None =
             return found if any(t.strip() for t in found) or ocr is None else ocr(raw)
         if kind == "docx":
             return [docx_text(raw)]
+        if kind not in SUFFIXES:
+            raise ValueError(f"unsupported report type: .{kind}")
         text = raw.decode("utf-8", errors="ignore")
         return [html_text(text, drop_script) if kind in ("html", "htm") else text]
 
@@ -166,6 +168,30 @@ def read_yaml(path: str) -> dict:
     return data
 
 
+def read_financial_indicators(path: str) -> list[dict]:
+    """Financial indicators of a YAML file in the shape of the extraction: ids, label, group, lists, whether money is converted."""
+    out = []
+    for name, item in read_yaml(path).items():
+        item = item or {}
+        lists = {k: as_list(item.get(k)) for k in ("aliases", "retrieval_queries", "unit_candidates")}
+        to_vnd = bool((item.get("normalization_rules") or {}).get("convert_to_vnd", False))
+        out.append({"indicator_id": str(name), "label_vi": str(item.get("label_vi", name)), "statement_group": str(item.get("statement_group", "general")), **lists, "convert_to_vnd": to_vnd})
+    return out
+
+
+def by_group(indicators: list[dict]) -> dict[str, list[dict]]:
+    """Financial indicators by statement group, in the order of the file."""
+    return {g: [r for r in indicators if r["statement_group"] == g] for g in dict.fromkeys(r["statement_group"] for r in indicators)}
+
+
+def file_metadata(spark: SparkSession, folder: str, chunk_count: int | None = None, chunks_per_report: int = 25) -> dict:
+    """Files and MB of a folder, rows of its CSV files, and its chunks: as counted, else estimated per report."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
+    r = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b"), F.count_if(F.lower("path").endswith(".csv")).alias("csv")).first()
+    rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").csv(folder).count() if r["csv"] else 0
+    return {"files": r["n"], "size_mb": round(r["b"] / 1e6, 4), "csv_rows": rows, "chunks": chunk_count if chunk_count is not None else r["n"] * chunks_per_report}
+
+
 #: Lists of an indicator's ontology file.
 ONTOLOGY_LISTS = (
     "frameworks", "required_entities", "positive_keywords", "negative_keywords", "alternative_phrases", "units", "target_patterns", "required_evidence_patterns", "false_positive_patterns", "hard_required", "soft_positive",
@@ -177,6 +203,7 @@ GENERAL_WORDS = (
     "policy", "commitment", "management", "program", "procedure", "governance", "committee", "oversight", "strategy", "training", "risk management", "system", "mechanism", "initiative", "practice", "disclosure", "chinh sach",
     "cam ket", "quan ly", "chuong trinh", "quy trinh", "uy ban", "giam sat", "dao tao",
 )
+#: Patterns every policy indicator has; fields of a codebook row that name terms.
 POLICY_DEFAULTS = ("code of conduct", "risk management system", "management system")
 BOOK_FIELDS = ("retrieval_query", "keywords_vi", "keywords_en", "indicator_name_vi", "definition")
 

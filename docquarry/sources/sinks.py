@@ -6,7 +6,7 @@ import json
 from datetime import datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docquarry.operators.ordering import positions
@@ -20,8 +20,18 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
 
 
 def write_jsonl(df: DataFrame, path: str) -> int:
-    df.write.mode("overwrite").json(path)
-    return df.sparkSession.read.text(path).count()
+    """Write JSON lines; the number of rows is observed while they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(path)
+    return int(seen.get["n"])
+
+
+def write_reports(reports: dict[str, DataFrame], folder: str, suffix: str = "") -> list[str]:
+    """Write every named report as a table of its own; the paths in the order given."""
+    paths = [f"{folder.rstrip('/')}/{name}{suffix}" for name in reports]
+    for path, df in zip(paths, reports.values()):
+        write_table(df, path)
+    return paths
 
 
 def replace_table(df: DataFrame, name: str) -> None:
@@ -35,8 +45,9 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 
 def fingerprint(df: DataFrame, key: str) -> dict:
-    """Row count and an order-free hash of the keys: one row, from map-side combined sums."""
-    r = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(F.col(key).cast("string")).cast("decimal(38,0)")).alias("h")).first()
+    """Row count and an order-free hash of whole rows, keys and values: one row, from map-side combined sums."""
+    whole = F.xxhash64(F.col(key).cast("string"), *(F.to_json(F.struct(F.col(f"`{c}`"))) for c in df.columns if c != key))
+    r = df.agg(F.count("*").alias("n"), F.sum(whole.cast("decimal(38,0)")).alias("h")).first()
     return {"count": r["n"], "hash": str(r["h"])}
 
 
