@@ -128,4 +128,10 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": f"""
             SELECT DISTINCT p.page_key FROM financial_pages p JOIN chunking_config c ON p.statement_type IS NOT DISTINCT FROM c.statement_type
             WHERE len(regexp_extract_all(p.text, '{word}+')) > c.chunk_size""",
+        # Every group of one text has fewer rows than are written as a star at the size of the comparison.
+        "p4_found": f"""
+            WITH w AS (SELECT page_key, regexp_extract_all(lower(text), '{word}+') AS l FROM financial_pages), long AS (SELECT * FROM w WHERE len(l) >= 80),
+            s AS (SELECT DISTINCT page_key, unnest(list_transform(range(1, len(l) - 1), lambda i: l[i] || ' ' || l[i + 1] || ' ' || l[i + 2])) AS g FROM long), n AS (SELECT page_key, count(*) AS n FROM s GROUP BY page_key),
+            met AS (SELECT a.page_key AS a, b.page_key AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.page_key < b.page_key GROUP BY ALL)
+            SELECT a AS page_key_a, b AS page_key_b FROM met JOIN n x ON x.page_key = a JOIN n y ON y.page_key = b WHERE c >= 0.6 * (x.n + y.n - c)""",
     }
