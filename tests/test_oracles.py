@@ -3,6 +3,7 @@
 import glob
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -41,7 +42,7 @@ def test_matches_oracle(spark, duck, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in set(QUERIES) - set(ORACLES) if not n.startswith("p")))
+@pytest.mark.parametrize("name", sorted(n for n in set(QUERIES) - set(ORACLES) if not re.match(r"p(?!7_)\d+_", n)))
 def test_runs(spark, name):
     df = QUERIES[name](spark, SF)
     assert df.columns and df.count() >= 0
