@@ -4,8 +4,9 @@ Centroids cut the collection into shards of about ``SHARD`` nearby vectors. Up t
 level, fitted on a bounded sample; beyond, ``ROOT`` cells each get their own, fitted by one task per cell on a bounded
 sample of the cell, at most ``MOST`` in all (with more vectors shards grow; the work of a vector in a graph does not).
 Every vector is a member of the graph of its nearest centroid. All lists come from searches of the graphs: members enter
-their own graph at their place, and every vector visits the graphs of the next ``probes`` centroids from the top level;
-the lists of all graphs are merged by cosine.
+their own graph at their place, and every vector visits from the top level the graphs of the next ``probes`` centroids
+and of those, up to ``VISITS``, whose border is within ``REACH``; the more shards there are the more vectors lie near
+several borders. The lists of all graphs are merged by cosine.
 
 Vectors of equal content are indexed once per shard with their number of copies, so a group of copies holding a third
 of all rows costs one row per batch of the scan. The fit samples are the only sampling: every usable vector is indexed.
@@ -30,6 +31,9 @@ from docquarry.operators.pairs import EXPAND, expand_pairs
 
 #: Vectors of a shard; rows of a sample on which centroids are fitted; centroids of the first level and of all.
 SHARD, SAMPLE, ROOT, MOST = 4096, 16_384, 256, 65_536
+#: Distance to the border of a shard, times the root of the dimensions, at which it is visited; shards visited at most;
+#: cells looked at for the nearest centroids of the second level.
+REACH, VISITS, CELLS = 0.45, 16, 16
 _U64 = np.uint64
 
 
@@ -119,20 +123,37 @@ class Router:
 
     def nearest(self, x: np.ndarray, w: int) -> np.ndarray:
         """(rows, w) numbers of the shards of the nearest centroids, nearest first; -1 where there are fewer. With two
-        levels those of the two nearest cells are looked at."""
+        levels those of the ``CELLS`` nearest cells are looked at."""
+        return self._near(x, w)[0]
+
+    def _near(self, x: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
         if self.coarse is None:
-            return _top(x @ self.fine[0].T, w)[0]
-        cells = _top(x @ self.coarse.T, 2)[0]
-        ids, sims = np.full((len(x), 2 * w), -1), np.full((len(x), 2 * w), -np.inf, np.float32)
-        for place in range(2):
-            for cell in np.unique(cells[:, place]):
-                rows = np.flatnonzero(cells[:, place] == cell)
-                if cell >= 0:
-                    i, s = _top(x[rows] @ self.fine[cell].T, w)
-                    ids[rows, place * w : (place + 1) * w] = np.where(i >= 0, i + self.first[cell], -1)
-                    sims[rows, place * w : (place + 1) * w] = s
+            return _top(x @ self.fine[0].T, w)
+        cells = _top(x @ self.coarse.T, CELLS)[0]
+        ids, sims = np.full((len(x), CELLS, w), -1), np.full((len(x), CELLS, w), -np.inf, np.float32)
+        for cell in np.unique(cells[cells >= 0]):
+            rows, place = np.nonzero(cells == cell)
+            i, s = _top(x[rows] @ self.fine[cell].T, w)
+            ids[rows, place] = np.where(i >= 0, i + self.first[cell], -1)
+            sims[rows, place] = s
+        ids, sims = ids.reshape(len(x), -1), sims.reshape(len(x), -1)
         best = np.argsort(-sims, axis=1, kind="stable")[:, :w]
-        return np.take_along_axis(ids, best, 1)
+        return np.take_along_axis(ids, best, 1), np.take_along_axis(sims, best, 1)
+
+    def visited(self, x: np.ndarray, probes: int) -> np.ndarray:
+        """Like ``nearest``: the own shard, the next ``probes``, then those whose border is within reach; -1 for the rest.
+
+        A pair is lost only if each of the two lies farther than that from the border of the other's shard.
+        """
+        ids, sims = self._near(x, 1 + max(probes, VISITS))
+        centroids = np.concatenate(self.fine)
+        for a in range(0, len(x), 1024):
+            i, s = ids[a : a + 1024], sims[a : a + 1024]
+            apart = np.linalg.norm(centroids[i] - centroids[i[:, :1]], axis=2)
+            far = s[:, :1] - s > REACH / x.shape[1] ** 0.5 * apart
+            far[:, : 1 + probes] = False
+            i[far] = -1
+        return ids
 
 
 def _top(s: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +218,7 @@ def _route(fitted, dims: dict[str, int], probes: int):
                 h, first, copies = np.unique(_content(name, x), return_index=True, return_counts=True)
                 x = _unit(x[first])
                 router = fitted.value.get(name) or Router(None, [np.zeros((1, x.shape[1]), np.float32)])
-                to = router.nearest(x, 1 + probes)
+                to = router.visited(x, probes)
                 who, place = np.nonzero(to >= 0)
                 shard = (names.index(name) << 40) + to[who, place].astype(np.int64)
                 n = np.where(place == 0, copies[who], 0)

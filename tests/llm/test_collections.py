@@ -167,6 +167,18 @@ def test_two_levels_of_centroids_lose_no_vector(spark, monkeypatch):
     assert len(got & want) >= 0.9 * len(want)
 
 
+def test_many_shards_lose_no_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    x = np.repeat(rng.normal(size=(1000, 32)), 3, axis=0) + 0.3 * rng.normal(size=(3000, 32))
+    df = frame(spark, [(i, "c", v.tolist()) for i, v in enumerate(x.astype(np.float32))])
+    config = spark.createDataFrame([("c", 32)], "config_name string, dimensions int")
+    plain = similar_vectors.fit_centroids
+    monkeypatch.setattr(similar_vectors, "fit_centroids", lambda *a: plain(*a, root=16))
+    got = {tuple(r) for r in similar_vectors.similar_pairs(df, config, shard=20, sample=3000).collect()}
+    want = true_pairs(x)
+    assert len(want) > 2000 and len(want & got) >= 0.98 * len(want) and len(got - want) <= 0.01 * len(got)
+
+
 def test_every_pair_of_copies_on_request(spark):
     rows = [(i, "c", [1.0, 2.0]) for i in range(70)] + [(100, "c", [2.0, 3.0])]
     config = spark.createDataFrame([("c", 2)], "config_name string, dimensions int")
