@@ -38,6 +38,8 @@ SHARED = 4
 HOT = 4_000
 #: Ids of pages to compare exactly are broadcast up to this count (16 bytes each), joined by shuffle beyond.
 BROADCAST_IDS = 1_000_000
+#: The places after a shingle are kept in 16 bits of its posting; so many or more count as any number.
+ANY = 0xFFFF
 _U64 = np.uint64
 
 
@@ -134,7 +136,8 @@ def signatures(pages: DataFrame, id_col: str, text_col: str, size: int, least_wo
 
 
 def _postings(split: bool):
-    """A row for every shingle of a prefix whose posting is (not) split: the size of its set, how many shingles come after it in the order, its parts."""
+    """A row for every shingle of a prefix whose posting is (not) split: the shingle (upper 32 bits) and how many come after
+    it in the order (next 16 bits, ``ANY`` at most), the size of its set, its parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -149,10 +152,11 @@ def _postings(split: bool):
                 place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
                 use = (parts > 1) == split
                 owner, place = owner[use], place[use]
-                after = batch.column("n").to_numpy()[owner] - place - 1
+                after = np.minimum(batch.column("n").to_numpy()[owner] - place - 1, ANY)
+                key = np.concatenate(posts)[use].astype(np.int64) << 32 | after.astype(np.int64) << 16
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(posts)[use]), batch.column("id").take(pa.array(owner)), batch.column("n").take(pa.array(owner)), pa.array(after.astype(np.int32)), pa.array(parts[use].astype(np.int32))],
-                    ["post", "id", "n", "after", "parts"],
+                    [pa.array(key), batch.column("id").take(pa.array(owner)), batch.column("n").take(pa.array(owner)), pa.array(parts[use].astype(np.int32))],
+                    ["key", "id", "n", "parts"],
                 )
 
     return run
@@ -205,16 +209,19 @@ def near_duplicate_links(pages: DataFrame, id_col: str = "page_key", text_col: s
     members = materialise(sigs.select("id", "set_a", "set_b", "copy").join(heads, ["set_a", "set_b"]).select("cls", "copy", "id"))
     firsts = members.where("cls = id").select("cls").distinct()
     indexed = sigs.select("id", "n", "prefix", "parts").join(firsts, F.col("id") == F.col("cls"), "left_semi")
-    schema = f"post int, id {kind}, n int, after int, parts int"
+    schema = f"key bigint, id {kind}, n int, parts int"
     posts, hot = indexed.mapInArrow(_postings(False), schema), indexed.where("parts IS NOT NULL").mapInArrow(_postings(True), schema)
-    side = lambda rows, x, *keys: rows.select("post", *keys, F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("after").alias(f"after{x}"))
-    met = side(posts, "a").join(side(posts, "b"), "post")
-    dealt = side(hot.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")), "a", "part")
-    every = side(hot.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), "b", "part")
-    met = met.unionByName(dealt.join(every, ["post", "part"]).drop("part"))
+    # Postings are most of what is shuffled: they stay packed until they are joined.
+    side = lambda rows, x, *keys: rows.select(*keys, F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("key").alias(f"key{x}"))
+    same = F.shiftright("keya", 32) == F.shiftright("keyb", 32)
+    met = side(posts, "a").join(side(posts, "b"), same)
+    dealt = side(hot.withColumn("parta", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")), "a", "parta")
+    every = side(hot.withColumn("partb", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), "b", "partb")
+    met = met.unionByName(dealt.join(every, same & (F.col("parta") == F.col("partb"))).drop("parta", "partb"))
     sizes = F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9
     least = F.ceil(threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-6)  # shared shingles at the threshold
-    pairs = met.where((F.col("a") < F.col("b")) & sizes & (SHARED + F.least("aftera", "afterb") >= least))
+    after = F.least(*(F.shiftright(f"key{x}", 16).bitwiseAND(F.lit(ANY)) for x in "ab"))
+    pairs = met.where((F.col("a") < F.col("b")) & sizes & ((after == ANY) | (SHARED + after >= least)))
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least(least, F.lit(SHARED))).alias("least"))
     pairs = materialise(pairs.where("shared >= least").select("a", "b"))
     ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())

@@ -82,6 +82,23 @@ def test_split_postings_give_the_same_links(spark):
     assert links(10) == links(10**6) and len(links(10)) > 300
 
 
+def test_postings_are_small_and_keep_long_pages(spark, monkeypatch):
+    """A row of an index holds no more than three values; places that do not fit into it lose no pair."""
+    from docquarry.llm.near_duplicates import _postings
+
+    rng = random.Random(6)
+    rows = [(k, " ".join([f"s{k // 2}_{i}" for i in range(200)] + [f"own{k}_{rng.random()}" for _ in range(rng.choice([20, 60]))])) for k in range(60)]
+    df = spark.createDataFrame(rows, "page_key bigint, text string")
+    sigs = near_duplicates.signatures(df, "page_key", "text", 3, 80)
+    (batch,) = list(_postings(False)(iter(sigs.toArrow().combine_chunks().to_batches())))
+    assert batch.schema.names == ["key", "id", "n", "parts"] and batch["key"].null_count == 0
+    links = lambda: {tuple(r) for r in near_duplicates.near_duplicate_links(df)[0].collect()}
+    want = links()
+    assert len(want) > 10
+    monkeypatch.setattr(near_duplicates, "ANY", 63)
+    assert links() == want
+
+
 def vectors(n=1500, d=32, seed=2):
     rng = np.random.default_rng(seed)
     centres = rng.normal(size=(n // 6, d))
