@@ -6,9 +6,10 @@ rounds of sentence evidence, which also draw on unlabelled documents, and their
 marginals give every token its probability; a document scores its strongest token, and the threshold is set on labels
 held out of a first fit.
 
-The field is trained on at most ``sample`` labelled and about ``unlabelled`` other documents (chosen by a hash of the
-id, documented bounds); it is applied to all documents, whole texts. Words are compared without accents, case, look-alike letters, stretched letters,
-digits for letters and spaced-out spelling.
+The field is trained on all labelled and all other documents, whole texts. Every step sums over all labelled documents
+and one slice of the others; a round of steps passes through all slices. Up to ``SAMPLE`` labelled and ``2 * UNLABELLED``
+other documents the sums are made in the driver, beyond in Spark, one job a step. Words are compared without accents, case,
+look-alike letters, stretched letters, digits for letters and spaced-out spelling.
 
 Defined results: null, empty and blank texts score 0 and are not found; a document without labels is scored like any
 other; raters that disagree evenly leave a document out of the training; without labels of both kinds every score is
@@ -17,10 +18,14 @@ other; raters that disagree evenly leave a document out of the training; without
 
 from __future__ import annotations
 
+import os
+import pickle
 import re
 import unicodedata
-from collections.abc import Iterator
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -28,14 +33,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.common import spread
+from docquarry.common import ensure_checkpoint_dir, spread
 from docquarry.llm.scanned import plain
 from docquarry.llm.splitting import WORD
 
-#: Labelled and other documents of the training, feature buckets, features of a token.
+#: Labelled documents up to which the driver fits, other documents of a slice (twice as many in the driver), feature buckets, features of a token.
 SAMPLE, UNLABELLED, BUCKETS, FEATURES = 8_000, 5_000, 1 << 18, 7
 #: Every how manieth labelled document is held out for the threshold; how many of each kind that takes at least.
 HELD, LEAST_HELD = 4, 10
+#: Rounds of sentence evidence, steps of each; slices of the other documents at most; tasks of a step at most.
+ROUNDS, STEPS, SLICES, TASKS = 4, 20, 20, 64
+#: Labels are broadcast up to this count (16 bytes each), joined by shuffle beyond.
+BROADCAST_LABELS = 1_000_000
+#: Thresholds tried.
+GRID = np.arange(2, 100) / 100
 _U64 = np.uint64
 #: Digits and signs written for letters.
 _LEET = str.maketrans("0134578@$", "oieastbas")
@@ -111,6 +122,10 @@ def read_tokens(texts: list[str | None]) -> Tokens:
     # A sentence boundary on a dropped word still counts.
     boundary = np.concatenate([[0], (end[:-1] | (doc[1:] != doc[:-1])).cumsum()]) if len(code) else np.zeros(0, np.int64)
     doc, word, span, sentence, h = (x[keep] for x in (doc, word, span, boundary, h))
+    return Tokens(doc, word, span, sentence, _features(h, sentence), h)
+
+
+def _features(h: np.ndarray, sentence: np.ndarray) -> np.ndarray:
     n = len(h)
     zero = _U64(0)
 
@@ -124,7 +139,7 @@ def read_tokens(texts: list[str | None]) -> Tokens:
 
     p1, p2, n1, n2 = near(1), near(2), near(-1), near(-2)
     feats = [_mix(h, h, 1), _mix(p1, h, 2), _mix(h, n1, 3), _mix(_mix(p2, p1, 4), h, 5), _mix(_mix(h, n1, 6), n2, 7), _mix(p1, n1, 8), _mix(p1, p2, 9)]
-    return Tokens(doc, word, span, sentence, np.stack([(x % _U64(BUCKETS)).astype(np.int32) for x in feats], axis=1) if n else np.zeros((0, FEATURES), np.int32), h)
+    return np.stack([(x % _U64(BUCKETS)).astype(np.int32) for x in feats], axis=1) if n else np.zeros((0, FEATURES), np.int32)
 
 
 def _inside(doc: np.ndarray, a: int, b: int) -> list[tuple[int, int]]:
@@ -189,122 +204,279 @@ class Field:
         return self.marginals(self.weight[tokens.feats].sum(axis=1), tokens.sentence)[0]
 
 
-def _sentence_labels(tokens: Tokens, label: np.ndarray, rounds: int = 4, epochs: int = 20) -> np.ndarray:
-    """The tag of every token: 1 toxic, 0 clean, -1 unclear, from labels of documents (1, 0, -1 for none).
+@dataclass
+class Block:
+    """Some documents of the training: their tokens, labels (1, 0, -1 for none) and which labels are held out of the first fit."""
+
+    tokens: Tokens
+    label: np.ndarray
+    held: np.ndarray
+    memo: dict = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        s = self.tokens.sentence  # numbered without gaps
+        self.tokens.sentence = np.concatenate([[0], (s[1:] != s[:-1]).cumsum()]) if len(s) else s
+        self.count = int(self.tokens.sentence.max()) + 1 if len(s) else 0
+        self.doc_of = np.zeros(self.count, np.int64)
+        self.doc_of[self.tokens.sentence] = self.tokens.doc
+        self.root = np.sqrt(np.maximum(np.bincount(self.tokens.sentence, minlength=self.count), 1))
+        self.flat, self.owner = self.tokens.feats[:, [0, 1, 3]].ravel(), np.repeat(self.tokens.sentence, 3)  # words and word groups of sentences
+
+    def seen(self, first: bool) -> np.ndarray:
+        return np.where(self.held, -1, self.label) if first else self.label
+
+    def pack(self) -> bytes:
+        words, code = np.unique(self.tokens.hash, return_inverse=True)
+        return pickle.dumps((words, code.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32), np.bincount(self.tokens.sentence, minlength=self.count).astype(np.int32), self.doc_of.astype(np.int32), self.label.astype(np.int8), self.held))
+
+    @staticmethod
+    def unpack(data: bytes) -> Block:
+        words, code, size, doc_of, label, held = pickle.loads(data)
+        sentence, h = np.repeat(np.arange(len(size)), size), words[code]
+        return Block(Tokens(doc_of[sentence].astype(np.int64), None, None, sentence, _features(h, sentence), h), label.astype(np.int64), held)
+
+
+class Held:
+    """Blocks of the driver: those with labels and those of every slice of the other documents."""
+
+    def __init__(self, labelled: list[Block], slices: list[list[Block]]):
+        self.labelled, self.slices, self.n = labelled, slices, max(1, len(slices))
+
+    def total(self, f: Callable[[Block], list], at: int | None) -> list:
+        """The sums of f over the labelled blocks and those of one slice, or of all (None)."""
+        others = self.slices if at is None else self.slices[at : at + 1]
+        return _sum(f(b) for b in [*self.labelled, *(b for x in others for b in x)] if b.count)
+
+
+class Spread:
+    """The same over packed blocks in Parquet files, in a folder for the labelled (-1) and one for every slice."""
+
+    def __init__(self, spark: SparkSession, path: str, n: int):
+        self.rows, self.n = spark.read.schema("data binary, slice int").parquet(path), n
+        self.tasks = min(TASKS, max(1, spark.sparkContext.defaultParallelism))
+
+    def total(self, f: Callable[[Block], list], at: int | None) -> list:
+        held = self.rows.sparkSession.sparkContext.broadcast(f)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = _sum(held.value(b) for batch in batches for x in batch.column("data") if (b := Block.unpack(x.as_py())).count)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(out)], pa.binary())], ["sums"])
+
+        rows = self.rows if at is None else self.rows.where(F.col("slice").isin(-1, at))
+        try:
+            parts = rows.select("data").coalesce(self.tasks).mapInArrow(run, "sums binary").toArrow()["sums"]
+        finally:
+            held.destroy()  # else every step leaves its weights on every disk
+        return _sum(y for x in parts if (y := pickle.loads(x.as_buffer())))
+
+
+def _sum(parts: Iterator[list]) -> list:
+    out: list = []
+    for part in parts:
+        out = [a + b for a, b in zip(out, part)] if out else part
+    return out
+
+
+@dataclass
+class Evidence:
+    """The logistic model of sentences: its present weights, and the round and weights that set what it is fitted to."""
+
+    first: bool  # without the held labels
+    share: float
+    weight: np.ndarray = None
+    bias: float = -3.0
+    past: tuple[int, np.ndarray, float] | None = None
+
+    def chances(self, block: Block, weight: np.ndarray, bias: float) -> np.ndarray:
+        raw = np.bincount(block.owner, weights=weight[block.flat], minlength=block.count) / block.root + bias
+        return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+
+    def aims(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """(goal, mass, chance): the tag a sentence is fitted to, its weight, its chance when these were set."""
+        now = -1 if self.past is None else self.past[0]
+        kept = block.memo.get(self.first)
+        if kept and kept[0] == now:
+            return kept[1]
+        label = block.seen(self.first)
+        kind, other = label[block.doc_of], 0.3
+        if self.past is None:
+            per_doc = np.bincount(block.doc_of, minlength=len(label)).astype(float)
+            out = (kind == 1).astype(float), np.where(kind == 1, self.share / per_doc[block.doc_of], np.where(kind == 0, 1.0, other)), None
+        else:
+            turn, weight, bias = self.past
+            chance = self.chances(block, weight, bias)
+            best = np.zeros(len(label))
+            np.maximum.at(best, block.doc_of, chance)
+            likely = (kind == 1) & (chance >= np.minimum(0.5, 0.7 * best[block.doc_of])) & (chance > (0.15 if turn == 0 else 0.25))
+            found = (kind == -1) & (chance > (0.3 if turn == 0 else 0.6))
+            goal = np.where(likely | (found if turn > 0 else False), 1.0, 0.0)
+            mass = np.where(likely, 2.0, np.where(kind == 1, 0.3, np.where(kind == 0, 1.0, other)))
+            mass[found & (turn == 0)] = 0
+            mass[(kind == -1) & ~found & (chance > 0.2)] = 0
+            out = goal, mass, chance
+        block.memo[self.first] = now, out
+        return out
+
+    def gradient(self, block: Block) -> list:
+        goal, mass, _ = self.aims(block)
+        error = (goal - self.chances(block, self.weight, self.bias)) * mass
+        return [np.bincount(block.flat, weights=(error / block.root)[block.owner], minlength=BUCKETS), error.sum()]
+
+    def tags(self, block: Block) -> np.ndarray:
+        """The tag of every token: 1 toxic, 0 clean, -1 unclear."""
+        kept = block.memo.get((self.first, "tags"))
+        if kept is not None:
+            return kept
+        t = block.tokens
+        goal, _, chance = self.aims(block)
+        state = np.where(goal == 1, 1, np.where((chance > 0.2) & (block.seen(self.first)[block.doc_of] != 0), -1, 0))
+        value = self.weight[block.flat].reshape(-1, 3).sum(axis=1)
+        at = state[t.sentence]
+        tag = np.where(at == -1, -1, 0)
+        peak = np.zeros(block.count)
+        np.maximum.at(peak, t.sentence, value)
+        strong = np.flatnonzero((at == 1) & (value > 0.35 * peak[t.sentence]))
+        if len(strong):  # from the first to the last token that speaks clearly for toxic
+            low, high = np.full(block.count, len(value)), np.full(block.count, -1)
+            np.minimum.at(low, t.sentence[strong], strong)
+            np.maximum.at(high, t.sentence[strong], strong)
+            k = np.arange(len(value))
+            tag[(at == 1) & (k >= low[t.sentence]) & (k <= high[t.sentence])] = 1
+        block.memo[self.first, "tags"] = tag
+        return tag
+
+
+def _unfit(kinds: list[bool], block: Block) -> list:
+    return [float((block.seen(k) == 1).sum()) for k in kinds]
+
+
+def _sentences(block: Block) -> list:
+    return [float(block.count)]
+
+
+def _labels(block: Block) -> list:
+    return [int(((block.label == k) & (block.held == h)).sum()) for k in (0, 1) for h in (False, True)]
+
+
+def _evidence_step(models: list[Evidence], block: Block) -> list:
+    return [x for m in models for x in m.gradient(block)]
+
+
+def _sentence_evidence(blocks: Held | Spread, kinds: list[bool]) -> list[Evidence]:
+    """A model of sentences for every kind of fit, from labels of documents.
 
     Multiple-instance learning: a logistic model over the words and word groups of sentences sees the sentences of unfit
     documents as positive (each document counts once) and all others as negative, unlabelled ones at a lower weight.
     After every round an unfit document keeps only its likely sentences, and unlabelled sentences that look toxic
     leave the negatives.
     """
-    count = int(tokens.sentence.max()) + 1
-    doc_of = np.zeros(count, np.int64)
-    doc_of[tokens.sentence] = tokens.doc
-    kind = label[doc_of]
-    used = tokens.feats[:, [0, 1, 3]]
-    flat, owner = used.ravel(), np.repeat(tokens.sentence, 3)
-    size = np.maximum(np.bincount(tokens.sentence, minlength=count), 1)
-    per_doc = np.bincount(doc_of, minlength=len(label)).astype(float)
-    goal = (kind == 1).astype(float)
-    other = 0.3
-    share = float(np.clip(np.sqrt(600 / max(1, (label == 1).sum())), 1.0, 3.0))  # few labels weigh more
-    mass = np.where(kind == 1, share / per_doc[doc_of], np.where(kind == 0, 1.0, other))
-    chance = np.zeros(count)
-    for turn in range(rounds):
-        weight, total, bias, step = np.zeros(BUCKETS), np.full(BUCKETS, 1e-6), -3.0, 1e-6
-        scale = 1 / np.sqrt(size)
-        for _ in range(epochs):
-            raw = np.bincount(owner, weights=weight[flat], minlength=count) * scale + bias
-            chance = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
-            error = (goal - chance) * mass
-            grad = np.bincount(flat, weights=(error * scale)[owner], minlength=BUCKETS) - 0.02 * weight
-            total += grad * grad
-            weight += 0.3 * grad / np.sqrt(total)
-            step += error.sum() ** 2
-            bias += 0.3 * error.sum() / step**0.5
-        best = np.zeros(len(label))
-        np.maximum.at(best, doc_of, chance)
-        likely = (kind == 1) & (chance >= np.minimum(0.5, 0.7 * best[doc_of])) & (chance > (0.15 if turn == 0 else 0.25))
-        found = (kind == -1) & (chance > (0.3 if turn == 0 else 0.6))
-        goal = np.where(likely | (found if turn > 0 else False), 1.0, 0.0)
-        mass = np.where(likely, 2.0, np.where(kind == 1, 0.3, np.where(kind == 0, 1.0, other)))
-        mass[found & (turn == 0)] = 0
-        mass[(kind == -1) & ~found & (chance > 0.2)] = 0
-    state = np.where(goal == 1, 1, np.where((chance > 0.2) & (kind != 0), -1, 0))
-    score = weight
-    value = score[used].sum(axis=1)
-    at = state[tokens.sentence]
-    tag = np.where(at == -1, -1, 0)
-    peak = np.zeros(count)
-    np.maximum.at(peak, tokens.sentence, value)
-    strong = np.flatnonzero((at == 1) & (value > 0.35 * peak[tokens.sentence]))
-    if len(strong):  # from the first to the last token that speaks clearly for toxic
-        low, high = np.full(count, len(value)), np.full(count, -1)
-        np.minimum.at(low, tokens.sentence[strong], strong)
-        np.maximum.at(high, tokens.sentence[strong], strong)
-        k = np.arange(len(value))
-        tag[(at == 1) & (k >= low[tokens.sentence]) & (k <= high[tokens.sentence])] = 1
-    return tag
+    unfit = blocks.total(partial(_unfit, kinds), 0)
+    models = [Evidence(k, float(np.clip(np.sqrt(600 / max(1, n)), 1.0, 3.0))) for k, n in zip(kinds, unfit)]  # few labels weigh more
+    step = 0
+    for turn in range(ROUNDS):
+        total, bias = [np.full(BUCKETS, 1e-6) for _ in models], [1e-6] * len(models)
+        for m in models:
+            m.weight, m.bias = np.zeros(BUCKETS), -3.0
+        for turn_step in range(STEPS):
+            sums = blocks.total(partial(_evidence_step, models), step % blocks.n)
+            step += 1
+            for k, m in enumerate(models):
+                last = turn, m.weight, m.bias
+                grad, error = sums[2 * k] - 0.02 * m.weight, float(sums[2 * k + 1])
+                total[k] = total[k] + grad * grad
+                m.weight = m.weight + 0.3 * grad / np.sqrt(total[k])
+                bias[k] += error**2
+                m.bias += 0.3 * error / bias[k] ** 0.5
+                if turn_step == STEPS - 1:
+                    m.past = last
+    return models
+
+
+def _chain_gradient(block: Block, model: Evidence, chain: Field, part: int, parts: int) -> list:
+    """(weights, transitions, start, tokens): the gradient of the likelihood over the toxic sentences and every n-th clean one."""
+    t, tag = block.tokens, model.tags(block)
+    toxic, vague = (np.bincount(t.sentence, weights=tag == k, minlength=block.count) > 0 for k in (1, -1))
+    use = toxic | (~vague & (np.arange(block.count) % parts == part))
+    rows = use[t.sentence]
+    feats, sentence, want = t.feats[rows], t.sentence[rows], (tag[rows] == 1).astype(np.int64)
+    prob, moves = chain.marginals(chain.weight[feats].sum(axis=1), sentence)
+    same = sentence[1:] == sentence[:-1]
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (want[:-1][same], want[1:][same]), 1)
+    first = np.concatenate([[True], ~same])[: len(want)]
+    grad = np.bincount(feats.ravel(), weights=np.repeat(want - prob, FEATURES), minlength=BUCKETS)
+    return [grad, seen - moves, float((want[first] - prob[first]).sum()), len(want)]
+
+
+def _chain_step(models: list[Evidence], chains: list[Field], part: int, parts: int, block: Block) -> list:
+    return [x for m, c in zip(models, chains) for x in _chain_gradient(block, m, c, part, parts)]
+
+
+def _fit(blocks: Held | Spread, kinds: list[bool], epochs: int, rate: float, decay: float, clean: int) -> list[Field]:
+    """A field for every kind of fit. A step takes about ``clean`` clean sentences if there are few slices, so that all are seen."""
+    models = _sentence_evidence(blocks, kinds)
+    counted = blocks.total(_sentences, 0)
+    parts = int(np.clip(counted[0] // clean, 1, max(1, epochs // blocks.n)))
+    chains = [Field(np.zeros(BUCKETS), -3.0, np.array([[1.0, -2.0], [-1.0, 1.0]])) for _ in kinds]
+    total, step_t, step_s = [np.zeros(BUCKETS) for _ in kinds], [np.zeros((2, 2)) for _ in kinds], [0.0] * len(kinds)
+    for step in range(epochs):
+        part = step // blocks.n % parts
+        sums = blocks.total(partial(_chain_step, models, chains, part, parts), step % blocks.n)
+        for k, c in enumerate(chains):
+            grad, g, s, n = sums[4 * k : 4 * k + 4]
+            grad = grad - decay * n * c.weight / 100
+            total[k] += grad * grad
+            c.weight = c.weight + rate * grad / np.sqrt(total[k] + 1e-8)
+            step_t[k] += g * g
+            c.trans = c.trans + 0.2 * g / np.sqrt(step_t[k] + 1e-8)
+            step_s[k] += s * s
+            c.start += 0.2 * s / (step_s[k] + 1e-8) ** 0.5
+    return chains
+
+
+def _reached(chain: Field, block: Block) -> list:
+    """How many held-out unfit, held-out fit and unlabelled documents of a block there are, and how many of each reach every threshold."""
+    score = document_scores(block.tokens, chain.read(block.tokens), len(block.label))
+    out = []
+    for mine in (block.held & (block.label == 1), block.held & (block.label == 0), block.label == -1):
+        out += [int(mine.sum()), (score[mine][:, None] >= GRID).sum(axis=0)]
+    return out
 
 
 def train(texts: list[str], label: list[int], epochs: int = 30, rate: float = 0.4, decay: float = 2e-4, clean: int = 20_000) -> Field:
     """Fit the field by batch gradient of the likelihood with adaptive steps.
 
-    The threshold of the scores comes from a first fit without the labels of every ``HELD``-th document of each kind;
-    the field itself is then fitted on all labels. label: 1 unfit, 0 fit, -1 not labelled. At most ``clean`` clean sentences are used beside all toxic ones.
+    The threshold of the scores comes from a first fit without the labels of every ``HELD``-th document of each kind and
+    from the scores it gives to all unlabelled documents; the field itself is fitted on all labels. label: 1 unfit, 0 fit,
+    -1 not labelled. Clean sentences take turns where there are more than ``clean``.
     """
     label = np.array(label, np.int64)
-    if not (label == 1).any() or not (label == 0).any():
-        return Field(np.zeros(BUCKETS), -30.0, np.array([[0.0, -30.0], [0.0, 0.0]]), 1.1)
-    tokens = read_tokens(texts)
     held = np.zeros(len(label), bool)
     for kind in (0, 1):
         held[np.random.default_rng(5 + kind).permutation(np.flatnonzero(label == kind))[::HELD]] = True
-    rest = np.where(held, -1, label)
-    threshold = 0.5
-    if len(tokens.doc) and min((label[held] == k).sum() for k in (0, 1)) >= LEAST_HELD and (rest == 1).any() and (rest == 0).any():
-        first = _fit(tokens, rest, epochs, rate, decay, clean)
-        mine = (rest == -1)[tokens.doc]
-        prob = np.zeros(len(tokens.doc))
-        prob[mine] = first.marginals(first.weight[tokens.feats[mine]].sum(axis=1), tokens.sentence[mine])[0]
-        score = document_scores(tokens, prob, len(label))
-        threshold = held_out_threshold(score[held], label[held] == 1, score[label == -1])
-    field = _fit(tokens, label, epochs, rate, decay, clean)
-    field.threshold = threshold
-    return field
-
-
-def _fit(tokens: Tokens, label: np.ndarray, epochs: int, rate: float, decay: float, clean: int) -> Field:
-    tag = _sentence_labels(tokens, label)
-    count = int(tokens.sentence.max()) + 1
-    toxic, vague = (np.bincount(tokens.sentence, weights=tag == k, minlength=count) > 0 for k in (1, -1))
-    sure = np.zeros(count, bool)
-    sure[tokens.sentence] = True
-    pick = np.flatnonzero(sure & ~toxic & ~vague)
-    rng = np.random.default_rng(3)
-    use = toxic.copy()
-    use[pick if len(pick) <= clean else rng.choice(pick, clean, replace=False)] = True
-    rows = use[tokens.sentence]
-    feats, sentence, want = tokens.feats[rows], tokens.sentence[rows], (tag[rows] == 1).astype(np.int64)
-    field = Field(np.zeros(BUCKETS), -3.0, np.array([[1.0, -2.0], [-1.0, 1.0]]))
-    same = sentence[1:] == sentence[:-1]
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (want[:-1][same], want[1:][same]), 1)
-    first = np.concatenate([[True], ~same])
-    flat = feats.ravel()
-    total, step_t, step_s = np.zeros(BUCKETS), np.zeros((2, 2)), 0.0
-    for _ in range(epochs):
-        prob, moves = field.marginals(field.weight[feats].sum(axis=1), sentence)
-        grad = np.bincount(flat, weights=np.repeat(want - prob, FEATURES), minlength=BUCKETS) - decay * len(want) * field.weight / 100
-        total += grad * grad
-        field.weight += rate * grad / np.sqrt(total + 1e-8)
-        g = seen - moves
-        step_t += g * g
-        field.trans = field.trans + 0.2 * g / np.sqrt(step_t + 1e-8)
-        g = float((want[first] - prob[first]).sum())
-        step_s += g * g
-        field.start += 0.2 * g / (step_s + 1e-8) ** 0.5
-    return field
+
+    def blocks(rows: np.ndarray) -> list[Block]:
+        return [Block(read_tokens([texts[i] for i in at]), label[at], held[at]) for at in np.array_split(rows, -(-len(rows) // 3000)) if len(at)] if len(rows) else []
+
+    rest = np.flatnonzero(label == -1)
+    n = slice_count(len(rest))
+    return _trained(Held(blocks(np.flatnonzero(label >= 0)), [blocks(rest[k::n]) for k in range(n)]), epochs, rate, decay, clean)
+
+
+def slice_count(unlabelled: int) -> int:
+    return int(np.clip(unlabelled // UNLABELLED, 1, SLICES))
+
+
+def _trained(blocks: Held | Spread, epochs: int = 30, rate: float = 0.4, decay: float = 2e-4, clean: int = 20_000) -> Field:
+    counts = blocks.total(_labels, 0)
+    fit, held_fit, unfit, held_unfit = counts or [0] * 4
+    if not fit + held_fit or not unfit + held_unfit:
+        return Field(np.zeros(BUCKETS), -30.0, np.array([[0.0, -30.0], [0.0, 0.0]]), 1.1)
+    two = min(held_fit, held_unfit) >= LEAST_HELD and min(fit, unfit) > 0
+    *first, chain = _fit(blocks, [True, False] if two else [False], epochs, rate, decay, clean)
+    if first:
+        chain.threshold = _best_threshold(*blocks.total(partial(_reached, first[0]), None))
+    return chain
 
 
 def document_scores(tokens: Tokens, prob: np.ndarray, n: int) -> np.ndarray:
@@ -322,33 +494,63 @@ def held_out_threshold(score: np.ndarray, unfit: np.ndarray, other: np.ndarray |
     share of unfit ones: those at 0.5 or more over the share of unfit documents found there. Of thresholds within one
     standard error of the best the middle one is taken; 0.5 where fewer than ``LEAST_HELD`` are unfit or fit.
     """
-    n = unfit.sum()
-    if min(n, (~unfit).sum()) < LEAST_HELD:
+    reach, over, flagged = ((score_of[:, None] >= GRID).sum(axis=0) for score_of in (score[unfit], score[~unfit], np.zeros(0) if other is None else other))
+    return _best_threshold(int(unfit.sum()), reach, int((~unfit).sum()), over, 0 if other is None else len(other), flagged)
+
+
+def _best_threshold(n: int, reach: np.ndarray, fit: int, over: np.ndarray, others: int, flagged: np.ndarray) -> float:
+    """The same from numbers of documents, and of those at each threshold of the grid or above."""
+    if min(n, fit) < LEAST_HELD:
         return 0.5
-    grid = np.arange(2, 100) / 100
-    reach = np.array([(score[unfit] >= t).mean() for t in grid])
-    base, share = (other, None) if other is not None and len(other) else (score, n / len(score))
-    flagged = np.array([(base >= t).mean() for t in grid])
-    if share is None:
-        half = int(np.searchsorted(grid, 0.5))
-        share = min(n / len(score), flagged[half] / reach[half]) if reach[half] else n / len(score)
+    labelled = (reach + over) / (n + fit)
+    reach, share = reach / n, n / (n + fit)
+    if others:
+        flagged = flagged / others
+        half = int(np.searchsorted(GRID, 0.5))
+        share = min(share, flagged[half] / reach[half]) if reach[half] else share
+    else:
+        flagged = labelled
     f1 = 2 * share * reach / (share + flagged)
     best = int(np.argmax(f1))
     error = 2 * share / (share + flagged[best]) * (reach[best] * (1 - reach[best]) / n) ** 0.5
-    return round(float(np.median(grid[f1 >= f1[best] - error - 1e-9])), 3)
+    return round(float(np.median(GRID[f1 >= f1[best] - error - 1e-9])), 3)
 
 
 def fit_field(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, unlabelled: int = UNLABELLED) -> Field:
-    """The field trained on the whole texts of at most ``sample`` labelled and about ``unlabelled`` other documents."""
+    """The field trained on the whole texts of all documents; in the driver up to ``sample`` labelled and ``2 * unlabelled`` others."""
+    spark = docs.sparkSession
     votes = labels.where(F.col(id_col).isNotNull() & F.col("unfit").isNotNull()).groupBy(id_col).agg(F.avg("unfit").alias("share")).where("share <> 0.5")
-    chosen = votes.orderBy(F.xxhash64(id_col), id_col).limit(sample)
+    votes = votes.select(id_col, (F.col("share") > 0.5).cast("int").alias("label"))
     rows = docs.select(id_col, F.col(text_col).alias("text")).where("text IS NOT NULL")
-    step = max(1, docs.count() // unlabelled)
-    known = rows.join(F.broadcast(chosen), id_col).dropDuplicates([id_col])
-    other = rows.where(F.pmod(F.xxhash64(id_col), F.lit(step)) == 0).join(F.broadcast(chosen), id_col, "left_anti").limit(2 * unlabelled)
-    table = known.withColumn("label", (F.col("share") > 0.5).cast("int")).select(id_col, "text", "label").unionByName(other.select(id_col, "text", F.lit(-1).alias("label"))).toArrow()
-    table = table.sort_by(id_col)
-    return train(table["text"].to_pylist(), table["label"].to_pylist())
+    count, marked = docs.count(), votes.count()
+    if marked <= BROADCAST_LABELS:
+        votes = F.broadcast(votes)
+    known = rows.join(votes, id_col).dropDuplicates([id_col])
+    if marked <= sample and count <= 2 * unlabelled + marked:
+        other = rows.join(votes, id_col, "left_anti")
+        table = known.select(id_col, "text", "label").unionByName(other.select(id_col, "text", F.lit(-1).alias("label"))).toArrow().sort_by([(id_col, "ascending"), ("text", "ascending")])
+        return train(table["text"].to_pylist(), table["label"].to_pylist())
+    n = int(np.clip(count // unlabelled, 1, SLICES))
+    held = F.pmod(F.xxhash64(id_col, F.lit(5)), F.lit(HELD)) == 0
+    known = known.select("text", "label", held.alias("held"), F.lit(-1).alias("slice"))
+    other = spread(rows).join(votes, id_col, "left_anti").select("text", F.lit(-1).alias("label"), F.lit(False).alias("held"), F.pmod(F.xxhash64(id_col, F.lit(7)), F.lit(n)).cast("int").alias("slice"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column("slice").to_numpy()
+            for k in np.unique(own):
+                for at in np.array_split(np.flatnonzero(own == k), -(-int((own == k).sum()) // 1000)):
+                    some = batch.take(pa.array(at))
+                    block = Block(read_tokens(some.column("text").to_pylist()), some.column("label").to_numpy().astype(np.int64), some.column("held").to_numpy(zero_copy_only=False))
+                    yield pa.RecordBatch.from_arrays([pa.array([block.pack()], pa.binary()), pa.array([int(k)], pa.int32())], ["data", "slice"])
+
+    folder = os.path.join(ensure_checkpoint_dir(spark), f"blocks-{uuid.uuid4()}")
+    try:
+        known.unionByName(other).mapInArrow(pack, "data binary, slice int").write.partitionBy("slice").parquet(folder)
+        return _trained(Spread(spark, folder, n))
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def save_field(spark: SparkSession, field: Field, path: str) -> None:

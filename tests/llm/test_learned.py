@@ -203,6 +203,35 @@ def test_scores_of_tables(spark):
     assert toxicity.score_documents(df.limit(0), lab).count() == 0
 
 
+def test_fit_takes_all_documents_beyond_the_driver(spark, monkeypatch):
+    """Neither labels nor other documents are left out where there are more than the driver fits."""
+    made, test = synthetic(1200, 1), synthetic(400, 2)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(made)], "doc_id bigint, text string").repartition(3)
+    lab = spark.createDataFrame([(i, int(t)) for i, (_, t) in enumerate(made) if i % 3 == 0], "doc_id bigint, unfit int")
+    seen = []
+    plain = toxicity._trained
+
+    def watch(blocks):
+        assert isinstance(blocks, toxicity.Spread)
+        rows = [(r["slice"], toxicity.Block.unpack(bytes(r["data"]))) for r in blocks.rows.collect()]
+        seen.extend((k, int(x)) for k, b in rows for x in b.label)
+        both = toxicity.Held([b for k, b in rows if k == -1], [[b for k, b in rows if k == s] for s in range(blocks.n)])
+        models = [toxicity.Evidence(k, 1.0, np.zeros(toxicity.BUCKETS)) for k in (True, False)]
+        step = toxicity.partial(toxicity._evidence_step, models)
+        for at in (0, 1, None):
+            assert all(np.allclose(a, b) for a, b in zip(blocks.total(step, at), both.total(step, at), strict=True))
+        return plain(blocks, epochs=12)
+
+    monkeypatch.setattr(toxicity, "_trained", watch)
+    monkeypatch.setattr(toxicity, "STEPS", 8)
+    field = toxicity.fit_field(docs, lab, sample=40, unlabelled=300)
+    assert sum(k == -1 for k, _ in seen) == 400 and sum(x == -1 for _, x in seen) == 800 and {k for k, _ in seen} == {-1, 0, 1, 2, 3}
+    tokens = toxicity.read_tokens([x for x, _ in test])
+    found = toxicity.document_scores(tokens, field.read(tokens), len(test)) >= field.threshold
+    truth = np.array([t for _, t in test])
+    assert (found & truth).sum() >= 0.9 * max(found.sum(), truth.sum())
+
+
 def test_a_saved_field_is_the_same_field(spark, tmp_path):
     texts = ["you are a worthless idiot and a liar", "the board met on monday"] * 12
     field = toxicity.train(texts, [1, 0] * 12)
