@@ -98,9 +98,9 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    from docquarry.llm.toxicity import score_documents
+    from docquarry.llm.toxicity import found_documents
 
-    return score_documents(table(spark, d, "documents"), table(spark, d, "moderation_labels")).where("unfit").select("doc_id").distinct()
+    return found_documents(table(spark, d, "documents"), table(spark, d, "moderation_labels"))
 
 
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:

@@ -8,7 +8,7 @@ held out of a first fit.
 
 The field is trained on all labelled and all other documents, whole texts. Every step sums over all labelled documents
 and one slice of the others; a round of steps passes through all slices. Up to ``SAMPLE`` labelled and ``2 * UNLABELLED``
-other documents the sums are made in the driver, beyond in Spark, one job a step. Words are compared without accents, case,
+other documents the sums are made in the driver, beyond in Spark, one job a step over packed tokens. Words are compared without accents, case,
 look-alike letters, stretched letters, digits for letters and spaced-out spelling.
 
 Defined results: null, empty and blank texts score 0 and are not found; a document without labels is scored like any
@@ -18,14 +18,16 @@ other; raters that disagree evenly leave a document out of the training; without
 
 from __future__ import annotations
 
+import gc
 import os
 import pickle
 import re
 import unicodedata
 import uuid
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
-from functools import partial
+from dataclasses import dataclass, field, replace
+from functools import cache, cached_property, lru_cache, partial
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -33,21 +35,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.common import ensure_checkpoint_dir, spread
+from docquarry.common import ensure_checkpoint_dir, materialise, spread
 from docquarry.llm.scanned import plain
 from docquarry.llm.splitting import WORD
 
-#: Labelled documents up to which the driver fits, other documents of a slice (twice as many in the driver), feature buckets, features of a token.
-SAMPLE, UNLABELLED, BUCKETS, FEATURES = 8_000, 5_000, 1 << 18, 7
+#: Labelled documents up to which the driver fits, other documents of a slice (twice as many in the driver), feature buckets, features of a token and those of them that sentence evidence reads.
+SAMPLE, UNLABELLED, BUCKETS, FEATURES, WORDS = 8_000, 5_000, 1 << 18, 7, 3
 #: Every how manieth labelled document is held out for the threshold; how many of each kind that takes at least.
 HELD, LEAST_HELD = 4, 10
-#: Rounds of sentence evidence, steps of each; slices of the other documents at most; tasks of a step at most.
-ROUNDS, STEPS, SLICES, TASKS = 4, 20, 20, 64
+#: Rounds of sentence evidence, steps of each; slices of the other documents at most; tasks of a step at most, tokens of a task at least.
+ROUNDS, STEPS, SLICES, TASKS, TASK_TOKENS = 4, 20, 20, 64, 1 << 21
+#: Documents and tokens at which a block of a task is written; documents of a file of blocks.
+BLOCK_DOCS, BLOCK_TOKENS, FILE_DOCS = 1_000, 1 << 18, 50_000
+#: Tokens of which the features are made at once; tokens of labelled blocks that a Python worker keeps (some 80 bytes each); tokens to which it joins other blocks.
+CHUNK, KEPT_TOKENS, JOINED_TOKENS = 1 << 14, 1 << 20, 3 << 17
 #: Labels are broadcast up to this count (16 bytes each), joined by shuffle beyond.
 BROADCAST_LABELS = 1_000_000
 #: Thresholds tried.
 GRID = np.arange(2, 100) / 100
 _U64 = np.uint64
+_A, _B = _U64(0x9E3779B97F4A7C15), _U64(0xC2B2AE3D27D4EB4F)
 #: Digits and signs written for letters.
 _LEET = str.maketrans("0134578@$", "oieastbas")
 _MARKS = re.compile("[\u0300-\u036f]")
@@ -55,28 +62,53 @@ _CODE = re.compile(r"[a-z]{2}-\d+")
 _STRETCH = re.compile(r"(.)\1{2,}")
 _SPACED = re.compile(r"\w(?:[.\-_*·]\w){3,}")
 _EDGE = re.compile(r"^[^\w@$*]+|[^\w@$*]+$")
+_ASCII_EDGE = "".join(c for c in map(chr, range(128)) if _EDGE.fullmatch(c))
+_DIGIT, _JOINTS = re.compile("[0-9]"), frozenset(".-_*·")
+_CLOSERS, _ENDS = "\"'”’)]", frozenset(".!?…")
 
 
 def normal_word(word: str) -> str:
     """The form in which a word is compared; '' for what is no word."""
+    if not word.isascii():
+        return _normal(word)
+    w = word.lower().strip(_ASCII_EDGE)
+    if w.isalpha():
+        return _STRETCH.sub(r"\1", w)
+    digits, letters = _DIGIT.search(w) is not None, w.islower()
+    return "#number" if digits and not letters and w[1:2] not in _JOINTS else _compared(w, digits, letters)
+
+
+@lru_cache(1 << 16)
+def _normal(word: str) -> str:
     w = plain(word).lower()
     if not w.isascii():
         w = _MARKS.sub("", unicodedata.normalize("NFD", w)).replace("đ", "d")
     w = _EDGE.sub("", w)
-    if _CODE.fullmatch(w):
+    return _compared(w, any(c.isdigit() for c in w), any(c.isalpha() for c in w))
+
+
+def _compared(w: str, digits: bool, letters: bool) -> str:
+    if w[2:3] == "-" and _CODE.fullmatch(w):
         return "#code"
-    if _SPACED.fullmatch(w):
+    if w[1:2] in _JOINTS and _SPACED.fullmatch(w):
         return "~" + re.sub(r"[\W_]", "", w)
-    if any(c.isdigit() for c in w):
-        if not any(c.isalpha() for c in w):
+    if digits:
+        if not letters:
             return "#number"
         w = w.translate(_LEET)
     return _STRETCH.sub(r"\1", w).replace("@", "a").replace("$", "s")
 
 
-def _mix(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
-    x = (a + _U64(salt)) * _U64(0x9E3779B97F4A7C15) ^ (b * _U64(0xC2B2AE3D27D4EB4F))
-    return x ^ (x >> _U64(29))
+def _words(text: str) -> list[str]:
+    """WORD.findall(text); str.split parts at the same signs and at four more."""
+    return WORD.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+
+
+def _crossed(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
+    x = a + _U64(salt * int(_A) % (1 << 64))
+    x ^= b
+    x ^= x >> _U64(29)
+    return x
 
 
 @dataclass
@@ -85,9 +117,13 @@ class Tokens:
     word: np.ndarray  # its number among the words of the document, from 0
     span: np.ndarray  # how many words it covers (spaced-out spelling covers several)
     sentence: np.ndarray  # running number of its sentence
-    feats: np.ndarray  # (tokens, FEATURES) buckets
     hash: np.ndarray
 
+    @cached_property
+    def feats(self) -> np.ndarray:
+        """(FEATURES, tokens) buckets."""
+        return _features(self.hash, self.sentence)
+
 
 def read_tokens(texts: list[str | None]) -> Tokens:
     """The tokens of some documents with their features; sentences never cross documents."""
@@ -95,12 +131,12 @@ def read_tokens(texts: list[str | None]) -> Tokens:
     counts = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         if text:
-            found = WORD.findall(text)
+            found = _words(text)
             counts[i] = len(found)
             flat += found
     code, names = pd.factorize(np.array(flat, dtype=object)) if flat else (np.zeros(0, np.int64), np.zeros(0, object))
     norm = np.array([normal_word(x) for x in names], dtype=object)
-    ends = np.array([bool(re.search(r"[.!?…][\"'”’)\]]*$", x)) for x in names], bool)
+    ends = np.array([x.rstrip(_CLOSERS)[-1:] in _ENDS for x in names], bool)
     single = np.array([len(x) == 1 and x.isalpha() for x in norm], bool)
     doc = np.repeat(np.arange(len(texts)), counts)
     word = np.arange(len(code)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -112,7 +148,7 @@ def read_tokens(texts: list[str | None]) -> Tokens:
     if lone.any():  # runs of at least four single letters are one word spelled out
         change = np.flatnonzero(np.diff(np.concatenate([[False], lone, [False]]).astype(np.int8)))
         for a, b in zip(change[::2], change[1::2]):
-            for lo, hi in _inside(doc, a, b):
+            for lo, hi in _inside(doc, a, b) if b - a >= 4 else ():
                 if hi - lo >= 4:
                     joined = "~" + "".join(norm[code[k]] for k in range(lo, hi))
                     h[lo] = pd.util.hash_array(np.array([joined], dtype=object), categorize=False)[0]
@@ -122,24 +158,42 @@ def read_tokens(texts: list[str | None]) -> Tokens:
     # A sentence boundary on a dropped word still counts.
     boundary = np.concatenate([[0], (end[:-1] | (doc[1:] != doc[:-1])).cumsum()]) if len(code) else np.zeros(0, np.int64)
     doc, word, span, sentence, h = (x[keep] for x in (doc, word, span, boundary, h))
-    return Tokens(doc, word, span, sentence, _features(h, sentence), h)
+    return Tokens(doc, word, span, sentence, h)
 
 
-def _features(h: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+def _features(h: np.ndarray, sentence: np.ndarray, count: int = FEATURES) -> np.ndarray:
+    """The first ``count`` features of every token; the first ``WORDS`` are those of sentence evidence."""
     n = len(h)
-    zero = _U64(0)
+    out = np.empty((count, n), np.int64)
+    for at in range(0, n, CHUNK):  # what is made on the way stays in the processor's cache
+        low, high = max(0, at - 2), min(n, at + CHUNK + 2)
+        _mixed(h[low:high], sentence[low:high], slice(at - low, min(n, at + CHUNK) - low), out[:, at : at + CHUNK])
+    return out
+
 
-    def near(k: int) -> np.ndarray:
-        out = np.full(n, zero)
-        if 0 < abs(k) < n:
-            src, dst = (slice(0, n - k), slice(k, n)) if k > 0 else (slice(-k, n), slice(0, n + k))
-            same = sentence[src] == sentence[dst]
-            out[dst] = np.where(same, h[src], zero)
-        return out
+def _mixed(h: np.ndarray, sentence: np.ndarray, rows: slice, out: np.ndarray) -> None:
+    """Features of some rows. A mix of a and b is a * _A plus a number, crossed with b * _B, so the products are made once."""
+    n = len(h)
+    same = {k: sentence[k:] == sentence[: n - k] for k in (1, 2)}
+    left, right = h * _A, h * _B
 
-    p1, p2, n1, n2 = near(1), near(2), near(-1), near(-2)
-    feats = [_mix(h, h, 1), _mix(p1, h, 2), _mix(h, n1, 3), _mix(_mix(p2, p1, 4), h, 5), _mix(_mix(h, n1, 6), n2, 7), _mix(p1, n1, 8), _mix(p1, p2, 9)]
-    return np.stack([(x % _U64(BUCKETS)).astype(np.int32) for x in feats], axis=1) if n else np.zeros((0, FEATURES), np.int32)
+    def near(x: np.ndarray, k: int) -> np.ndarray:
+        out = np.zeros(n, _U64)
+        if k > 0:
+            np.multiply(x[: n - k], same[k], out=out[k:])
+        else:
+            np.multiply(x[-k:], same[-k], out=out[:k])
+        return out[rows]
+
+    p1, own = near(left, 1), left[rows]
+    p2r, ownr = near(right, 2), right[rows]
+    pair = _crossed(near(left, 2), near(right, 1), 4)
+    feats = [_crossed(own, ownr, 1), _crossed(p1, ownr, 2), _crossed(pair * _A, ownr, 5)]
+    if len(out) > WORDS:
+        n1r = near(right, -1)
+        feats += [_crossed(own, n1r, 3), _crossed(_crossed(own, n1r, 6) * _A, near(right, -2), 7), _crossed(p1, n1r, 8), _crossed(p1, p2r, 9)]
+    for row, x in zip(out, feats):
+        np.bitwise_and(x, _U64(BUCKETS - 1), out=row.view(_U64))  # the remainder, as BUCKETS is a power of two
 
 
 def _inside(doc: np.ndarray, a: int, b: int) -> list[tuple[int, int]]:
@@ -158,82 +212,126 @@ class Field:
 
     def marginals(self, emit: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(probability of the toxic tag per token, expected transitions (2, 2)) by forward-backward."""
-        n = len(emit)
-        prob = np.zeros(n)
-        moves = np.zeros((2, 2))
-        if not n:
-            return prob, moves
-        first = np.flatnonzero(np.concatenate([[True], sentence[1:] != sentence[:-1]]))
-        size = np.diff(np.concatenate([first, [n]]))
-        order = np.argsort(size, kind="stable")
-        trans = np.exp(self.trans)
-        emit = np.clip(emit, -30, 30)
-        for group in np.array_split(order, max(1, len(order) // 2048)):
-            length = size[group]
-            deep = int(length.max())
-            at = first[group][:, None] + np.arange(deep)
-            mask = np.arange(deep) < length[:, None]
-            e = np.where(mask, emit[np.minimum(at, n - 1)], 0.0)
-            odds = np.exp(e)
-            fwd = np.empty((deep, len(group), 2))
-            a = np.stack([np.ones(len(group)), np.exp(self.start) * odds[:, 0]], axis=1)
-            fwd[0] = a / a.sum(axis=1, keepdims=True)
-            for t in range(1, deep):
-                a = fwd[t - 1] @ trans
-                a[:, 1] *= odds[:, t]
-                a /= a.sum(axis=1, keepdims=True)
-                fwd[t] = np.where(mask[:, t, None], a, fwd[t - 1])
-            back = np.ones((len(group), 2))
-            for t in range(deep - 1, -1, -1):
-                p = fwd[t] * back
-                p /= p.sum(axis=1, keepdims=True)
-                live = mask[:, t]
-                prob[at[live, t]] = p[live, 1]
-                if t:
-                    ahead = back.copy()
-                    ahead[:, 1] *= odds[:, t]
-                    pair = fwd[t - 1][:, :, None] * trans[None] * ahead[:, None, :]
-                    pair /= pair.sum(axis=(1, 2), keepdims=True)
-                    moves += pair[live].sum(axis=0)
-                    new = ahead @ trans.T
-                    new /= new.sum(axis=1, keepdims=True)
-                    back = np.where(live[:, None], new, back)
-        return prob, moves
+        return self.passes(emit, *_runs(sentence))
+
+    def passes(self, emit: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same over the sentences that begin at ``first``; other tokens get 0.
+
+        With two tags, forward and backward scores are one number each: toxic over clean. Sentences are ordered by length, so
+        those that reach a position are the first ones and nothing is padded.
+        """
+        prob = np.zeros(len(emit))
+        if not len(first):
+            return prob, np.zeros((2, 2))
+        (cc, ct), (tc, tt) = np.exp(self.trans)
+        odds = np.exp(np.clip(emit, -30, 30))
+        order = np.argsort(-size, kind="stable")
+        first = first[order]
+        live = len(first) - np.cumsum(np.bincount(size))[:-1]  # sentences longer than each position
+        at = first
+        fwd, own = [np.exp(self.start) * odds[at]], [odds[at]]
+        for n in live[1:]:
+            at = at[:n] + 1
+            o, r = odds[at], fwd[-1][:n]
+            own.append(o)
+            fwd.append(o * (ct + tt * r) / (cc + tc * r))
+        moves = np.zeros(4)
+        back = np.ones(live[-1])
+        for t in range(len(live) - 1, -1, -1):
+            r = fwd[t] * back
+            prob[first[: live[t]] + t] = r / (1 + r)
+            if t:
+                ahead, before = own[t] * back, fwd[t - 1][: live[t]]
+                clean, toxic = cc + ct * ahead, tc + tt * ahead
+                part = 1 / (clean + before * toxic)
+                mixed = before * part
+                moves += cc * part.sum(), ct * (part * ahead).sum(), tc * mixed.sum(), tt * (mixed * ahead).sum()
+                back = np.ones(live[t - 1])
+                np.divide(toxic, clean, out=back[: live[t]])
+        return prob, moves.reshape(2, 2)
+
+    def emit(self, feats: np.ndarray) -> np.ndarray:
+        return _summed(self.weight, feats)
 
     def read(self, tokens: Tokens) -> np.ndarray:
-        return self.marginals(self.weight[tokens.feats].sum(axis=1), tokens.sentence)[0]
+        return self.marginals(self.emit(tokens.feats), tokens.sentence)[0]
+
+
+def _runs(number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where every run of equal numbers begins, and its length."""
+    first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])) if len(number) else np.zeros(0, np.int64)
+    return first, np.diff(first, append=len(number))
+
+
+def _summed(weight: np.ndarray, feats: np.ndarray) -> np.ndarray:
+    """The sum of the weights of each token."""
+    out = weight[feats[0]]
+    for row in feats[1:]:
+        out += weight[row]
+    return out
 
 
 @dataclass
 class Block:
     """Some documents of the training: their tokens, labels (1, 0, -1 for none) and which labels are held out of the first fit."""
 
-    tokens: Tokens
+    hash: np.ndarray  # of every token
+    sentence: np.ndarray  # numbered without gaps
+    doc_of: np.ndarray  # document of every sentence
     label: np.ndarray
     held: np.ndarray
     memo: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        s = self.tokens.sentence  # numbered without gaps
-        self.tokens.sentence = np.concatenate([[0], (s[1:] != s[:-1]).cumsum()]) if len(s) else s
-        self.count = int(self.tokens.sentence.max()) + 1 if len(s) else 0
-        self.doc_of = np.zeros(self.count, np.int64)
-        self.doc_of[self.tokens.sentence] = self.tokens.doc
-        self.root = np.sqrt(np.maximum(np.bincount(self.tokens.sentence, minlength=self.count), 1))
-        self.flat, self.owner = self.tokens.feats[:, [0, 1, 3]].ravel(), np.repeat(self.tokens.sentence, 3)  # words and word groups of sentences
+        self.count = len(self.doc_of)
+        self.first, self.size = _runs(self.sentence)
+        self.root = np.sqrt(self.size)
+
+    @staticmethod
+    def read(texts: list[str | None], label: np.ndarray, held: np.ndarray) -> Block:
+        t = read_tokens(texts)
+        first, size = _runs(t.sentence)
+        return Block(t.hash, np.repeat(np.arange(len(first)), size), t.doc[first], label, held)
+
+    def part(self, a: int, b: int) -> Block:
+        """Documents a to b (excluded)."""
+        low, high = np.searchsorted(self.doc_of, [a, b])
+        rows = slice(*np.searchsorted(self.sentence, [low, high]))
+        return Block(self.hash[rows], self.sentence[rows] - low, self.doc_of[low:high] - a, self.label[a:b], self.held[a:b])
+
+    @staticmethod
+    def joined(parts: list[Block]) -> Block:
+        docs, sentences = (np.cumsum([0, *n]) for n in ([len(x.label) for x in parts], [x.count for x in parts]))
+        return Block(*(np.concatenate(x) for x in zip(*((x.hash, x.sentence + n, x.doc_of + k, x.label, x.held) for x, k, n in zip(parts, docs, sentences)))))
+
+    @cached_property
+    def words(self) -> np.ndarray:
+        """The features of sentence evidence."""
+        return self.feats[:WORDS] if "feats" in self.__dict__ else _features(self.hash, self.sentence, WORDS)
+
+    @cached_property
+    def feats(self) -> np.ndarray:
+        return _features(self.hash, self.sentence)
+
+    def scores(self, model: Field) -> np.ndarray:
+        """The score of every document, as document_scores gives it."""
+        score = np.zeros(len(self.label))
+        if self.count:
+            prob, _ = model.passes(model.emit(self.feats), self.first, self.size)
+            np.maximum.at(score, self.doc_of, np.maximum.reduceat(prob, self.first))
+        return score
 
     def seen(self, first: bool) -> np.ndarray:
         return np.where(self.held, -1, self.label) if first else self.label
 
     def pack(self) -> bytes:
-        words, code = np.unique(self.tokens.hash, return_inverse=True)
-        return pickle.dumps((words, code.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32), np.bincount(self.tokens.sentence, minlength=self.count).astype(np.int32), self.doc_of.astype(np.int32), self.label.astype(np.int8), self.held))
+        code, words = pd.factorize(self.hash)
+        return pickle.dumps((words, code.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32), self.size.astype(np.int32), self.doc_of.astype(np.int32), self.label.astype(np.int8), self.held))
 
     @staticmethod
     def unpack(data: bytes) -> Block:
         words, code, size, doc_of, label, held = pickle.loads(data)
-        sentence, h = np.repeat(np.arange(len(size)), size), words[code]
-        return Block(Tokens(doc_of[sentence].astype(np.int64), None, None, sentence, _features(h, sentence), h), label.astype(np.int64), held)
+        return Block(words[code], np.repeat(np.arange(len(size)), size), doc_of.astype(np.int64), label.astype(np.int64), held)
 
 
 class Held:
@@ -248,35 +346,102 @@ class Held:
         return _sum(f(b) for b in [*self.labelled, *(b for x in others for b in x)] if b.count)
 
 
+@cache
+def _settle() -> None:
+    """Once per Python worker: what is loaded is left out of the garbage collection that follows every task."""
+    gc.freeze()
+
+
+#: Labelled blocks that this Python worker has read, of one fit: every step takes them, so features and aims are made once.
+_KEPT: dict[tuple[str, bytes], Block] = {}
+
+
+def _kept(data: bytes, fit: str) -> Block:
+    if _KEPT and next(iter(_KEPT))[0] != fit:
+        _KEPT.clear()
+    key = fit, blake2b(data, digest_size=16).digest()
+    block = _KEPT.get(key) or Block.unpack(data)
+    if key not in _KEPT and sum(len(x.hash) for x in _KEPT.values()) + len(block.hash) <= KEPT_TOKENS:
+        _KEPT[key] = block
+    return block
+
+
+def _joined(blocks: Iterator[tuple[Block, bool]]) -> Iterator[Block]:
+    """Those marked as they are, the others joined to ``JOINED_TOKENS``: sums over small blocks cost twice as much a token."""
+    waiting: list[Block] = []
+    for block, alone in blocks:
+        if alone:
+            yield block
+            continue
+        waiting.append(block)
+        if sum(len(x.hash) for x in waiting) >= JOINED_TOKENS:
+            yield Block.joined(waiting)
+            waiting = []
+    if waiting:
+        yield Block.joined(waiting)
+
+
 class Spread:
     """The same over packed blocks in Parquet files, in a folder for the labelled (-1) and one for every slice."""
 
-    def __init__(self, spark: SparkSession, path: str, n: int):
-        self.rows, self.n = spark.read.schema("data binary, slice int").parquet(path), n
-        self.tasks = min(TASKS, max(1, spark.sparkContext.defaultParallelism))
+    def __init__(self, spark: SparkSession, path: str, n: int, kind: str):
+        self.path, self.rows, self.n, self.kind = path, spark.read.schema(f"ids {kind}, data binary, tokens int, slice int").parquet(path), n, kind
+        self.most = min(TASKS, max(1, spark.sparkContext.defaultParallelism))
+        self.tokens = {r["slice"]: r["tokens"] for r in self.rows.groupBy("slice").agg(F.sum("tokens").alias("tokens")).collect()}
 
     def total(self, f: Callable[[Block], list], at: int | None) -> list:
-        held = self.rows.sparkSession.sparkContext.broadcast(f)
+        held, fit = self.rows.sparkSession.sparkContext.broadcast(f), self.path
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = _sum(held.value(b) for batch in batches for x in batch.column("data") if (b := Block.unpack(x.as_py())).count)
+            _settle()
+            rows = ((x, k.as_py()) for batch in batches for x, k in zip(batch.column("data"), batch.column("slice")))
+            out = _sum(held.value(b) for b in _joined((_kept(x.as_py(), fit), True) if k < 0 else (Block.unpack(x.as_buffer()), False) for x, k in rows) if b.count)
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(out)], pa.binary())], ["sums"])
 
         rows = self.rows if at is None else self.rows.where(F.col("slice").isin(-1, at))
+        tokens = sum(n for k, n in self.tokens.items() if at is None or k in (-1, at))
+        tasks = min(self.most, 1 + tokens // TASK_TOKENS)  # the sums that a task sends are as large for few tokens as for many
         try:
-            parts = rows.select("data").coalesce(self.tasks).mapInArrow(run, "sums binary").toArrow()["sums"]
+            parts = rows.select("data", "slice").coalesce(tasks).mapInArrow(run, "sums binary").toArrow()["sums"]
         finally:
             held.destroy()  # else every step leaves its weights on every disk
         return _sum(y for x in parts if (y := pickle.loads(x.as_buffer())))
 
 
+    def found(self, model: Field) -> DataFrame:
+        """(id) of the unfit documents of the slices, one row for each of their rows."""
+        held = self.rows.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for ids, data in zip(batch.column("ids"), batch.column("data")):
+                    score = Block.unpack(data.as_buffer()).scores(held.value)
+                    yield pa.RecordBatch.from_arrays([ids.values.filter(pa.array(score >= held.value.threshold))], ["id"])
+
+        return self.rows.where("slice >= 0").select("ids", "data").mapInArrow(run, f"id {self.kind[6:-1]}")
+
+
 def _sum(parts: Iterator[list]) -> list:
+    """The sums of lists of numbers and arrays; the arrays of the first are added to."""
     out: list = []
     for part in parts:
-        out = [a + b for a, b in zip(out, part)] if out else part
+        if not out:
+            out = part
+            continue
+        for k, x in enumerate(part):
+            out[k] += x
     return out
 
 
+def _paired(values: list[np.ndarray]) -> np.ndarray:
+    """One array for one or two: two travel as a complex one, so that both are gathered or added up in one go."""
+    return values[0] if len(values) == 1 else values[0] + 1j * values[1]
+
+
+def _parts(values: np.ndarray) -> list[np.ndarray]:
+    return [values.real, values.imag] if np.iscomplexobj(values) else [values]
+
+
 @dataclass
 class Evidence:
     """The logistic model of sentences: its present weights, and the round and weights that set what it is fitted to."""
@@ -286,64 +451,90 @@ class Evidence:
     weight: np.ndarray = None
     bias: float = -3.0
     past: tuple[int, np.ndarray, float] | None = None
+    tables: dict = field(default_factory=dict)  # weights of this and the next model, paired
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"tables": {}}
+
+    @property
+    def aim(self) -> tuple:
+        """What the aims depend on, besides the block."""
+        return self.first, self.share, *(() if self.past is None else self.past[::2])
+
+
+def _chances(models: list[Evidence], block: Block, past: bool) -> list[np.ndarray]:
+    """The chance of every sentence, by the present or the past weights of every model."""
+    weights = [m.past[1] if past else m.weight for m in models]
+    kept = models[0].tables.get(past)
+    if not kept or any(x is not y for x, y in zip(kept[0], weights)):
+        kept = models[0].tables[past] = weights, _paired(weights)
+    raw = np.add.reduceat(_summed(kept[1], block.words), block.first) / block.root
+    return [1 / (1 + np.exp(-np.clip(x + (m.past[2] if past else m.bias), -30, 30))) for m, x in zip(models, _parts(raw))]
+
+
+def _aims(models: list[Evidence], block: Block) -> list[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(goal, mass, chance) for every model: the tag a sentence is fitted to, its weight, its chance when these were set."""
+    now = [m.aim for m in models]
+    kept = block.memo.get("aims")
+    if kept and kept[0] == now:
+        return kept[1]
+    chances = [None] * len(models) if models[0].past is None else _chances(models, block, True)
+    out = [_aim(m, block, x) for m, x in zip(models, chances)]
+    block.memo["aims"] = now, out
+    return out
 
-    def chances(self, block: Block, weight: np.ndarray, bias: float) -> np.ndarray:
-        raw = np.bincount(block.owner, weights=weight[block.flat], minlength=block.count) / block.root + bias
-        return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
-
-    def aims(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-        """(goal, mass, chance): the tag a sentence is fitted to, its weight, its chance when these were set."""
-        now = -1 if self.past is None else self.past[0]
-        kept = block.memo.get(self.first)
-        if kept and kept[0] == now:
-            return kept[1]
-        label = block.seen(self.first)
-        kind, other = label[block.doc_of], 0.3
-        if self.past is None:
-            per_doc = np.bincount(block.doc_of, minlength=len(label)).astype(float)
-            out = (kind == 1).astype(float), np.where(kind == 1, self.share / per_doc[block.doc_of], np.where(kind == 0, 1.0, other)), None
-        else:
-            turn, weight, bias = self.past
-            chance = self.chances(block, weight, bias)
-            best = np.zeros(len(label))
-            np.maximum.at(best, block.doc_of, chance)
-            likely = (kind == 1) & (chance >= np.minimum(0.5, 0.7 * best[block.doc_of])) & (chance > (0.15 if turn == 0 else 0.25))
-            found = (kind == -1) & (chance > (0.3 if turn == 0 else 0.6))
-            goal = np.where(likely | (found if turn > 0 else False), 1.0, 0.0)
-            mass = np.where(likely, 2.0, np.where(kind == 1, 0.3, np.where(kind == 0, 1.0, other)))
-            mass[found & (turn == 0)] = 0
-            mass[(kind == -1) & ~found & (chance > 0.2)] = 0
-            out = goal, mass, chance
-        block.memo[self.first] = now, out
-        return out
-
-    def gradient(self, block: Block) -> list:
-        goal, mass, _ = self.aims(block)
-        error = (goal - self.chances(block, self.weight, self.bias)) * mass
-        return [np.bincount(block.flat, weights=(error / block.root)[block.owner], minlength=BUCKETS), error.sum()]
-
-    def tags(self, block: Block) -> np.ndarray:
-        """The tag of every token: 1 toxic, 0 clean, -1 unclear."""
-        kept = block.memo.get((self.first, "tags"))
-        if kept is not None:
-            return kept
-        t = block.tokens
-        goal, _, chance = self.aims(block)
-        state = np.where(goal == 1, 1, np.where((chance > 0.2) & (block.seen(self.first)[block.doc_of] != 0), -1, 0))
-        value = self.weight[block.flat].reshape(-1, 3).sum(axis=1)
-        at = state[t.sentence]
-        tag = np.where(at == -1, -1, 0)
+
+def _aim(model: Evidence, block: Block, chance: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    label = block.seen(model.first)
+    kind, other = label[block.doc_of], 0.3
+    if chance is None:
+        per_doc = np.bincount(block.doc_of, minlength=len(label)).astype(float)
+        return (kind == 1).astype(float), np.where(kind == 1, model.share / per_doc[block.doc_of], np.where(kind == 0, 1.0, other)), None
+    turn = model.past[0]
+    best = np.zeros(len(label))
+    np.maximum.at(best, block.doc_of, chance)
+    likely = (kind == 1) & (chance >= np.minimum(0.5, 0.7 * best[block.doc_of])) & (chance > (0.15 if turn == 0 else 0.25))
+    found = (kind == -1) & (chance > (0.3 if turn == 0 else 0.6))
+    goal = np.where(likely | (found if turn > 0 else False), 1.0, 0.0)
+    mass = np.where(likely, 2.0, np.where(kind == 1, 0.3, np.where(kind == 0, 1.0, other)))
+    mass[found & (turn == 0)] = 0
+    mass[(kind == -1) & ~found & (chance > 0.2)] = 0
+    return goal, mass, chance
+
+
+def _tags(models: list[Evidence], block: Block) -> list[np.ndarray]:
+    """The tag of every token for every model: 1 toxic, 0 clean, -1 unclear."""
+    now = [(m.aim, m.bias) for m in models]
+    kept = block.memo.get("tags")
+    if kept and kept[0] == now:
+        return kept[1]
+    out = [_tag(m, block, goal, chance) for m, (goal, _, chance) in zip(models, _aims(models, block))]
+    block.memo["tags"] = now, out
+    return out
+
+
+def _tag(model: Evidence, block: Block, goal: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    state = np.where(goal == 1, 1, np.where((chance > 0.2) & (block.seen(model.first)[block.doc_of] != 0), -1, 0))
+    tag = np.repeat(np.where(state == -1, -1, 0).astype(np.int8), block.size)
+    rows = np.flatnonzero(np.repeat(state == 1, block.size))
+    if len(rows):  # from the first to the last token that speaks clearly for toxic
+        value, own = _summed(model.weight, block.words[:, rows]), block.sentence[rows]
         peak = np.zeros(block.count)
-        np.maximum.at(peak, t.sentence, value)
-        strong = np.flatnonzero((at == 1) & (value > 0.35 * peak[t.sentence]))
-        if len(strong):  # from the first to the last token that speaks clearly for toxic
-            low, high = np.full(block.count, len(value)), np.full(block.count, -1)
-            np.minimum.at(low, t.sentence[strong], strong)
-            np.maximum.at(high, t.sentence[strong], strong)
-            k = np.arange(len(value))
-            tag[(at == 1) & (k >= low[t.sentence]) & (k <= high[t.sentence])] = 1
-        block.memo[self.first, "tags"] = tag
-        return tag
+        np.maximum.at(peak, own, value)
+        strong = value > 0.35 * peak[own]
+        low, high = np.full(block.count, len(tag)), np.full(block.count, -1)
+        np.minimum.at(low, own[strong], rows[strong])
+        np.maximum.at(high, own[strong], rows[strong])
+        tag[rows[(rows >= low[own]) & (rows <= high[own])]] = 1
+    return tag
+
+
+def _scattered(feats: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The sum of the values of the tokens of every bucket."""
+    out = np.zeros(BUCKETS, value.dtype)
+    for row in feats:
+        np.add.at(out, row, value)
+    return out
 
 
 def _unfit(kinds: list[bool], block: Block) -> list:
@@ -359,7 +550,9 @@ def _labels(block: Block) -> list:
 
 
 def _evidence_step(models: list[Evidence], block: Block) -> list:
-    return [x for m in models for x in m.gradient(block)]
+    errors = [(goal - p) * mass for p, (goal, mass, _) in zip(_chances(models, block, False), _aims(models, block))]
+    grads = _parts(_scattered(block.words, np.repeat(_paired(errors) / block.root, block.size)))
+    return [x for grad, error in zip(grads, errors) for x in (grad, error.sum())]
 
 
 def _sentence_evidence(blocks: Held | Spread, kinds: list[bool]) -> list[Evidence]:
@@ -392,24 +585,32 @@ def _sentence_evidence(blocks: Held | Spread, kinds: list[bool]) -> list[Evidenc
     return models
 
 
-def _chain_gradient(block: Block, model: Evidence, chain: Field, part: int, parts: int) -> list:
-    """(weights, transitions, start, tokens): the gradient of the likelihood over the toxic sentences and every n-th clean one."""
-    t, tag = block.tokens, model.tags(block)
-    toxic, vague = (np.bincount(t.sentence, weights=tag == k, minlength=block.count) > 0 for k in (1, -1))
+def _chain_errors(block: Block, tag: np.ndarray, chain: Field, emit: np.ndarray, part: int, parts: int) -> list:
+    """(errors of the tokens, transitions, start, tokens): what the gradient of the likelihood takes, over the toxic sentences and every n-th clean one."""
+    toxic, vague = np.zeros((2, block.count), bool)
+    ones = np.flatnonzero(tag == 1)
+    toxic[block.sentence[ones]] = True
+    vague[block.sentence[tag == -1]] = True
     use = toxic | (~vague & (np.arange(block.count) % parts == part))
-    rows = use[t.sentence]
-    feats, sentence, want = t.feats[rows], t.sentence[rows], (tag[rows] == 1).astype(np.int64)
-    prob, moves = chain.marginals(chain.weight[feats].sum(axis=1), sentence)
-    same = sentence[1:] == sentence[:-1]
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (want[:-1][same], want[1:][same]), 1)
-    first = np.concatenate([[True], ~same])[: len(want)]
-    grad = np.bincount(feats.ravel(), weights=np.repeat(want - prob, FEATURES), minlength=BUCKETS)
-    return [grad, seen - moves, float((want[first] - prob[first]).sum()), len(want)]
-
-
-def _chain_step(models: list[Evidence], chains: list[Field], part: int, parts: int, block: Block) -> list:
-    return [x for m, c in zip(models, chains) for x in _chain_gradient(block, m, c, part, parts)]
+    first, size = block.first[use], block.size[use]
+    prob, moves = chain.passes(emit, first, size)
+    starts, ends = (np.zeros(len(tag), bool) for _ in range(2))
+    starts[block.first] = ends[block.first + block.size - 1] = True
+    inside = ones[~ends[ones]]
+    both = int((tag[inside + 1] == 1).sum())
+    to, out = int((~starts[ones]).sum()) - both, len(inside) - both
+    seen = np.array([[int((size - 1).sum()) - both - to - out, to], [out, both]])
+    error = -prob  # 0 in sentences not used
+    error[ones] += 1
+    return [error, seen - moves, float(error[first].sum()), int(size.sum())]
+
+
+def _chain_step(models: list[Evidence], chains: list[Field], weight: np.ndarray, part: int, parts: int, block: Block) -> list:
+    """weight: those of all chains."""
+    emits = _parts(_summed(weight, block.feats))
+    out = [_chain_errors(block, tag, c, e, part, parts) for tag, c, e in zip(_tags(models, block), chains, emits)]
+    grads = _parts(_scattered(block.feats, _paired([x[0] for x in out])))
+    return [y for grad, x in zip(grads, out) for y in (grad, *x[1:])]
 
 
 def _fit(blocks: Held | Spread, kinds: list[bool], epochs: int, rate: float, decay: float, clean: int) -> list[Field]:
@@ -421,7 +622,8 @@ def _fit(blocks: Held | Spread, kinds: list[bool], epochs: int, rate: float, dec
     total, step_t, step_s = [np.zeros(BUCKETS) for _ in kinds], [np.zeros((2, 2)) for _ in kinds], [0.0] * len(kinds)
     for step in range(epochs):
         part = step // blocks.n % parts
-        sums = blocks.total(partial(_chain_step, models, chains, part, parts), step % blocks.n)
+        bare = [replace(c, weight=None) for c in chains]
+        sums = blocks.total(partial(_chain_step, models, bare, _paired([c.weight for c in chains]), part, parts), step % blocks.n)
         for k, c in enumerate(chains):
             grad, g, s, n = sums[4 * k : 4 * k + 4]
             grad = grad - decay * n * c.weight / 100
@@ -436,7 +638,7 @@ def _fit(blocks: Held | Spread, kinds: list[bool], epochs: int, rate: float, dec
 
 def _reached(chain: Field, block: Block) -> list:
     """How many held-out unfit, held-out fit and unlabelled documents of a block there are, and how many of each reach every threshold."""
-    score = document_scores(block.tokens, chain.read(block.tokens), len(block.label))
+    score = block.scores(chain)
     out = []
     for mine in (block.held & (block.label == 1), block.held & (block.label == 0), block.label == -1):
         out += [int(mine.sum()), (score[mine][:, None] >= GRID).sum(axis=0)]
@@ -456,7 +658,7 @@ def train(texts: list[str], label: list[int], epochs: int = 30, rate: float = 0.
         held[np.random.default_rng(5 + kind).permutation(np.flatnonzero(label == kind))[::HELD]] = True
 
     def blocks(rows: np.ndarray) -> list[Block]:
-        return [Block(read_tokens([texts[i] for i in at]), label[at], held[at]) for at in np.array_split(rows, -(-len(rows) // 3000)) if len(at)] if len(rows) else []
+        return [Block.read([texts[i] for i in at], label[at], held[at]) for at in np.array_split(rows, -(-len(rows) // 3000)) if len(at)] if len(rows) else []
 
     rest = np.flatnonzero(label == -1)
     n = slice_count(len(rest))
@@ -482,7 +684,9 @@ def _trained(blocks: Held | Spread, epochs: int = 30, rate: float = 0.4, decay:
 def document_scores(tokens: Tokens, prob: np.ndarray, n: int) -> np.ndarray:
     """Score of each document: the highest marginal of any of its tokens, so the length of a sentence plays no part."""
     out = np.zeros(n)
-    np.maximum.at(out, tokens.doc, prob)
+    first, _ = _runs(tokens.doc)
+    if len(first):
+        out[tokens.doc[first]] = np.maximum.reduceat(prob, first)
     return out
 
 
@@ -518,6 +722,11 @@ def _best_threshold(n: int, reach: np.ndarray, fit: int, over: np.ndarray, other
 
 def fit_field(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, unlabelled: int = UNLABELLED) -> Field:
     """The field trained on the whole texts of all documents; in the driver up to ``sample`` labelled and ``2 * unlabelled`` others."""
+    return _fitted(docs, labels, id_col, text_col, sample, unlabelled, False)[0]
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int, unlabelled: int, find: bool) -> tuple[Field, DataFrame, DataFrame | None]:
+    """(the field, ids with labels of both or either kind, ids of the unfit rows without labels if asked for and fitted in Spark)."""
     spark = docs.sparkSession
     votes = labels.where(F.col(id_col).isNotNull() & F.col("unfit").isNotNull()).groupBy(id_col).agg(F.avg("unfit").alias("share")).where("share <> 0.5")
     votes = votes.select(id_col, (F.col("share") > 0.5).cast("int").alias("label"))
@@ -529,25 +738,45 @@ def fit_field(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     if marked <= sample and count <= 2 * unlabelled + marked:
         other = rows.join(votes, id_col, "left_anti")
         table = known.select(id_col, "text", "label").unionByName(other.select(id_col, "text", F.lit(-1).alias("label"))).toArrow().sort_by([(id_col, "ascending"), ("text", "ascending")])
-        return train(table["text"].to_pylist(), table["label"].to_pylist())
+        return train(table["text"].to_pylist(), table["label"].to_pylist()), votes, None
     n = int(np.clip(count // unlabelled, 1, SLICES))
     held = F.pmod(F.xxhash64(id_col, F.lit(5)), F.lit(HELD)) == 0
-    known = known.select("text", "label", held.alias("held"), F.lit(-1).alias("slice"))
-    other = spread(rows).join(votes, id_col, "left_anti").select("text", F.lit(-1).alias("label"), F.lit(False).alias("held"), F.pmod(F.xxhash64(id_col, F.lit(7)), F.lit(n)).cast("int").alias("slice"))
+    ids = F.col(id_col).alias("id")
+    known = known.select(ids, "text", "label", held.alias("held"), F.lit(-1).alias("slice"))
+    other = spread(rows).join(votes, id_col, "left_anti").select(ids, "text", F.lit(-1).alias("label"), F.lit(False).alias("held"), F.pmod(F.xxhash64(id_col, F.lit(7)), F.lit(n)).cast("int").alias("slice"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, list[tuple[Block, pa.Array]]] = {}
+
+        def packed(k: int) -> pa.RecordBatch:
+            blocks, ids = zip(*waiting.pop(k))
+            block, own = Block.joined(blocks), pa.concat_arrays(ids)
+            own = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)
+            return pa.RecordBatch.from_arrays([own, pa.array([block.pack()], pa.binary()), pa.array([len(block.hash)], pa.int32()), pa.array([k], pa.int32())], ["ids", "data", "tokens", "slice"])
+
         for batch in batches:
-            own = batch.column("slice").to_numpy()
-            for k in np.unique(own):
-                for at in np.array_split(np.flatnonzero(own == k), -(-int((own == k).sum()) // 1000)):
-                    some = batch.take(pa.array(at))
-                    block = Block(read_tokens(some.column("text").to_pylist()), some.column("label").to_numpy().astype(np.int64), some.column("held").to_numpy(zero_copy_only=False))
-                    yield pa.RecordBatch.from_arrays([pa.array([block.pack()], pa.binary()), pa.array([int(k)], pa.int32())], ["data", "slice"])
+            order = np.argsort(batch.column("slice").to_numpy(), kind="stable")
+            for at in np.array_split(order, max(1, -(-len(order) // BLOCK_DOCS))):
+                some = batch.take(pa.array(at))
+                own = some.column("slice").to_numpy()
+                block = Block.read(some.column("text").to_pylist(), some.column("label").to_numpy().astype(np.int64), some.column("held").to_numpy(zero_copy_only=False))
+                for k in np.unique(own).tolist():
+                    parts = waiting.setdefault(k, [])
+                    a, b = np.searchsorted(own, [k, k + 1]).tolist()
+                    parts.append((block.part(a, b), some.column("id").slice(a, b - a)))
+                    if sum(len(x.label) for x, _ in parts) >= BLOCK_DOCS or sum(len(x.hash) for x, _ in parts) >= BLOCK_TOKENS:
+                        yield packed(k)
+        for k in list(waiting):
+            yield packed(k)
 
     folder = os.path.join(ensure_checkpoint_dir(spark), f"blocks-{uuid.uuid4()}")
+    kind = f"array<{dict(docs.dtypes)[id_col]}>"
     try:
-        known.unionByName(other).mapInArrow(pack, "data binary, slice int").write.partitionBy("slice").parquet(folder)
-        return _trained(Spread(spark, folder, n))
+        files = F.pmod(F.xxhash64("data"), F.lit(1 + count // n // FILE_DOCS))  # every step opens all files of its slice, so few
+        known.unionByName(other).mapInArrow(pack, f"ids {kind}, data binary, tokens int, slice int").repartition("slice", files).write.option("compression", "uncompressed").partitionBy("slice").parquet(folder)
+        blocks = Spread(spark, folder, n, kind)
+        field = _trained(blocks)
+        return field, votes, materialise(blocks.found(field).withColumnRenamed("id", id_col)) if find else None
     finally:
         place = spark._jvm.org.apache.hadoop.fs.Path(folder)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
@@ -613,6 +842,17 @@ def score_documents(docs: DataFrame, labels: DataFrame | None, id_col: str = "do
     return out.select(F.col("id").alias(id_col), *(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)), "score", "unfit", "spans")
 
 
+def found_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, unlabelled: int = UNLABELLED) -> DataFrame:
+    """(id_col) of the documents that score_documents finds unfit, each once.
+
+    After a fit in Spark the documents without labels are scored from the tokens that the fit has read.
+    """
+    field, votes, found = _fitted(docs, labels, id_col, text_col, sample, unlabelled, True)
+    rest = docs if found is None else docs.join(votes, id_col, "left_semi")
+    out = score_documents(rest, None, id_col, text_col, field=field).where("unfit").select(id_col)
+    return (out if found is None else out.unionByName(found)).distinct()
+
+
 def source_rates(docs: DataFrame, labels: DataFrame | None, source_col: str = "source", **options) -> DataFrame:
     """(source, n_documents, n_unfit, rate) of every source; counts are combined before the shuffle."""
     scored = score_documents(docs, labels, carry=(source_col,), **options)

@@ -1,6 +1,8 @@
 """Scanned pages and abusive content."""
 
 import random
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -232,6 +234,57 @@ def test_fit_takes_all_documents_beyond_the_driver(spark, monkeypatch):
     assert (found & truth).sum() >= 0.9 * max(found.sum(), truth.sum())
 
 
+def test_long_sentences_do_not_pad_the_others():
+    sentence = np.concatenate([np.repeat(np.arange(2000), 20), np.full(5000, 2000)])
+    field = toxicity.Field(np.zeros(toxicity.BUCKETS), -0.7, np.array([[0.4, -1.0], [0.2, 0.9]]))
+    emit = np.random.default_rng(2).normal(size=len(sentence))
+    tracemalloc.start()
+    prob, _ = field.marginals(emit, sentence)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 * len(sentence)
+    assert np.allclose(prob[20:40], field.marginals(emit[20:40], sentence[20:40])[0]) and np.allclose(prob[-5000:], field.marginals(emit[-5000:], sentence[-5000:])[0])
+
+
+def test_forward_backward_costs_little_a_token():
+    """200,000 tokens; in times of a loop of 50,000 rounds, about 1 ms: about 270 before, 35 ns a token now."""
+    sentence = np.repeat(np.arange(10_000), 20)
+    field = toxicity.Field(np.zeros(toxicity.BUCKETS), -0.7, np.array([[0.4, -1.0], [0.2, 0.9]]))
+    emit = np.random.default_rng(2).normal(size=len(sentence))
+
+    def least(run):
+        times = []
+        for _ in range(5):
+            begun = time.process_time()
+            run()
+            times.append(time.process_time() - begun)
+        return min(times)
+
+    assert least(lambda: field.marginals(emit, sentence)) < 25 * least(lambda: sum(range(50_000)))
+
+
+def test_documents_found_from_the_tokens_of_the_fit(spark, monkeypatch):
+    """The same as by scoring all texts, with repeated rows of labelled and other ids, null ids and null texts."""
+    made = synthetic(900, 4)
+    more = [(0, made[1][0]), (3, "you stupid boiler pig of port."), (4, "lock all foreigners of hill in a jetty cage."), (None, "you stupid store pig of port."), (None, "fine"), (950, None), (951, " ")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(made)] + more, "doc_id bigint, text string").repartition(3)
+    lab = spark.createDataFrame([(i, int(t)) for i, (_, t) in enumerate(made) if i % 3 == 0], "doc_id bigint, unfit int")
+    plain, fields = toxicity._trained, []
+
+    def keep(blocks):
+        assert isinstance(blocks, toxicity.Spread)
+        fields.append(plain(blocks, epochs=12))
+        return fields[-1]
+
+    monkeypatch.setattr(toxicity, "_trained", keep)
+    monkeypatch.setattr(toxicity, "STEPS", 8)
+    monkeypatch.setattr(toxicity, "JOINED_TOKENS", 3000)
+    monkeypatch.setattr(toxicity, "BLOCK_DOCS", 70)
+    found = [r["doc_id"] for r in toxicity.found_documents(docs, lab, sample=40, unlabelled=300).collect()]
+    want = {r["doc_id"] for r in toxicity.score_documents(docs, None, field=fields[0]).where("unfit").collect()}
+    assert len(found) == len(set(found)) and set(found) == want and {4, None} <= want and not {950, 951} & want
+
+
 def test_a_saved_field_is_the_same_field(spark, tmp_path):
     texts = ["you are a worthless idiot and a liar", "the board met on monday"] * 12
     field = toxicity.train(texts, [1, 0] * 12)
